@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemill import fixed_values as fv
 from tidemill.functions.dates import date_parts
+from tidemill.functions.numbers import round_half_up
 from tidemill.operators.aggregates import weekly
 
 
@@ -24,7 +25,7 @@ def daily_series(sales: DataFrame, keys: Sequence[str], day: str = "sale_date")
         F.sum("units_sold").alias("units_sold"),
         F.sum("revenue").alias("revenue"),
         F.min("discount_pct").alias("discount_pct"),
-    ).withColumn("unit_price", F.round(F.col("revenue") / F.col("units_sold"), 2).cast("double"))
+    ).withColumn("unit_price", round_half_up(F.col("revenue").cast("double") / F.col("units_sold"), 2))
 
 
 def series_window(keys: Sequence[str], order: str):
@@ -106,13 +107,13 @@ def with_weather_defaults(df: DataFrame, weather: DataFrame, keys: Sequence[str]
 
 def price_forecast(df: DataFrame, units: str, base_price: str, discount_pct: str) -> DataFrame:
     """Discounted price, revenue and a band of 15% that does not go below 0."""
-    price = F.round(F.col(base_price) * (1 - F.col(discount_pct) / 100), 4)
+    price = round_half_up(F.col(base_price) * (1 - F.col(discount_pct) / 100), 4)
     return df.select(
         "*",
         price.alias("forecast_price"),
-        F.round(F.col(units) * price, 2).alias("predicted_revenue"),
-        F.round(F.greatest(F.lit(0.0), F.col(units) * 0.85), 2).alias("confidence_lower"),
-        F.round(F.col(units) * 1.15, 2).alias("confidence_upper"),
+        round_half_up(F.col(units) * price, 2).alias("predicted_revenue"),
+        round_half_up(F.greatest(F.lit(0.0), F.col(units) * 0.85), 2).alias("confidence_lower"),
+        round_half_up(F.col(units) * 1.15, 2).alias("confidence_upper"),
     )
 
 

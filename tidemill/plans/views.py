@@ -106,8 +106,13 @@ def user_clusters(spark: SparkSession, sf: str) -> DataFrame:
 
 def readings(spark: SparkSession, sf: str) -> DataFrame:
     """Sensor readings: five measures derived from each event's value and property."""
+    return readings_of(table(spark, sf, "events"))
+
+
+def readings_of(events: DataFrame) -> DataFrame:
+    """The same columns from any table or stream of events."""
     k = F.get_json_object("props", "$.k").cast("int")
-    return table(spark, sf, "events").select(
+    return events.select(
         "event_id",
         format_id("MAQ-", F.col("user_id"), 3).alias("maquina_id"),
         "ts",
@@ -168,14 +173,17 @@ DIALOGUE_INTENTS = {0: "problema_wifi", 4: "computadora_lenta", 7: "no_enciende"
 
 def turns(spark: SparkSession, sf: str) -> DataFrame:
     """Stored conversations with a message and intent derived from each turn's text."""
+    return turns_of(table(spark, sf, "conversations"))
+
+
+def turns_of(conversations: DataFrame) -> DataFrame:
+    """The same columns from any table or stream of conversations."""
     pick = (F.length("text") % len(DIALOGUE_WORDS)).cast("int")
     words = F.array(*[F.lit(w) for w in DIALOGUE_WORDS])
     intent = F.lit("otro")
     for i, name in DIALOGUE_INTENTS.items():
         intent = F.when(pick == i, F.lit(name)).otherwise(intent)
-    return table(spark, sf, "conversations").select(
-        "conv_id", "turn", "role", F.element_at(words, pick + 1).alias("message"), intent.alias("intent")
-    )
+    return conversations.select("conv_id", "turn", "role", F.element_at(words, pick + 1).alias("message"), intent.alias("intent"))
 
 
 # ---- the same views as SQL text -------------------------------------------------------------
@@ -198,7 +206,7 @@ VIEW_SQL = {
         SELECT st.region_id AS store_id, CAST(substr(p.category, 7) AS INTEGER) AS product_id, s.sale_date,
                CAST(sum(s.units_sold) AS BIGINT) AS units_sold, sum(s.revenue) AS revenue,
                min(s.discount_pct) AS discount_pct,
-               CAST(round(CAST(CAST(sum(s.revenue) AS DOUBLE) / sum(s.units_sold) AS DECIMAL(24,12)), 2) AS DOUBLE) AS unit_price
+               CAST(round(CAST(CAST(sum(s.revenue) AS DOUBLE) / sum(s.units_sold) AS DECIMAL(28,8)), 2) AS DOUBLE) AS unit_price
         FROM sales s JOIN products p ON s.product_id = p.product_id JOIN stores st ON s.store_id = st.store_id
         GROUP BY 1, 2, 3""",
     "weather": """

@@ -78,8 +78,13 @@ def read_arff(spark: SparkSession, path: str, names: Sequence[str] | None = None
 ZIP_SCHEMA = "archive string, member string, line string, error string"
 
 
-def read_zipped_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of the CSV members of zip archives; a bad archive gives one row with its error.
+def binary_files(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.format("binaryFile").load(path).select("path", "content")
+
+
+def zipped_lines(files: DataFrame) -> DataFrame:
+    """Lines of the CSV members of zip archives (path, content); a bad archive gives one row with its
+    error.
 
     Archives are unpacked in parallel, one at a time per task, and members are streamed line by line.
     """
@@ -104,13 +109,12 @@ def read_zipped_lines(spark: SparkSession, path: str) -> DataFrame:
                 except (zipfile.BadZipFile, OSError, UnicodeDecodeError) as e:
                     yield pd.DataFrame([(name, None, None, str(e))], columns=["archive", "member", "line", "error"])
 
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInPandas(unpack, ZIP_SCHEMA)
+    return files.select("path", "content").mapInPandas(unpack, ZIP_SCHEMA)
 
 
-def read_zipped_csv(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
+def zipped_csv(files: DataFrame, schema: str) -> tuple[DataFrame, DataFrame]:
     """Typed rows of all good members, and the table of bad archives."""
-    lines = read_zipped_lines(spark, path)
+    lines = zipped_lines(files)
     names = [f.name for f in T.StructType.fromDDL(schema).fields]
     head = ",".join(names)
     good = lines.filter(F.col("error").isNull() & (F.col("line") != head))

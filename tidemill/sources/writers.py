@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 SAVE_MODES = {"replace": "overwrite", "append": "append", "fail": "errorifexists"}
 
 
-def write_table(df: DataFrame, name: str, mode: str = "replace", partition_by: Sequence[str] = ()) -> None:
+def write_table(df: DataFrame, name: str, mode: str = "replace", partition_by: Sequence[str] = (), path: str | None = None) -> None:
+    """Catalog table; with ``path`` its files live in a folder of the caller's choice."""
     writer = df.write.mode(SAVE_MODES[mode]).format("parquet")
+    writer = writer.option("path", path) if path else writer
     (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(name)
 
 
@@ -75,10 +77,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def ensure_table(spark: SparkSession, name: str, columns: str, partition_by: Sequence[str] = ()) -> None:
+def ensure_table(spark: SparkSession, name: str, columns: str, partition_by: Sequence[str] = (), path: str | None = None) -> None:
     """CREATE TABLE IF NOT EXISTS, parquet, partitioned."""
     parts = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{parts}")
+    place = f" LOCATION '{path}'" if path else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{parts}{place}")
 
 
 def store_single_row(df: DataFrame, path: str) -> None:

@@ -77,13 +77,18 @@ def running_counters(readings: DataFrame) -> DataFrame:
 
 # ---- windows --------------------------------------------------------------------------------
 
+def watermarked(stream: DataFrame, ts: str, watermark: str) -> DataFrame:
+    """Watermarks need an instant; times without a zone are read in the session's zone (UTC)."""
+    return stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, watermark)
+
+
 def tumbling_stream(points: DataFrame, size: str, keys: Sequence[str], how: str = "avg", watermark: str = "10 minutes") -> DataFrame:
-    return sensors.tumbling(points.withWatermark("ts", watermark), size, keys, how)
+    return sensors.tumbling(watermarked(points, "ts", watermark), size, keys, how)
 
 
 def dedupe_stream(stream: DataFrame, keys: Sequence[str], watermark: str = "10 minutes", ts: str = "ts") -> DataFrame:
     """Repeated readings are dropped; state is kept for the watermark only."""
-    return stream.withWatermark(ts, watermark).dropDuplicatesWithinWatermark(list(keys))
+    return watermarked(stream, ts, watermark).dropDuplicatesWithinWatermark(list(keys))
 
 
 # ---- upsert by key and time -----------------------------------------------------------------
