@@ -41,10 +41,8 @@ def stopwords(language: str = "spanish", extra: Sequence[str] = tuple(fv.EXTRA_S
 
 def keywords(s: Column, stop: Sequence[str]) -> Column:
     """Tokens that are alphabetic, no stopword and longer than two letters."""
-    banned = F.create_map(*[x for w in stop for x in (F.lit(w), F.lit(True))]) if stop else None
-    tokens = F.split(normalise(s), " ")
-    keep = F.filter(tokens, lambda t: (F.length(t) > 2) & t.rlike(r"^\p{L}+$"))
-    return keep if banned is None else F.filter(keep, lambda t: ~F.map_contains_key(banned, t))
+    words = F.regexp_extract_all(normalise(s), F.lit(r"(?<![^ ])(\p{L}{3,})(?![^ ])"), F.lit(1))
+    return F.filter(words, lambda t: ~t.isin(list(stop))) if stop else words
 
 
 # Spanish endings cut by the approximate stemmer, longest first.
@@ -64,10 +62,11 @@ def stem(tokens: Column) -> Column:
 
 def ngrams(tokens: Column, n: int) -> Column:
     """All runs of n tokens, joined by a space."""
-    starts = F.when(F.size(tokens) >= n, F.sequence(F.lit(1), F.size(tokens) - (n - 1))).otherwise(
-        F.array().cast("array<int>")
-    )
-    return F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, n), " "))
+    count = F.greatest(F.size(tokens) - (n - 1), F.lit(0))
+    out = F.slice(tokens, F.lit(1), count)
+    for k in range(1, n):
+        out = F.zip_with(out, F.slice(tokens, F.lit(k + 1), count), lambda a, b: F.concat_ws(" ", a, b))
+    return out
 
 
 def parse_price(s: Column) -> Column:

@@ -103,8 +103,8 @@ def heatmap(df: DataFrame, day: str, value: str) -> DataFrame:
 def category_shares(df: DataFrame, key: str, category: str, names: Sequence | None = None) -> DataFrame:
     """Per key the share of each category among its rows, one column per category, 0 if absent."""
     names = list(names) if names is not None else levels(df, category)
-    # a pivot needs one aggregate per category only; the row total is their sum
-    counts = df.groupBy(key).pivot(category, names).agg(F.count(F.lit(1))).fillna(0)
+    # one pass with a counter per category: no second grouping by (key, category) as in a pivot
+    counts = df.groupBy(key).agg(*[F.count_if(F.col(category) == n).alias(f"{n}") for n in names])
     total = sum((F.col(f"`{n}`") for n in names), F.lit(0))
     safe = F.when(total == 0, F.lit(1)).otherwise(total)
     return counts.select(key, *[(F.col(f"`{n}`") / safe).alias(f"share_{n}") for n in names])

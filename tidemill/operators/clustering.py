@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill import fixed_values as fv
-from tidemill.functions.arrays import nearest_distance
 from tidemill.operators.blocks import PAIR, block_count, hash_block, into_block_pairs, into_near_pairs
 from tidemill.operators.ordered import GRAIN, exact_percentiles, row_numbers, with_quantile_grain
 from tidemill.session import cut_lineage
@@ -324,13 +323,16 @@ def features_or_defaults(defaults: Mapping[str, float] = fv.DETECTOR_DEFAULTS) -
 
 
 def distance_score(detector: Detector, defaults: Mapping[str, float] = fv.DETECTOR_DEFAULTS) -> Column:
-    scaled = F.array(
-        *[
-            (F.coalesce(F.col(c).cast("double"), F.lit(defaults[c])) - F.lit(m)) / F.lit(s)
-            for c, m, s in zip(detector.features, detector.means, detector.stds)
-        ]
-    )
-    return nearest_distance(scaled, detector.centers)
+    """Distance to the nearest centre, written out per feature so that it compiles to plain arithmetic."""
+    scaled = [
+        (F.coalesce(F.col(c).cast("double"), F.lit(defaults[c])) - F.lit(m)) / F.lit(s)
+        for c, m, s in zip(detector.features, detector.means, detector.stds)
+    ]
+    dists = []
+    for center in detector.centers:
+        gaps = [x - F.lit(v) for x, v in zip(scaled, center)]
+        dists.append(F.sqrt(sum((g * g for g in gaps[1:]), gaps[0] * gaps[0])))
+    return F.least(*dists) if len(dists) > 1 else dists[0]
 
 
 def score(df: DataFrame, detector: Detector) -> DataFrame:

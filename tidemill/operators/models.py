@@ -28,8 +28,12 @@ BOOST_RANGES = {"stepSize": (0.01, 0.5), "subsamplingRate": (0.5, 1.0), "minInst
 
 
 def assembled(df: DataFrame, features: Sequence[str], label: str, keep: Sequence[str] = ()) -> DataFrame:
-    typed = df.select(*keep, F.col(label).cast("double").alias("label"), *[F.col(f"`{c}`").cast("double").alias(c) for c in features])
-    return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip").transform(typed).select(*keep, "label", "features")
+    """Columns ``keep``, ``label`` and the vector ``features``; rows with a missing feature are skipped."""
+    inputs = [f"__f{i}" for i in range(len(features))]
+    typed = df.select(
+        *keep, F.col(label).cast("double").alias("label"), *[F.col(f"`{c}`").cast("double").alias(n) for c, n in zip(features, inputs)]
+    )
+    return VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="skip").transform(typed).select(*keep, "label", "features")
 
 
 def time_split(df: DataFrame, day: str, cut: str) -> tuple[DataFrame, DataFrame]:

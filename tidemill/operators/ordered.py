@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tidemill.session import task_count
 
 GRAIN = "__grain"
+MERGED_VALUES = 500_000
 
 
 def same(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
@@ -105,18 +106,19 @@ def framed(
 def exact_percentiles(df: DataFrame, col: str, probs: Sequence[float]) -> list[float]:
     """Percentiles with linear interpolation, exact, without one task seeing all values.
 
-    Equal values are counted first, so copies of one value cost one row. Only two numbers per
-    percentile reach the driver.
+    Equal values are counted first, so copies of one value cost one row. Up to ``MERGED_VALUES``
+    distinct values are merged by Spark's own ``percentile``; beyond that the ranks are found through
+    running totals. Only two numbers per percentile reach the driver.
     """
-    counts = (
-        df.filter(F.col(col).isNotNull() & ~F.isnan(F.col(col).cast("double")))
-        .groupBy(F.col(col).cast("double").alias("v"))
-        .agg(F.count("*").alias("n"))
-    )
-    total = counts.agg(F.sum("n")).first()[0]
+    # nulls and NaN form a group that counts 0; a filter would evaluate a computed column twice
+    x = F.nanvl(F.col(col).cast("double"), F.lit(None).cast("double"))
+    counts = df.select(x.alias("v")).groupBy("v").agg(F.count("v").alias("n"))
+    total, distinct = counts.agg(F.sum("n"), F.count("v")).first()
     if not total:
         return [None for _ in probs]
-    ladder = with_quantile_grain(counts, "v")
+    if distinct <= MERGED_VALUES:
+        return list(counts.agg(F.percentile("v", list(probs), F.col("n"))).first()[0])
+    ladder = with_quantile_grain(counts.filter("n > 0"), "v")
     ladder = running_totals(ladder, [], [F.col("v")], {"upto": F.col("n")}, F.col(GRAIN))
     wanted = []
     for p in probs:

@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.operators.blocks import PAIR, block_count, hash_block, into_block_pairs
+from tidemill.operators.ordered import row_numbers
 from tidemill.operators.relational import hash_order
+from tidemill.session import cut_lineage
 
 SIM_DIGITS = 9
 HOT_PRODUCTS = 16_384
@@ -166,17 +168,30 @@ def neighbours(
 
 
 def predictions(ratings: DataFrame, near: DataFrame, means_from: DataFrame | None = None) -> DataFrame:
-    """Predicted rating of every unseen item that a neighbour has rated:
-    user mean + sum(sim * (rating - neighbour mean)) / sum(|sim|)."""
-    c = centred(means_from if means_from is not None else ratings)
-    votes = near.join(c.select(F.col("user").alias("v"), "item", "dev"), "v")
-    scored = votes.groupBy("u", "item").agg(
-        (F.sum(F.col("sim") * F.col("dev")) / F.sum(F.abs("sim"))).alias("shift")
+    """Predicted rating (u, item, score, user_mean) of every unseen item that a neighbour has rated:
+    user mean + sum(sim * (rating - neighbour mean)) / sum(|sim|).
+
+    Votes and the user's own ratings meet in one aggregate, which drops the seen items; partitioned by
+    user, it also serves the ranking that follows. A user's votes are bounded by neighbours x items.
+    """
+    base = means_from if means_from is not None else ratings
+    means = base.groupBy(F.col("user").alias("u")).agg(F.avg("rating").alias("user_mean"))
+    dev = base.join(means, F.col("user") == F.col("u")).select(
+        F.col("user").alias("v"), "item", (F.col("rating") - F.col("user_mean")).alias("dev")
+    )
+    votes = near.select("u", "v", "sim").join(dev, "v").select("u", "item", "sim", "dev", F.lit(0).alias("seen"))
+    own = ratings.select(
+        F.col("user").alias("u"), "item", F.lit(0.0).alias("sim"), F.lit(0.0).alias("dev"), F.lit(1).alias("seen")
     )
-    unseen = scored.join(ratings.select(F.col("user").alias("u"), "item"), ["u", "item"], "left_anti")
-    means = c.groupBy(F.col("user").alias("u")).agg(F.max("user_mean").alias("user_mean"))
-    return unseen.join(means, "u").select(
-        "u", "item", F.round(F.col("user_mean") + F.col("shift"), SIM_DIGITS).alias("score")
+    scored = (
+        votes.unionByName(own)
+        .repartition("u")
+        .groupBy("u", "item")
+        .agg((F.sum(F.col("sim") * F.col("dev"))).alias("up"), F.sum(F.abs("sim")).alias("weight"), F.max("seen").alias("seen"))
+        .filter((F.col("seen") == 0))
+    )
+    return scored.join(means, "u").select(
+        "u", "item", F.round(F.col("user_mean") + F.col("up") / F.col("weight"), SIM_DIGITS).alias("score"), "user_mean"
     )
 
 
@@ -196,11 +211,8 @@ def unrated_fillers(ratings: DataFrame, predicted: DataFrame, items: DataFrame,
 
     Found as gaps between the occupied positions of the item list, without a user x item grid.
     """
-    from tidemill.operators.ordered import row_numbers
-
     place = row_numbers(items.select("item").distinct(), [], [F.col("item")], F.floor(F.col("item").cast("double") / 65536), "pos")
-    size = place.agg(F.count("*").alias("size"))
-    n_items = size.first()[0]
+    n_items = items.select("item").distinct().count()
     taken = (
         ratings.select(F.col("user").alias("u"), "item")
         .join(users, "u", "left_semi")
@@ -227,17 +239,25 @@ def recommend(
 ) -> DataFrame:
     """Top n unseen items per user (u, item, score, rank); ties to the lower item id.
 
-    Items no neighbour rated score the user's mean and compete with the rest. Users without any
-    neighbour get no rows.
+    Items no neighbour rated score the user's mean and compete with the rest. They can only matter to
+    users with fewer than n predictions above their mean, so only those are looked at. Users without
+    any neighbour get no rows.
     """
     base = means_from if means_from is not None else ratings
+    near = cut_lineage(near.select("u", "v", "sim"))
+    best = Window.partitionBy("u").orderBy(F.desc("score"), "item")
     voted = predictions(ratings, near, means_from)
-    users = near.select("u").distinct()
-    fill = unrated_fillers(ratings, voted, base.select("item"), users, n)
+    top = cut_lineage(voted.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= n))
+    full = top.groupBy("u").agg(F.count_if(F.col("score") > F.round("user_mean", SIM_DIGITS)).alias("above")).filter(F.col("above") >= n)
+    short = cut_lineage(near.select("u").distinct().join(full, "u", "left_anti"))
+    if short.isEmpty():
+        return top.select("u", "item", "score", "rank")
+    again = predictions(ratings.join(short.withColumnRenamed("u", "user"), "user", "left_semi"), near.join(short, "u", "left_semi"), base)
+    fill = unrated_fillers(ratings, again, base.select("item"), short, n)
     means = base.groupBy(F.col("user").alias("u")).agg(F.avg("rating").alias("user_mean"))
     fill = fill.join(means, "u").select("u", "item", F.round("user_mean", SIM_DIGITS).alias("score"))
-    w = Window.partitionBy("u").orderBy(F.desc("score"), "item")
-    return voted.unionByName(fill).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
+    both = top.select("u", "item", "score").unionByName(fill)
+    return both.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= n)
 
 
 def holdout(ratings: DataFrame, threshold: float = 3.5, min_relevant: int = 4, share: float = 0.25,
@@ -274,7 +294,8 @@ def evaluate(ratings: DataFrame, clusters: DataFrame | None = None, k: int = 5,
              leaky: bool = False, block_size: int = 2048) -> DataFrame:
     """Precision at k over held-out items. By default similarities and means come from the remaining
     ratings only; ``leaky`` computes them from all ratings, as the published procedure does."""
-    held = holdout(ratings, threshold)
+    ratings = cut_lineage(ratings)
+    held = cut_lineage(holdout(ratings, threshold))
     train = ratings.join(held, ["user", "item"], "left_anti")
     base = ratings if leaky else train
     near = neighbours(base, clusters, block_size=block_size)

@@ -13,6 +13,7 @@ from tidemill.plans import views as v
 from tidemill.plans.projections import BASELINE_SQL, half_up
 from tidemill.plans.registry import query
 from tidemill.plans.windows import HOLDOUT_SQL, NEAR_SQL, SPLIT_SQL
+from tidemill.session import cut_lineage
 
 
 @query("m2_baseline_detector", f"WITH {BASELINE_SQL} SELECT event_id, round(d, 6) AS distance, d > t AS ml_anomaly FROM dist, lim", "readings")
@@ -117,7 +118,7 @@ def m15(spark, sf):
 
 @query("m16_user_similarity", f"WITH {NEAR_SQL} SELECT u, count(*) AS n_near, round(sum(sim), 4) AS total_sim, max(sim) AS best FROM near GROUP BY 1", "ratings")
 def m16(spark, sf):
-    near = recommend.neighbours(v.ratings(spark, sf))
+    near = recommend.neighbours(cut_lineage(v.ratings(spark, sf)))
     return near.groupBy("u").agg(F.count("*").alias("n_near"), F.round(F.sum("sim"), 4).alias("total_sim"), F.max("sim").alias("best"))
 
 
@@ -148,7 +149,7 @@ recs AS (SELECT u, item, score, rank FROM (SELECT *, row_number() OVER (PARTITIO
 WITH base AS (SELECT * FROM ratings), train AS (SELECT * FROM ratings), {CLUSTER_NEAR_SQL}, {PRED_SQL}
 SELECT u AS "user", item, {half_up("score", 2)} AS predicted, rank FROM recs""", "ratings user_clusters")
 def m17(spark, sf):
-    r = v.ratings(spark, sf)
+    r = cut_lineage(v.ratings(spark, sf))
     near = recommend.neighbours(r, v.user_clusters(spark, sf))
     return recommend.recommend(r, near).select(F.col("u").alias("user"), "item", round_half_up(F.col("score"), 2).alias("predicted"), "rank")
 
@@ -182,7 +183,7 @@ WITH {NEAR_SQL},
 votes AS (SELECT near.u, r.item, sum(sim * r.rating) / sum(abs(sim)) AS score FROM near JOIN ratings r ON r."user" = near.v GROUP BY 1, 2)
 SELECT u AS "user", count(*) AS n, round(sum(score), 3) AS total FROM votes v WHERE NOT EXISTS (SELECT 1 FROM ratings t WHERE t."user" = v.u AND t.item = v.item) GROUP BY 1""", "ratings")
 def m19(spark, sf):
-    r = v.ratings(spark, sf)
+    r = cut_lineage(v.ratings(spark, sf))
     raw = recommend.raw_predictions(r, recommend.neighbours(r))
     return raw.groupBy(F.col("u").alias("user")).agg(F.count("*").alias("n"), F.round(F.sum("score"), 3).alias("total"))
 

@@ -152,7 +152,7 @@ def x4(spark, sf):
 # ---- text -----------------------------------------------------------------------------------
 
 def labelled_documents(spark, sf):
-    docs = v.table(spark, sf, "documents").select("doc_id", "text", "lang")
+    docs = v.texts(spark, sf).select("doc_id", "text", "lang")
     return v.table(spark, sf, "labels").select("doc_id", F.col("quality").cast("string").alias("label")).join(docs, "doc_id")
 
 
@@ -166,7 +166,7 @@ def m20(spark, sf):
 def intent_rows(spark, sf):
     """Language detection stands in for intents: a message is a whole document."""
     tokens = text.keywords(F.col("text"), [])
-    docs = v.table(spark, sf, "documents").select("doc_id", F.col("lang").alias("tag"), tokens.alias("tokens"))
+    docs = v.texts(spark, sf).select("doc_id", F.col("lang").alias("tag"), tokens.alias("tokens"))
     return docs.filter(F.size("tokens") > 0)
 
 

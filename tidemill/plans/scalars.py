@@ -153,13 +153,13 @@ NORMAL = f"regexp_replace(regexp_replace({FOLD}, '[!-/:-@\\[-`{{-~]', '', 'g'),
 
 @query("f15_fold_accents", f"SELECT doc_id, md5({FOLD}) AS digest FROM documents")
 def f15(spark, sf):
-    return v.table(spark, sf, "documents").select("doc_id", F.md5(text.fold_accents(F.col("text"))).alias("digest"))
+    return v.texts(spark, sf).select("doc_id", F.md5(text.fold_accents(F.col("text"))).alias("digest"))
 
 
 @query("f16_strip_punctuation", f"SELECT doc_id, length({NORMAL}) AS n, md5({NORMAL}) AS digest FROM documents")
 def f16(spark, sf):
     s = text.normalise(F.col("text"))
-    return v.table(spark, sf, "documents").select("doc_id", F.length(s).cast("bigint").alias("n"), F.md5(s).alias("digest"))
+    return v.texts(spark, sf).select("doc_id", F.length(s).cast("bigint").alias("n"), F.md5(s).alias("digest"))
 
 
 # The stopwords of the keyword query; applications pass ``text.stopwords()``.
@@ -171,14 +171,14 @@ WITH k AS (SELECT doc_id, list_filter(string_split({NORMAL}, ' '), lambda t: len
 SELECT doc_id, len(w) AS n_keywords, md5(array_to_string(w, ' ')) AS digest FROM k""")
 def f17(spark, sf):
     k = text.keywords(F.col("text"), QUERY_STOPWORDS)
-    return v.table(spark, sf, "documents").select("doc_id", k.alias("k")).select(
+    return v.texts(spark, sf).select("doc_id", k.alias("k")).select(
         "doc_id", F.size("k").cast("bigint").alias("n_keywords"), F.md5(F.array_join("k", " ")).alias("digest"))
 
 
 @query("f18_stem")
 def f18(spark, sf):
     stems = text.stem(text.keywords(F.col("text"), text.stopwords()))
-    docs = v.table(spark, sf, "documents").filter(F.col("lang") == "es")
+    docs = v.texts(spark, sf).filter(F.col("lang") == "es")
     return docs.select("doc_id", F.explode(stems).alias("stem")).groupBy("stem").agg(F.count("*").alias("n"))
 
 

@@ -11,12 +11,18 @@ from pyspark.sql import functions as F
 from tidemill.functions.text import format_id
 from tidemill.operators.recommend import mean_ratings
 from tidemill.operators.series import daily_series
+from tidemill.session import spread
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents for costly work on each text."""
+    return spread(table(spark, sf, "documents"))
+
+
 def sales(spark: SparkSession, sf: str) -> DataFrame:
     """One row per order line."""
     amount = F.col("l_extendedprice").cast("decimal(12,2)")
@@ -50,13 +56,10 @@ def stores(spark: SparkSession, sf: str) -> DataFrame:
 def chain_daily(spark: SparkSession, sf: str) -> DataFrame:
     """Daily sales by brand and region, the shape of a small chain: at most brands x regions x days rows.
 
-    Lines are first summed per (part, supplier, day), map-side, so a part or supplier with a third of
-    all lines meets the joins as a bounded number of rows.
+    The sums run map-side, so only that many rows leave each task; a part with a third of all lines is
+    split by the skew join.
     """
-    lines = sales(spark, sf).groupBy("product_id", "store_id", "sale_date").agg(
-        F.sum("units_sold").alias("units_sold"), F.sum("revenue").cast("decimal(18,4)").alias("revenue"),
-        F.min("discount_pct").alias("discount_pct"),
-    )
+    lines = sales(spark, sf).select("product_id", "store_id", "sale_date", "units_sold", "revenue", "discount_pct")
     brand = products(spark, sf).select("product_id", F.substring("category", 7, 5).cast("int").alias("brand"))
     region = stores(spark, sf).select("store_id", "region_id")
     rows = lines.join(brand, "product_id").join(region, "store_id").select(
@@ -106,13 +109,13 @@ def user_clusters(spark: SparkSession, sf: str) -> DataFrame:
 
 def readings(spark: SparkSession, sf: str) -> DataFrame:
     """Sensor readings: five measures derived from each event's value and property."""
-    return readings_of(table(spark, sf, "events"))
+    return readings_of(spread(table(spark, sf, "events")))
 
 
 def readings_of(events: DataFrame) -> DataFrame:
     """The same columns from any table or stream of events."""
-    k = F.get_json_object("props", "$.k").cast("int")
-    return events.select(
+    k = F.col("k")
+    return events.withColumn("k", F.get_json_object("props", "$.k").cast("int")).select(
         "event_id",
         format_id("MAQ-", F.col("user_id"), 3).alias("maquina_id"),
         "ts",

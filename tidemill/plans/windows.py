@@ -9,6 +9,7 @@ from tidemill.operators import relational as rel
 from tidemill.operators.dialogue import session_history
 from tidemill.plans import views as v
 from tidemill.plans.registry import query
+from tidemill.session import cut_lineage
 
 SERIES = "PARTITION BY store_id, product_id ORDER BY sale_date"
 
@@ -70,7 +71,7 @@ near AS (SELECT u, v, sim, rank FROM (SELECT *, row_number() OVER (PARTITION BY
 
 @query("w5_top_neighbours", f"WITH {NEAR_SQL} SELECT u, v, round(sim, 6) AS sim, rank FROM near", "ratings")
 def w5(spark, sf):
-    return recommend.neighbours(v.ratings(spark, sf), k=30).withColumn("sim", F.round("sim", 6))
+    return recommend.neighbours(cut_lineage(v.ratings(spark, sf)), k=30).withColumn("sim", F.round("sim", 6))
 
 
 @query("w6_top_items", """

@@ -52,6 +52,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deals rows to all cores if the scan gives fewer tasks than there are cores (one small file), so
+    that costly row work does not run in a single task. Large scans are left as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def task_count(spark: SparkSession) -> int:
     """The number of reduce tasks the operator of the cluster asked for."""
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
