@@ -149,6 +149,12 @@ class TestRecommend:
         got = recommend.neighbours(ratings, k=6, block_size=block_size)
         assert sorted((r.u, r.v) for r in got.collect()) == sorted(want)
 
+    def test_text_ids(self, spark, ratings):
+        named = ratings.select(F.format_string("U%04d", "user").alias("user"), F.format_string("C%03d", "item").alias("item"), "rating")
+        want = recommend.recommend(ratings, recommend.neighbours(ratings, k=2, block_size=16))
+        got = recommend.recommend(named, recommend.neighbours(named, k=2, block_size=16))
+        assert sorted((r.u, r.item) for r in got.collect()) == sorted((f"U{r.u:04d}", f"C{r.item:03d}") for r in want.collect())
+
     def test_recommendations_equal_brute_force(self, spark, ratings):
         sim, mask, mean, c = self.brute(ratings)
         want = []
@@ -217,6 +223,12 @@ class TestClustering:
         counts = clustering.cluster_counts(got).first()
         assert counts.n_noise == self.brute_dbscan(xs, 0.4, 5).count(-1)
 
+    def test_dbscan_with_text_ids(self, points):
+        xs, df = points
+        named = df.withColumn("id", F.format_string("U%04d", "id"))
+        got = clustering.dbscan(named, "id", "x", 2, eps=0.4, min_samples=5, block_size=64)
+        assert [r.label for r in got.orderBy("id").collect()] == self.brute_dbscan(xs, 0.4, 5)
+
     def test_components_of_a_long_path(self, spark):
         edges = spark.createDataFrame([(i, i + 1) for i in range(40) if i != 20], "a long, b long")
         roots = {r.node: r.root for r in clustering.connected_components(edges).collect()}

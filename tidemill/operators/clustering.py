@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tidemill import fixed_values as fv
 from tidemill.operators.blocks import PAIR, block_count, hash_block, into_block_pairs, into_near_pairs
-from tidemill.operators.ordered import GRAIN, exact_percentiles, row_numbers, with_quantile_grain
+from tidemill.operators.ordered import GRAIN, exact_percentiles, id_grain, row_numbers, with_quantile_grain
 from tidemill.session import cut_lineage
 
 
@@ -289,9 +289,8 @@ def dbscan(df: DataFrame, key: str, col: str, size: int, eps: float = 1.8, min_s
         .agg(F.min("root").alias("root"))
     )
     assigned = roots.unionByName(border)
-    numbers = row_numbers(
-        roots.select("root").distinct(), [], [F.col("root")], F.floor(F.col("root").cast("double") / 65536), "number"
-    )
+    firsts = roots.select("root").distinct()
+    numbers = row_numbers(firsts, [], [F.col("root")], id_grain(firsts, "root"), "number")
     named = assigned.join(numbers, "root").select(F.col("node").alias("id"), (F.col("number") - 1).cast("int").alias("label"))
     per_point = placed.select("id", "x").join(named, "id", "left").select("x", F.coalesce("label", F.lit(-1)).alias("label"))
     return rows.join(per_point, "x").select(F.col("id").alias(key), "label")

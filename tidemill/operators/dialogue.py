@@ -75,7 +75,7 @@ def turn_numbers(turns: DataFrame, session: str, order: str, grain_width: int =
     return row_numbers(turns, [session], [F.col(order)], F.floor(F.col(order) / grain_width), "turn_no")
 
 
-def dialogue(turns: DataFrame, session: str, order: str, text: str, intent: str, machine: Machine | None = None, chunk: int = 256) -> DataFrame:
+def dialogue(turns: DataFrame, session: str, order: str, text: str, intent: str, machine: Machine | None = None, chunk: int = 2048) -> DataFrame:
     """Per turn the state before and after and the action taken."""
     m = machine or Machine()
     size = len(m.states)
@@ -85,9 +85,7 @@ def dialogue(turns: DataFrame, session: str, order: str, text: str, intent: str,
     chunks = stepped.groupBy(session, "__chunk").agg(ordered.alias("__turns")).withColumn(
         "__map", F.aggregate("__turns", identity, lambda acc, t: F.transform(acc, lambda s: F.element_at(t.getField("s"), s)))
     )
-    per_session = chunks.groupBy(session).agg(F.count("*").alias("__n"))
-    chunks = chunks.join(per_session, session)
-    started = _chunk_starts(chunks, session)
+    started = chunks.drop("__map").join(_chunk_starts(chunks.select(session, "__chunk", "__map"), session), [session, "__chunk"])
     walked = started.withColumn(
         "__states",
         F.aggregate(
@@ -114,9 +112,9 @@ def dialogue(turns: DataFrame, session: str, order: str, text: str, intent: str,
     )
 
 
-def _chunk_starts(chunks: DataFrame, session: str) -> DataFrame:
-    """Start state per chunk. Sessions of one chunk start idle; longer ones run through one small map
-    per chunk."""
+def _chunk_starts(maps: DataFrame, session: str) -> DataFrame:
+    """Start state per chunk (session, chunk, start). Sessions of one chunk start idle; longer ones run
+    through their maps, a few numbers per chunk."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("__chunk")
@@ -126,12 +124,12 @@ def _chunk_starts(chunks: DataFrame, session: str) -> DataFrame:
             state = int(step[state - 1])
         return pdf.drop(columns="__map").assign(__start=starts)
 
-    kind = chunks.schema[session].dataType.simpleString()
-    long = chunks.filter("__n > 1")
-    starts = long.select(session, "__chunk", "__map").groupBy(session).applyInPandas(run, f"`{session}` {kind}, `__chunk` bigint, `__start` int")
-    multi = long.join(starts, [session, "__chunk"])
-    single = chunks.filter("__n = 1").withColumn("__start", F.lit(1))
-    return single.unionByName(multi)
+    kind = maps.schema[session].dataType.simpleString()
+    sizes = maps.groupBy(session).agg(F.count("*").alias("__n"))
+    counted = maps.join(sizes, session)
+    long = counted.filter("__n > 1").select(session, "__chunk", "__map")
+    starts = long.groupBy(session).applyInPandas(run, f"`{session}` {kind}, `__chunk` bigint, `__start` int")
+    return counted.filter("__n = 1").select(session, "__chunk", F.lit(1).alias("__start")).unionByName(starts)
 
 
 def session_history(turns: DataFrame, session: str, order: str, cleared: DataFrame | None = None) -> DataFrame:

@@ -20,11 +20,6 @@ GRAIN = "__grain"
 MERGED_VALUES = 500_000
 
 
-def same(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
-    """Null-safe equality on all of ``cols``; still an equi-join for Spark."""
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in cols])
-
-
 def with_quantile_grain(df: DataFrame, col: str, grains: int | None = None) -> DataFrame:
     """Adds a grain that cuts a numeric column into about equally many rows each.
 
@@ -39,6 +34,16 @@ def with_quantile_grain(df: DataFrame, col: str, grains: int | None = None) -> D
     return cut.transform(df.withColumn("__x", F.col(col).cast("double"))).drop("__x")
 
 
+def id_grain(df: DataFrame, col: str, width: int = 65_536) -> Column:
+    """A grain along the order of an id: ranges of a number, or the leading characters of a text, all
+    but the last three of the longest one."""
+    kind = df.schema[col].dataType.simpleString()
+    if kind == "string":
+        longest = df.agg(F.max(F.length(col))).first()[0] or 0
+        return F.substring(col, 1, max(longest - 3, 1))
+    return F.floor(F.col(col).cast("double") / width)
+
+
 def running_totals(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], totals: dict[str, Column], grain: Column
 ) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.operators.blocks import PAIR, block_count, hash_block, into_block_pairs
-from tidemill.operators.ordered import row_numbers
+from tidemill.operators.ordered import id_grain, row_numbers
 from tidemill.operators.relational import hash_order
 from tidemill.session import cut_lineage
 
@@ -120,7 +120,8 @@ def neighbours(
     paired = into_block_pairs(c.withColumn("block", hash_block(F.col("user"), blocks)), "block", blocks)
 
     def best(row, col, sim, users_row, users_col, scope):
-        order = np.lexsort((users_col[col], -sim, row))
+        # users are sorted, so their positions rank like their ids
+        order = np.lexsort((col, -sim, row))
         row, col, sim = row[order], col[order], sim[order]
         first = np.searchsorted(row, row, side="left")
         keep = np.arange(len(row)) - first < k
@@ -211,8 +212,9 @@ def unrated_fillers(ratings: DataFrame, predicted: DataFrame, items: DataFrame,
 
     Found as gaps between the occupied positions of the item list, without a user x item grid.
     """
-    place = row_numbers(items.select("item").distinct(), [], [F.col("item")], F.floor(F.col("item").cast("double") / 65536), "pos")
-    n_items = items.select("item").distinct().count()
+    known = items.select("item").distinct()
+    place = row_numbers(known, [], [F.col("item")], id_grain(known, "item"), "pos")
+    n_items = known.count()
     taken = (
         ratings.select(F.col("user").alias("u"), "item")
         .join(users, "u", "left_semi")

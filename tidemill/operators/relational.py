@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.operators.ordered import row_numbers, same
+from tidemill.operators.ordered import row_numbers
 
 MAX_LEVELS = 10_000
 BROADCAST_ROWS = 1_000_000
@@ -24,8 +24,9 @@ def small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
 
 
 def lookup(facts: DataFrame, dim: DataFrame, key: str, defaults: Mapping[str, object]) -> DataFrame:
-    """Left join to a dimension; attributes of unknown keys take ``defaults``."""
-    joined = facts.join(dim, key, "left")
+    """Left join to a dimension; attributes of unknown keys take ``defaults``. The dimension is
+    broadcast if it is checked to be small."""
+    joined = facts.join(small(dim), key, "left")
     return joined.select(
         *[
             F.coalesce(F.col(c), F.lit(defaults[c])).alias(c) if c in defaults else F.col(c)
@@ -261,7 +262,7 @@ def rank_split(
     """
     h = "__h"
     rows = df.withColumn(h, hash_order(F.col(key), seed))
-    ranked = row_numbers(rows, list(strata), [F.col(h), F.col(key)], F.substring(h, 1, 3), "__rank")
+    ranked = row_numbers(rows, list(strata), [F.col(h), F.col(key)], F.substring(h, 1, 4), "__rank")
     if strata:
         sizes = df.groupBy(*strata).agg(F.count("*").alias("__n"))
         ranked = ranked.join(

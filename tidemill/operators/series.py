@@ -73,26 +73,36 @@ def as_of_history(
     """History features as known just before a target day.
 
     A lag of n is the n-th last value, a roll of n the mean of the last n; where fewer exist, the mean
-    of what exists, and 0 without any history. Only the last ``max(n)`` days per target are ranked;
-    the overall mean is a plain aggregate.
+    of what exists, and 0 without any history. Targets find their place in the history through one
+    running count; targets with the same place share one look-back of at most ``max(n)`` rows.
     """
-    ids = [*keys, target_day]
-    past = targets.select(*ids).distinct().join(daily.select(*keys, "sale_date", col), list(keys)).filter(
-        F.col("sale_date") < F.col(target_day)
+    ids, deep = list(keys), max(*lags, *rolls)
+    past = daily.select(*ids, F.col("sale_date").alias("__d"), F.lit(1).alias("__kind"), F.col(col).cast("double").alias("__x"))
+    asked = targets.select(*ids, F.col(target_day).alias("__d")).distinct().select(
+        "*", F.lit(0).alias("__kind"), F.lit(None).cast("double").alias("__x")
     )
-    w = Window.partitionBy(*ids).orderBy(F.desc("sale_date"))
-    back = past.withColumn("__back", F.row_number().over(w))
-    mean, n = F.avg(col), F.count(col)
-    aggs = [
-        F.when(n >= k, F.max(F.when(F.col("__back") == k, F.col(col))).cast("double")).otherwise(mean).alias(f"lag_{k}")
-        for k in lags
+    # on the same day the target comes before the sale, which it must not see
+    w = Window.partitionBy(*ids).orderBy("__d", "__kind").rowsBetween(Window.unboundedPreceding, 0)
+    placed = past.unionByName(asked).select("*", F.count("__x").over(w).alias("__n"), F.sum("__x").over(w).alias("__s"))
+    spots = placed.filter("__kind = 0").select(*ids, F.col("__d").alias(target_day), "__n", (F.col("__s") / F.col("__n")).alias("__mean"))
+    look = (
+        spots.select(*ids, "__n").distinct().filter("__n > 0")
+        .withColumn("__back", F.explode(F.sequence(F.lit(1), F.least(F.lit(deep).cast("bigint"), F.col("__n")).cast("int"))))
+        .withColumn("__at", F.col("__n") - F.col("__back") + 1)
+    )
+    values = placed.filter("__kind = 1").select(*ids, F.col("__n").alias("__at"), "__x")
+    near = look.join(values, [*ids, "__at"])
+    wanted = [
+        F.max(F.when(F.col("__back") == k, F.col("__x"))).alias(f"lag_{k}") for k in lags
     ] + [
-        F.when(n >= k, F.avg(F.when(F.col("__back") <= k, F.col(col)))).otherwise(mean).alias(f"roll_{k}")
-        for k in rolls
+        F.when(F.max("__n") >= k, F.avg(F.when(F.col("__back") <= k, F.col("__x")))).alias(f"roll_{k}") for k in rolls
     ]
-    known = back.groupBy(*ids).agg(*aggs)
+    found = near.groupBy(*ids, "__n").agg(*wanted)
     names = [f"lag_{k}" for k in lags] + [f"roll_{k}" for k in rolls]
-    return targets.join(known, ids, "left").fillna(0.0, subset=names)
+    known = spots.join(found, [*ids, "__n"], "left").select(
+        *ids, target_day, *[F.coalesce(F.col(c), F.col("__mean"), F.lit(0.0)).alias(c) for c in names]
+    )
+    return targets.join(known, [*ids, target_day], "left")
 
 
 def future_days(entities: DataFrame, start: Column, days: int, name: str = "target_date") -> DataFrame:

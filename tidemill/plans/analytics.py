@@ -358,3 +358,12 @@ def st7(spark, sf):
 def m1_distance(spark, sf):
     e = arrays.as_doubles(F.col("embedding"))
     return v.table(spark, sf, "embeddings").select("vec_id", F.round(arrays.nearest_distance(e, [[0.1] * 64]), 6).alias("distance"))
+
+
+@query("x5_custom_metric", """
+WITH p AS (SELECT store_id, CAST(units_sold AS DOUBLE) AS y, coalesce(avg(units_sold) OVER (PARTITION BY store_id, product_id ORDER BY sale_date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING), 0) AS f FROM chain_daily)
+SELECT store_id, round(avg(abs((y - f) / greatest(y, 1))) * 100, 4) AS mape FROM p GROUP BY 1""", "chain_daily")
+def x5(spark, sf):
+    d = series.rolling_mean(v.chain_daily(spark, sf), ["store_id", "product_id"], "sale_date", "units_sold", -7, -1, "f").fillna(0.0, ["f"])
+    y = F.col("units_sold").cast("double")
+    return d.groupBy("store_id").agg(F.round(F.avg(F.abs((y - F.col("f")) / F.greatest(y, F.lit(1.0)))) * 100, 4).alias("mape"))

@@ -47,7 +47,7 @@ def products(spark: SparkSession, sf: str) -> DataFrame:
 
 def stores(spark: SparkSession, sf: str) -> DataFrame:
     nation = table(spark, sf, "nation")
-    return table(spark, sf, "supplier").join(F.broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey")).select(
+    return table(spark, sf, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
         F.col("s_suppkey").alias("store_id"), F.col("s_name").alias("store_name"), F.col("n_name").alias("city"),
         F.col("n_regionkey").alias("region_id"),
     )
@@ -73,7 +73,7 @@ def weather(spark: SparkSession, sf: str) -> DataFrame:
     nation = table(spark, sf, "nation").select("n_nationkey", "n_regionkey")
     orders = table(spark, sf, "orders").join(
         table(spark, sf, "customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey")
-    ).join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
+    ).join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
     total = F.sum(F.col("o_totalprice").cast("decimal(12,2)")).cast("double")
     return orders.groupBy(
         F.col("n_regionkey").alias("store_id"), F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month")
