@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tidemill import fixed_values as fv
 from tidemill.operators.blocks import PAIR, block_count, hash_block, into_block_pairs, into_near_pairs
 from tidemill.operators.ordered import GRAIN, exact_percentiles, id_grain, row_numbers, with_quantile_grain
-from tidemill.session import cut_lineage
+from tidemill.session import cut_lineage, packed
 
 
 # ---- scaling --------------------------------------------------------------------------------
@@ -55,12 +55,14 @@ def as_vectors(df: DataFrame, col: str) -> DataFrame:
 
 
 def fit_kmeans(df: DataFrame, k: int, restarts: int = 10, seed: int = 42, features: str = "features", max_iter: int = 20):
-    """The best of several seeded runs by training cost. ``df`` should be cached."""
-    models = [
-        KMeans(k=k, seed=seed + r, maxIter=max_iter, featuresCol=features, predictionCol="cluster").fit(df)
-        for r in range(restarts)
-    ]
-    return min(models, key=lambda m: m.summary.trainingCost)
+    """The best of several seeded runs by training cost."""
+    with packed(df.select(features)) as data:
+        return _best_kmeans(data, k, restarts, seed, features, max_iter)
+
+
+def _best_kmeans(data: DataFrame, k: int, restarts: int, seed: int, features: str = "features", max_iter: int = 20):
+    runs = [KMeans(k=k, seed=seed + r, maxIter=max_iter, featuresCol=features, predictionCol="cluster") for r in range(restarts)]
+    return min((run.fit(data) for run in runs), key=lambda m: m.summary.trainingCost)
 
 
 def total_spread(df: DataFrame, col: str, size: int) -> float:
@@ -71,13 +73,11 @@ def total_spread(df: DataFrame, col: str, size: int) -> float:
 
 def kmeans_elbow(df: DataFrame, col: str, size: int, ks: Sequence[int], restarts: int = 10, seed: int = 42) -> list[tuple[int, float]]:
     """(k, cost) per k; a single cluster needs no model."""
-    data = as_vectors(df, col).select("features").cache()
-    out = []
-    for k in ks:
-        cost = total_spread(df, col, size) if k == 1 else fit_kmeans(data, k, restarts, seed).summary.trainingCost
-        out.append((k, float(cost)))
-    data.unpersist()
-    return out
+    with packed(as_vectors(df, col).select(col, "features")) as data:
+        return [
+            (k, float(total_spread(data, col, size) if k == 1 else _best_kmeans(data.select("features"), k, restarts, seed).summary.trainingCost))
+            for k in ks
+        ]
 
 
 def pca(df: DataFrame, col: str, size: int, n: int) -> tuple[DataFrame, list[float]]:
@@ -352,7 +352,11 @@ def fit_detector(df: DataFrame, k: int = 2, contamination: float = 0.05, seed: i
     """Scales (sample deviation, 0 counts as 1), clusters, and sets the limit at the 95th percentile of
     the training distances."""
     names = list(defaults)
-    data = df.select(*features_or_defaults(defaults)).cache()
+    with packed(df.select(*features_or_defaults(defaults))) as data:
+        return _fit_detector(data, names, k, contamination, seed, max_iter)
+
+
+def _fit_detector(data: DataFrame, names: list[str], k: int, contamination: float, seed: int, max_iter: int) -> Detector:
     model = Pipeline(
         stages=[
             VectorAssembler(inputCols=names, outputCol="raw"),
@@ -368,9 +372,7 @@ def fit_detector(df: DataFrame, k: int = 2, contamination: float = 0.05, seed: i
         [[float(v) for v in c] for c in km.clusterCenters()],
         float("inf"),
     )
-    d = _with_threshold(data, d, contamination)
-    data.unpersist()
-    return d
+    return _with_threshold(data, d, contamination)
 
 
 def fit_baseline_detector(df: DataFrame, contamination: float = 0.05, defaults: Mapping[str, float] = fv.DETECTOR_DEFAULTS) -> Detector:

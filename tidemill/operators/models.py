@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tidemill.operators.evaluate import regression_metrics
 from tidemill.operators.ordered import row_numbers
+from tidemill.session import packed
 
 # Search grids of the demand forest and ranges of the boosted classifier.
 FOREST_GRID = {
@@ -49,11 +50,14 @@ def boosting_regressor(rounds: int = 150, depth: int = 5, rate: float = 0.08, se
     return GBTRegressor(maxIter=rounds, maxDepth=depth, stepSize=rate, seed=seed)
 
 
+def fit(estimator, train: DataFrame):
+    with packed(train) as data:
+        return estimator.fit(data)
+
+
 def fit_and_score(estimator, train: DataFrame, test: DataFrame):
     """Fits, predicts the test rows (floored at 0) and returns (model, predictions, metrics)."""
-    cached = train.cache()
-    model = estimator.fit(cached)
-    cached.unpersist()
+    model = fit(estimator, train)
     scored = model.transform(test).withColumn("prediction", F.greatest(F.col("prediction"), F.lit(0.0)))
     return model, scored, regression_metrics(scored, "label", "prediction")
 
@@ -89,17 +93,16 @@ def time_folds(df: DataFrame, day: str, folds: int = 4) -> DataFrame:
 def random_search(train: DataFrame, day: str, grid: Mapping[str, Sequence] = FOREST_GRID, n_iter: int = 20, folds: int = 4,
                   seed: int = 42) -> tuple[dict, list[tuple[dict, float]]]:
     """Mean absolute error over expanding time folds per draw; returns the best draw and all of them."""
-    dealt = time_folds(train, day, folds).select("fold", "label", "features").cache()
     board = []
-    for params in draw(grid, n_iter, seed):
-        errors = []
-        for f in range(1, folds + 1):
-            model = RandomForestRegressor(seed=seed, **params).fit(dealt.filter(F.col("fold") < f))
-            scored = model.transform(dealt.filter(F.col("fold") == f))
-            errors.append(scored.agg(F.avg(F.abs(F.col("label") - F.col("prediction")))).first()[0])
-        errors = [e for e in errors if e is not None]
-        board.append((params, sum(errors) / len(errors)))
-    dealt.unpersist()
+    with packed(time_folds(train, day, folds).select("fold", "label", "features")) as dealt:
+        for params in draw(grid, n_iter, seed):
+            errors = []
+            for f in range(1, folds + 1):
+                model = RandomForestRegressor(seed=seed, **params).fit(dealt.filter(F.col("fold") < f))
+                scored = model.transform(dealt.filter(F.col("fold") == f))
+                errors.append(scored.agg(F.avg(F.abs(F.col("label") - F.col("prediction")))).first()[0])
+            errors = [e for e in errors if e is not None]
+            board.append((params, sum(errors) / len(errors)))
     return min(board, key=lambda r: r[1])[0], board
 
 
@@ -142,17 +145,15 @@ def tune_boosted(train: DataFrame, validation: DataFrame, ranges: Mapping[str, t
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
 
     rng, board = random.Random(seed), []
-    data, held = train.cache(), validation.cache()
     judge = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC")
-    for job in range(max_jobs):
-        params = {
-            k: rng.randint(a, b) if isinstance(a, int) and isinstance(b, int) else round(rng.uniform(a, b), 4)
-            for k, (a, b) in ranges.items()
-        }
-        model = GBTClassifier(maxIter=rounds, seed=seed, **params).fit(data)
-        board.append((job, params, float(judge.evaluate(model.transform(held))), model))
-    data.unpersist()
-    held.unpersist()
+    with packed(train) as data, packed(validation) as held:
+        for job in range(max_jobs):
+            params = {
+                k: rng.randint(a, b) if isinstance(a, int) and isinstance(b, int) else round(rng.uniform(a, b), 4)
+                for k, (a, b) in ranges.items()
+            }
+            model = GBTClassifier(maxIter=rounds, seed=seed, **params).fit(data)
+            board.append((job, params, float(judge.evaluate(model.transform(held))), model))
     board.sort(key=lambda r: (-r[2], r[0]))
     return board[0][3], [(job, str(params), auc) for job, params, auc, _ in board]
 

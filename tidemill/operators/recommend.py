@@ -28,13 +28,13 @@ def mean_ratings(rows: DataFrame) -> DataFrame:
 def centred(ratings: DataFrame) -> DataFrame:
     """Ratings with the user's mean, the deviation from it, and the norm of all the user's deviations.
 
-    The means are aggregated and joined back instead of windowed, so a user with a third of all
-    ratings is split by AQE. A user never has more rows than there are items.
+    Mean and norm come from one aggregate that is joined back, not from a window, so a user with a
+    third of all ratings is split by AQE. A user never has more rows than there are items. The norm of
+    equal ratings is exactly 0.
     """
-    means = ratings.groupBy("user").agg(F.avg("rating").alias("user_mean"))
-    dev = ratings.join(means, "user").withColumn("dev", F.col("rating") - F.col("user_mean"))
-    norms = dev.groupBy("user").agg(F.sqrt(F.sum(F.col("dev") * F.col("dev"))).alias("norm"))
-    return dev.join(norms, "user")
+    spread = F.sqrt(F.var_pop("rating") * F.count("rating"))
+    stats = ratings.groupBy("user").agg(F.avg("rating").alias("user_mean"), spread.alias("norm"))
+    return ratings.join(stats, "user").withColumn("dev", F.col("rating") - F.col("user_mean"))
 
 
 def pair_similarity(ratings: DataFrame, pairs: DataFrame) -> DataFrame:

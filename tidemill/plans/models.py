@@ -34,7 +34,6 @@ def user_vectors(spark, sf):
 @query("m4_kmeans_elbow")
 def m4(spark, sf):
     x, size = user_vectors(spark, sf)
-    x = x.cache()
     costs = clustering.kmeans_elbow(x, "x", size, range(1, 7), restarts=2)
     return spark.createDataFrame(costs, "k int, cost double")
 
@@ -42,7 +41,7 @@ def m4(spark, sf):
 @query("m4_kmeans_clusters")
 def m4_clusters(spark, sf):
     x, _ = user_vectors(spark, sf)
-    data = clustering.as_vectors(x, "x").cache()
+    data = clustering.as_vectors(x, "x")
     model = clustering.fit_kmeans(data, 5, restarts=10)
     return model.transform(data).select("user", "cluster")
 
@@ -105,7 +104,7 @@ def m11(spark, sf):
 def m12(spark, sf):
     daily, weather = v.chain_daily(spark, sf), v.weather(spark, sf)
     train, _ = demand(spark, sf)
-    model = models.forest_regressor(trees=20, depth=8).fit(train)
+    model = models.fit(models.forest_regressor(trees=20, depth=8), train)
     pairs = daily.groupBy("store_id", "product_id").agg(F.max("sale_date").alias("last"), F.max("unit_price").alias("base_price"))
     grid = series.future_days(pairs, F.date_add("last", 1), 30).withColumn("discount_pct", F.lit(5))
     known = series.as_of_history(grid, daily, ["store_id", "product_id"], "target_date", "units_sold")
@@ -120,14 +119,14 @@ def m12(spark, sf):
 @query("m14_importances")
 def m14(spark, sf):
     train, _ = demand(spark, sf)
-    model = models.forest_regressor(trees=10, depth=8).fit(train)
+    model = models.fit(models.forest_regressor(trees=10, depth=8), train)
     return models.importances(spark, model, fv.DEMAND_FEATURES)
 
 
 @query("l10_top_importances")
 def l10(spark, sf):
     train, _ = demand(spark, sf)
-    model = models.forest_regressor(trees=10, depth=8).fit(train)
+    model = models.fit(models.forest_regressor(trees=10, depth=8), train)
     return models.importances(spark, model, fv.DEMAND_FEATURES, 15)
 
 
@@ -156,11 +155,32 @@ def labelled_documents(spark, sf):
     return v.table(spark, sf, "labels").select("doc_id", F.col("quality").cast("string").alias("label")).join(docs, "doc_id")
 
 
-@query("m20_sentiment")
+def _bayes_sql(name: str, parts: str) -> str:
+    """Multinomial naive Bayes in SQL: smoothed word and class frequencies of the training parts."""
+    return f"""
+{name}_tok AS (SELECT doc_id, label, w FROM tok WHERE part IN ({parts})),
+{name}_voc AS (SELECT DISTINCT w FROM {name}_tok),
+{name}_cls AS (SELECT label, ln(count(*) + 1.0) - ln((SELECT count(*) FROM docs WHERE part IN ({parts})) + 2.0) AS prior FROM docs WHERE part IN ({parts}) GROUP BY 1),
+{name}_tot AS (SELECT c.label, count(t.w) + (SELECT count(*) FROM {name}_voc) AS total FROM {name}_cls c LEFT JOIN {name}_tok t ON t.label = c.label GROUP BY 1),
+{name}_cnt AS (SELECT label, w, count(*) AS n FROM {name}_tok GROUP BY 1, 2),
+{name}_test AS (SELECT t.doc_id, c.label, sum(ln(coalesce(n.n, 0) + 1.0) - ln(CAST(tt.total AS DOUBLE))) AS ll
+  FROM tok t JOIN {name}_voc v ON v.w = t.w CROSS JOIN {name}_cls c JOIN {name}_tot tt ON tt.label = c.label LEFT JOIN {name}_cnt n ON n.label = c.label AND n.w = t.w WHERE t.part = 2 GROUP BY 1, 2),
+{name}_best AS (SELECT d.doc_id, d.label AS want, arg_max(c.label, c.prior + coalesce(x.ll, 0)) AS got FROM docs d CROSS JOIN {name}_cls c
+  LEFT JOIN {name}_test x ON x.doc_id = d.doc_id AND x.label = c.label WHERE d.part = 2 GROUP BY 1, 2)"""
+
+
+@query("m20_sentiment", lambda: f"""
+WITH docs AS (SELECT doc_id, label, text, CASE WHEN r <= floor(n * CAST(0.6 AS DOUBLE)) THEN 0 WHEN r <= floor(n * CAST(0.7 AS DOUBLE)) THEN 1 ELSE 2 END AS part FROM (
+  SELECT l.doc_id, CAST(l.quality AS VARCHAR) AS label, d.text, row_number() OVER (ORDER BY md5('42:' || l.doc_id), l.doc_id) AS r, count(*) OVER () AS n
+  FROM labels l JOIN documents d ON l.doc_id = d.doc_id)),
+tok AS (SELECT doc_id, label, part, unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]{{2,}}')) AS w FROM docs),
+{_bayes_sql("a", "0")}, {_bayes_sql("b", "0, 1")}
+SELECT 'base' AS training, round(avg(CAST(want = got AS INTEGER)), 6) AS accuracy FROM a_best
+UNION ALL SELECT 'extended', round(avg(CAST(want = got AS INTEGER)), 6) FROM b_best""")
 def m20(spark, sf):
     parts = rel.rank_split(labelled_documents(spark, sf), "doc_id", [0.6, 0.1, 0.3]).select("text", "label", "part").cache()
     train, extra, test = (parts.filter(F.col("part") == i).select("text", "label") for i in range(3))
-    return textmodels.sentiment_before_and_after(train, extra, test)
+    return textmodels.sentiment_before_and_after(train, extra, test).withColumn("accuracy", F.round("accuracy", 6))
 
 
 def intent_rows(spark, sf):
@@ -204,7 +224,7 @@ def flight_rows(spark, sf):
     hot = [c for c in encoded.columns if c.startswith("airline_")]
     key = F.concat_ws("-", "flight_id", "leg", "plane")
     rows = models.assembled(encoded.withColumn("key", key), [*FLIGHT_COLS, *hot], "is_delay", keep=["key"])
-    parts = rel.rank_split(rows.distinct(), "key", [0.8, 0.1, 0.1], ["label"]).cache()
+    parts = rel.rank_split(rows, "key", [0.8, 0.1, 0.1], ["label"]).cache()
     return [parts.filter(F.col("part") == i).drop("part") for i in range(3)]
 
 
@@ -217,13 +237,13 @@ def _judge(scored):
 @query("m27_linear_classifier")
 def m27(spark, sf):
     train, valid, _ = flight_rows(spark, sf)
-    return _judge(models.batch_predict(models.linear_classifier(20).fit(train), valid))
+    return _judge(models.batch_predict(models.fit(models.linear_classifier(20), train), valid))
 
 
 @query("m28_boosted_trees")
 def m28(spark, sf):
     train, _, test = flight_rows(spark, sf)
-    model = models.boosted_classifier(rounds=10).fit(train)
+    model = models.fit(models.boosted_classifier(rounds=10), train)
     return models.batch_predict(model, test).select("key", "label", F.round("score", 4).alias("score"), "predicted")
 
 
@@ -240,12 +260,24 @@ def m30(spark, sf):
         "p_partkey", "p_size", "p_retailprice", F.length("p_name").alias("n"),
         (((F.col("p_size") < 5) & (F.col("p_retailprice") < 1500)) | (F.col("p_type") == "PROMO")).cast("int").alias("label"))
     parts = rel.rank_split(rows, "p_partkey", [0.7, 0.3]).cache()
-    model = models.forest_classifier(["p_size", "p_retailprice", "n"], "label", trees=100).fit(parts.filter("part = 0"))
+    model = models.forest_classifier(["p_size", "p_retailprice", "n"], "label", trees=100)
+    model = models.fit(model, parts.filter("part = 0"))
     scored = model.transform(parts.filter("part = 1")).withColumn("predicted", F.col("prediction").cast("int"))
     return evaluate.classification_report(scored, "label", "predicted")
 
 
-@query("m32_encoded_flights")
+LEVELS = {"year": range(1995, 2002), "quarter": range(1, 5), "month": range(1, 13), "day_of_month": range(1, 32), "day_of_week": range(1, 8),
+          "airline": range(1, 6), "origin": range(25), "dest": range(25), "is_holiday": range(2)}
+
+
+@query("m32_encoded_flights", lambda: """
+WITH dw AS (SELECT day, place, awnd, prcp, coalesce(snow, CAST(0 AS DOUBLE)) AS snow, coalesce(tavg, avg(tavg) OVER (PARTITION BY month(day), place)) AS tavg FROM daily_weather),
+f AS (SELECT f.*, year(f.day) AS year, quarter(f.day) AS quarter, month(f.day) AS month, day(f.day) AS day_of_month, isodow(f.day) AS day_of_week,
+             f.dep_time // 100 AS dep_hour, 0 AS is_holiday FROM flights f)
+SELECT f.flight_id, f.leg, f.plane, f.distance, f.is_delay, f.dep_hour, o.awnd AS awnd_o, d.snow AS snow_d, """ + ", ".join(
+    f"CASE WHEN {c} = {x} THEN 1 ELSE 0 END AS {c}_{x}" for c, xs in LEVELS.items() for x in list(xs)[1:]) + """
+FROM f LEFT JOIN dw o ON f.day = o.day AND f.origin = o.place LEFT JOIN dw d ON f.day = d.day AND f.dest = d.place""", "flights daily_weather")
 def m32(spark, sf):
     f = flights.flight_features(v.flights(spark, sf), v.daily_weather(spark, sf))
-    return flights.encoded(f.drop("dep_time"))
+    out = flights.encoded(f, LEVELS)
+    return out.select("flight_id", "leg", "plane", "distance", "is_delay", "dep_hour", "awnd_o", "snow_d", *[f"{c}_{x}" for c, xs in LEVELS.items() for x in list(xs)[1:]])

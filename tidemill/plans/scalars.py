@@ -175,9 +175,12 @@ def f17(spark, sf):
         "doc_id", F.size("k").cast("bigint").alias("n_keywords"), F.md5(F.array_join("k", " ")).alias("digest"))
 
 
-@query("f18_stem")
+@query("f18_stem", lambda: f"""
+WITH k AS (SELECT unnest(list_filter(string_split({NORMAL}, ' '), lambda t: length(t) > 2 AND regexp_full_match(t, '\\p{{L}}+') AND NOT list_contains([{sql_list(QUERY_STOPWORDS)}], t))) AS w
+           FROM documents WHERE lang = 'es')
+SELECT regexp_replace(w, '^(.{{3,}}?)({"|".join(text.ENDINGS)})$', '\\1') AS stem, count(*) AS n FROM k GROUP BY 1""")
 def f18(spark, sf):
-    stems = text.stem(text.keywords(F.col("text"), text.stopwords()))
+    stems = text.stem(text.keywords(F.col("text"), QUERY_STOPWORDS))
     docs = v.texts(spark, sf).filter(F.col("lang") == "es")
     return docs.select("doc_id", F.explode(stems).alias("stem")).groupBy("stem").agg(F.count("*").alias("n"))
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,6 +61,22 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+@contextmanager
+def packed(df: DataFrame, rows_per_task: int = 50_000) -> Iterator[DataFrame]:
+    """Cached rows for an iterative fit, in as many partitions as their number deserves.
+
+    A fit runs hundreds of jobs over the same rows; a few rows in each of hundreds of partitions would
+    spend them on task starts. Large inputs keep their partitions.
+    """
+    cached = df.persist()
+    try:
+        rows, parts = cached.count(), cached.rdd.getNumPartitions()
+        wanted = max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // rows_per_task))
+        yield cached.coalesce(wanted) if wanted < parts else cached
+    finally:
+        cached.unpersist()
+
+
 def task_count(spark: SparkSession) -> int:
     """The number of reduce tasks the operator of the cluster asked for."""
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
