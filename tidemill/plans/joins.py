@@ -9,6 +9,7 @@ from tidemill.operators import series
 from tidemill.operators.recommend import pair_similarity
 from tidemill.plans import views as v
 from tidemill.plans.registry import query
+from tidemill.session import cut_lineage
 
 
 @query("j1_fact_dimension", """
@@ -150,7 +151,8 @@ SELECT t.store_id, t.product_id, t.target, round(coalesce(CASE WHEN n >= 7 THEN
        round(coalesce(CASE WHEN n >= 7 THEN r7 ELSE mean END, 0), 4) AS roll_7, round(coalesce(CASE WHEN n >= 30 THEN r30 ELSE mean END, 0), 4) AS roll_30
 FROM t LEFT JOIN g ON t.store_id = g.store_id AND t.product_id = g.product_id""", "chain_daily")
 def j12(spark, sf):
-    d = v.chain_daily(spark, sf)
+    # a stored daily table, bounded by series x days: the lines are read once for its several uses
+    d = cut_lineage(v.chain_daily(spark, sf))
     target = F.date_add(F.lit("1996-03-01").cast("date"), F.col("product_id") * 40)
     targets = d.select("store_id", "product_id", target.alias("target")).distinct()
     out = series.as_of_history(targets, d, ["store_id", "product_id"], "target", "units_sold")

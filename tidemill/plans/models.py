@@ -10,7 +10,7 @@ from tidemill.operators import clustering, evaluate, flights, models, recommend,
 from tidemill.operators import relational as rel
 from tidemill.plans import views as v
 from tidemill.plans.registry import query
-from tidemill.session import run_dir
+from tidemill.session import cut_lineage, run_dir
 
 CUT = "2000-07-01"
 
@@ -102,7 +102,7 @@ def m11(spark, sf):
 
 @query("m12_demand_forecast")
 def m12(spark, sf):
-    daily, weather = v.chain_daily(spark, sf), v.weather(spark, sf)
+    daily, weather = cut_lineage(v.chain_daily(spark, sf)), v.weather(spark, sf)
     train, _ = demand(spark, sf)
     model = models.fit(models.forest_regressor(trees=20, depth=8), train)
     pairs = daily.groupBy("store_id", "product_id").agg(F.max("sale_date").alias("last"), F.max("unit_price").alias("base_price"))
