@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -32,10 +33,16 @@ def build_session(app: str = "tidemill", master: str | None = None, **conf: str)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; only where it is unset (tests) one of our own."""
+    """The folder named by ``spark.checkpoint.dir``.
+
+    Where it is unset, a session inside one process (``local[n]``, as in tests) gets a folder of its own;
+    on a cluster a folder of one machine would be lost to the others, so that is an error.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors and the driver share")
     own = tempfile.mkdtemp(prefix="tidemill-")
     spark.sparkContext.setCheckpointDir(own)
     return own
@@ -46,12 +53,18 @@ def run_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/tidemill/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: survives the loss of executors, unlike a local one."""
+def stored(df: DataFrame, label: str = "stage") -> DataFrame:
+    """Writes the rows to the shared folder and reads them back: lineage ends there, the loss of an
+    executor loses nothing, later uses read only the columns they need, and plans know the size."""
     spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    path = run_dir(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """A stored copy (see :func:`stored`); unlike a local checkpoint it survives the loss of executors."""
+    return stored(df, "cut")
 
 
 def spread(df: DataFrame) -> DataFrame:
