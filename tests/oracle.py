@@ -65,16 +65,16 @@ def compare(spark_df, con, sql) -> str:
 
 
 def main() -> None:
+    import __spark_entry__ as entry
     from tidemill import build_session
-    from tidemill.plans import oracles, registered
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "0.01"
     wanted = sys.argv[2:]
     spark = build_session("oracle", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "16g", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
-    con, sqls = duck(f"/root/testdata/sf{sf}"), oracles()
+    con, sqls = duck(f"/root/testdata/sf{sf}"), entry.oracle_sql()
     bad = 0
-    for name, fn in registered().items():
+    for name, fn in entry.queries().items():
         if wanted and not any(name == w or name.startswith(w) for w in wanted):
             continue
         t = time.time()
