@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import exact_dedup, mixing, simhash, url_filter
+from tidemill.llm import exact_dedup, mixing, pieces, simhash, toxicity, url_filter
 
 #: Host and path of the rules that op3 judges pages by.
 RULES = [
@@ -104,11 +104,28 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "kept")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of each document, from a model that never saw the labels of the held-out rows."""
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.scored(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
+
+
+def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sampled pieces of each document: how many, their digest, and whether they spell the text."""
+    rows = pieces.decoded(pieces.encoded(_table(spark, sf_dir, "documents")))
+    return rows.select(
+        "doc_id", F.size("ids").cast("long").alias("n_pieces"), F.sha2(F.array_join("ids", ","), 256).alias("pieces_sha256"),
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless"),
+    )
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op3_url_filter": op3_url_filter,
     "op5_exact_dedup": op5_exact_dedup,
     "op8_simhash": op8_simhash,
+    "op9_toxicity": op9_toxicity,
+    "op10_pieces": op10_pieces,
 }
 #: Without a twin, since SQL has no such hash, tree, trie or sampler: tests compare with brute force.
 ORACLES = {"op1_mixing": OP1_SQL, "op3_url_filter": OP3_SQL, "op5_exact_dedup": OP5_SQL}
