@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import exact_dedup, mixing, pieces, simhash, toxicity, url_filter
+from tidemill.llm import exact_dedup, mixing, pieces, simhash, suffix_lm, toxicity, url_filter
 
 #: Host and path of the rules that op3 judges pages by.
 RULES = [
@@ -98,6 +98,11 @@ SELECT doc_id, keep_id, group_size, place = 1 AS kept, text_sha256 FROM g
 """
 
 
+def op7_suffix_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of each document, by single words and by the suffix tree."""
+    return suffix_lm.scored(_table(spark, sf_dir, "documents"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint of each document and the smallest id that chains of close fingerprints reach."""
     groups = simhash.near_groups(_table(spark, sf_dir, "documents"))
@@ -123,6 +128,7 @@ QUERIES = {
     "op1_mixing": op1_mixing,
     "op3_url_filter": op3_url_filter,
     "op5_exact_dedup": op5_exact_dedup,
+    "op7_suffix_lm": op7_suffix_lm,
     "op8_simhash": op8_simhash,
     "op9_toxicity": op9_toxicity,
     "op10_pieces": op10_pieces,
