@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import exact_dedup, mixing, pieces, simhash, suffix_lm, toxicity, url_filter
+from tidemill.llm import exact_dedup, mixing, pieces, pii, simhash, suffix_lm, toxicity, url_filter
 
 #: Host and path of the rules that op3 judges pages by.
 RULES = [
@@ -80,6 +80,21 @@ GROUP BY p.page_id, p.host, p.path
 """
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in each document: base spans by kind and as a digest, and all spans."""
+    names = F.array(*(F.lit(k) for k in pii.KINDS))
+
+    def listed(spans: str) -> Column:
+        one = F.transform(spans, lambda s: F.concat_ws(":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string")))
+        return F.array_join(one, ",")
+
+    rows = pii.personal_data(_table(spark, sf_dir, "documents")).withColumn("base", F.filter("spans", lambda s: s["base"]))
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [F.size(F.array_remove(kinds, F.lit(i))) for i in range(len(pii.KINDS))]
+    counts = [(F.size("base") - n).cast("long").alias(f"n_{k}") for n, k in zip(counts, pii.KINDS, strict=True)]
+    return rows.select("doc_id", *counts, F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The group of equal texts that each document is in, and which of them stays."""
     return exact_dedup.duplicate_groups(_table(spark, sf_dir, "documents")).drop("rid")
@@ -127,6 +142,7 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op3_url_filter": op3_url_filter,
+    "op4_pii": op4_pii,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_suffix_lm": op7_suffix_lm,
     "op8_simhash": op8_simhash,
