@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import exact_dedup, mixing, pieces, pii, simhash, suffix_lm, toxicity, url_filter
+from tidemill.llm import exact_dedup, mixing, near_vectors, pieces, pii, simhash, suffix_lm, toxicity, url_filter
 
 #: Host and path of the rules that op3 judges pages by.
 RULES = [
@@ -59,6 +59,29 @@ SELECT doc_id, size, source_size, target, CAST(copies * size AS BIGINT) AS taken
 """
 
 
+def op2_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of each vector and the smallest id that they reach."""
+    return near_vectors.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+OP2_SQL = r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, x -> x <> 0)) > 0
+), l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.95
+), r AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a
+), c AS (
+  SELECT a, min(b) AS component_id FROM r GROUP BY a
+), n AS (
+  SELECT a, count(*) AS n FROM l GROUP BY a
+)
+SELECT vec_id, coalesce(n.n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN c ON c.a = vec_id LEFT JOIN n ON n.a = vec_id
+"""
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Host, path, rule and verdict of each page."""
     return url_filter.judged(_table(spark, sf_dir, "pages"), RULES)
@@ -141,6 +164,7 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op2_near_vectors": op2_near_vectors,
     "op3_url_filter": op3_url_filter,
     "op4_pii": op4_pii,
     "op5_exact_dedup": op5_exact_dedup,
@@ -150,4 +174,4 @@ QUERIES = {
     "op10_pieces": op10_pieces,
 }
 #: Without a twin, since SQL has no such hash, tree, trie or sampler: tests compare with brute force.
-ORACLES = {"op1_mixing": OP1_SQL, "op3_url_filter": OP3_SQL, "op5_exact_dedup": OP5_SQL}
+ORACLES = {"op1_mixing": OP1_SQL, "op2_near_vectors": OP2_SQL, "op3_url_filter": OP3_SQL, "op5_exact_dedup": OP5_SQL}
