@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +24,7 @@ from pyspark.sql import functions as F
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Code points that are worked on at once, and the longest run without a space that keeps one lattice; longer
 #: ones are cut there. Both bound a task's memory, whatever the texts' lengths.
-BATCH_CHARS = 2_000_000
+BATCH_CHARS = 500_000
 RUN_CHARS = 4096
 SEED = 7
 
@@ -60,12 +59,9 @@ class Pieces:
         order = sorted(plain, key=lambda x: (-x[2], x[0]))
         self.plain = [(i, text, -float(np.log(rank + 2))) for rank, (i, text, _) in enumerate(order)]
         self.byte_weight = -float(np.log(len(order) + 2))
+        self.trie = self._double_array()
 
-    def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k != "trie"}
-
-    @cached_property
-    def trie(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def _double_array(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """The pieces as a double-array trie: the code of each code point (0: in no piece), where a node's
         steps begin, which node a step belongs to, and each node's piece (-1: none) and weight. A node is
         the number of the step that leads to it."""
@@ -82,21 +78,26 @@ class Pieces:
                     ends.append((-1, 0.0))
                 node = steps[node][c]
             ends[node] = (i, weight)
-        room = 2 * len(steps) + 2 * len(code) + 2
+        room = 4 * len(steps) + 2 * len(code) + 2
         base, owner = np.zeros(room, dtype=np.int32), np.full(room, -1, dtype=np.int32)
         piece, cost = np.full(room, -1, dtype=np.int32), np.zeros(room)
         taken = bytearray(room)
-        slot_of, free = {0: 0}, 1
+        slot_of, free, low = {0: 0}, 1, 0
         taken[0] = 1
         for node in sorted(range(len(steps)), key=lambda n: -len(steps[n])):
             if not steps[node]:
                 continue
-            least = min(steps[node])
-            while taken[free]:
-                free += 1
-            at = max(free - least, 1 if node else 0)
-            while any(taken[at + c] for c in steps[node]):
-                at += 1
+            if len(steps[node]) > 1:  # side by side, the search goes on where the last one ended
+                tries, at = 0, low
+                while any(taken[at + c] for c in steps[node]):
+                    at, tries = at + 1, tries + 1
+                low = at if tries > 8 else max(low, 1)
+            else:  # single steps fill the gaps
+                (only,) = steps[node]
+                free = max(free, only + 1)
+                while taken[free]:
+                    free += 1
+                at = free - only
             for c, to in steps[node].items():
                 taken[at + c] = 1
                 slot_of[to] = at + c
