@@ -37,7 +37,7 @@ def unit_rows(vectors: list[list | None], dim: int) -> tuple[np.ndarray, np.ndar
     """Which vectors are usable (right length, all components finite, not zero), and these as unit vectors in
     double precision."""
     good = np.array([v is not None and len(v) == dim and None not in v for v in vectors], dtype=bool)
-    rows = np.array([v for v, g in zip(vectors, good, strict=True) if g], dtype=np.float64).reshape(-1, dim)
+    rows = np.array([v for v, g in zip(vectors, good, strict=True) if g], dtype=np.float64).reshape(-1, max(dim, 1))
     top = np.abs(rows).max(axis=1, initial=0.0)
     fine = np.isfinite(top) & (top > 0) & np.isfinite(rows).all(axis=1)
     good[np.flatnonzero(good)[~fine]] = False
@@ -135,7 +135,7 @@ def near_links(vectors: DataFrame, dim: int, rows: int, min_cosine: float = MIN_
     spark = vectors.sparkSession
     few = vectors.orderBy(F.xxhash64("rid"), "rid").limit(sample_rows).select("embedding").toArrow()
     _, sample = unit_rows(few.column(0).to_pylist(), dim)
-    if not len(sample):
+    if not len(sample):  # nothing to compare
         return spark.createDataFrame([], "a long, b long, n long")
     quantiser = Quantiser(sample, min(MOST_LISTS, int(np.ceil(np.sqrt(rows)))))
     radius = float(np.sqrt(max(2 - 2 * min_cosine, 0))) + _SLACK
