@@ -105,10 +105,6 @@ class TestRelational:
         assert rel.optional_filters(df, {"k": 0}).count() == 1
         assert rel.optional_filters(df, {"k": None}).count() == 2
 
-    def test_small_tables_only_are_broadcast(self, spark):
-        assert "broadcast" in rel.small(spark.range(5))._jdf.queryExecution().analyzed().toString().lower()
-        assert "broadcast" not in rel.small(spark.range(50), 10)._jdf.queryExecution().analyzed().toString().lower()
-
 
 class TestRecommend:
     @pytest.fixture(scope="class")
@@ -378,6 +374,13 @@ class TestSeries:
         assert len(got) == 8 and all(95 < r.forecast < 108 and r.lower <= r.forecast <= r.upper for r in got)
         assert got[0].week_end == dt.date(2023, 1, 1) + dt.timedelta(days=7 * 60)
 
+    def test_short_series_are_not_lost(self, spark):
+        rows = [(k, dt.date(2023, 1, 1) + dt.timedelta(days=7 * w), 100 + (w % 4)) for k, n in ((1, 5), (2, 14), (3, 22)) for w in range(n)]
+        got = series.forecast_series(spark.createDataFrame(rows, "k int, sale_date date, units_sold long"), ["k"]).collect()
+        status = {k: {r.status for r in got if r.k == k} for k in (1, 2, 3)}
+        assert status == {1: {"too_short"}, 2: {"ok"}, 3: {"ok"}}
+        assert [r.forecast for r in got if r.k == 1] == [None] and all(r.lower <= r.forecast <= r.upper for r in got if r.k > 1)
+
     def test_trend_line(self, spark):
         daily = spark.createDataFrame([(dt.date(2024, 1, d), 10.0 + 2 * d) for d in range(1, 11)], "day date, mean_value double")
         got = series.linear_trend(series.with_day_index(daily)).orderBy("forecast_day").collect()

@@ -11,22 +11,14 @@ from pyspark.sql import functions as F
 from tidemill.operators.ordered import row_numbers
 
 MAX_LEVELS = 10_000
-BROADCAST_ROWS = 1_000_000
 
 
 # ---- dimensions -----------------------------------------------------------------------------
 
-def small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only if the table is proven to have at most ``max_rows`` rows; else unchanged,
-    so that Spark shuffles both sides. The check reads at most ``max_rows + 1`` rows."""
-    fits = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if fits else df
-
-
 def lookup(facts: DataFrame, dim: DataFrame, key: str, defaults: Mapping[str, object]) -> DataFrame:
-    """Left join to a dimension; attributes of unknown keys take ``defaults``. The dimension is
-    broadcast if it is checked to be small."""
-    joined = facts.join(small(dim), key, "left")
+    """Left join to a dimension; attributes of unknown keys take ``defaults``. Whether the
+    dimension is broadcast follows from its size in bytes, which Spark knows or measures."""
+    joined = facts.join(dim, key, "left")
     return joined.select(
         *[
             F.coalesce(F.col(c), F.lit(defaults[c])).alias(c) if c in defaults else F.col(c)

@@ -232,10 +232,14 @@ def _forecast(y: np.ndarray, order: tuple[int, int], horizon: int) -> tuple[np.n
 
 def forecast_series(
     daily: DataFrame, keys: Sequence[str], value: str = "units_sold", day: str = "sale_date",
-    order: tuple[int, int] = (2, 2), horizon: int = 8, min_weeks: int = 24,
+    order: tuple[int, int] = (2, 2), horizon: int = 8,
 ) -> DataFrame:
     """Weekly forecast of every series at once, with a 95% interval and the error of a backtest on the
-    last ``horizon`` weeks. A group holds one number per calendar week."""
+    last ``horizon`` weeks. A group holds one number per calendar week.
+
+    No series is left out: one of fewer than ``horizon + 4`` weeks, on which no model can be fitted, has a
+    single row with the week after its last, no forecast and the status ``too_short``; without as many weeks
+    again there is no backtest error."""
     series = weekly(daily, keys, day, value, "y")
     names = list(keys)
 
@@ -243,12 +247,15 @@ def forecast_series(
         pdf = pdf.sort_values("week_end")
         y = pdf["y"].to_numpy(float)
         head = {k: pdf[k].iloc[0] for k in names}
-        if len(y) < max(min_weeks, horizon + 4):
-            return pd.DataFrame(columns=[*names, "week_end", "forecast", "lower", "upper", "backtest_mae"])
-        back, _ = _forecast(y[:-horizon], order, horizon)
-        mae = float(np.mean(np.abs(np.maximum(back, 0) - y[-horizon:])))
-        mid, spread = _forecast(y, order, horizon)
         last = pd.Timestamp(pdf["week_end"].iloc[-1])
+        if len(y) < horizon + 4:
+            nothing = {c: [None] for c in ("forecast", "lower", "upper", "backtest_mae")}
+            return pd.DataFrame({**{k: [v] for k, v in head.items()}, "week_end": [(last + pd.Timedelta(days=7)).date()], **nothing, "status": ["too_short"]})
+        mae = None
+        if len(y) >= 2 * (horizon + 4):
+            back, _ = _forecast(y[:-horizon], order, horizon)
+            mae = float(np.mean(np.abs(np.maximum(back, 0) - y[-horizon:])))
+        mid, spread = _forecast(y, order, horizon)
         return pd.DataFrame(
             {
                 **{k: [v] * horizon for k, v in head.items()},
@@ -257,9 +264,10 @@ def forecast_series(
                 "lower": np.maximum(mid - 1.96 * spread, 0),
                 "upper": mid + 1.96 * spread,
                 "backtest_mae": mae,
+                "status": "ok",
             }
         )
 
     key_types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in series.schema if f.name in names)
-    schema = f"{key_types}, week_end date, forecast double, lower double, upper double, backtest_mae double"
+    schema = f"{key_types}, week_end date, forecast double, lower double, upper double, backtest_mae double, status string"
     return series.groupBy(*names).applyInPandas(one, schema)

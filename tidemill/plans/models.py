@@ -89,7 +89,7 @@ def m9_boosting(spark, sf):
 @query("m10_weekly_forecast")
 def m10(spark, sf):
     out = series.forecast_series(v.chain_daily(spark, sf), ["store_id", "product_id"])
-    return out.select("store_id", "product_id", "week_end", *[F.round(c, 3).alias(c) for c in ("forecast", "lower", "upper", "backtest_mae")])
+    return out.select("store_id", "product_id", "week_end", *[F.round(c, 3).alias(c) for c in ("forecast", "lower", "upper", "backtest_mae")], "status")
 
 
 @query("m11_random_search")

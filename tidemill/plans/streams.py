@@ -56,7 +56,7 @@ def s14(spark, sf):
 
 @query("a32_running_counters", f"""
 WITH {RULES_SQL}, {BASELINE_SQL}
-SELECT (SELECT count(*) FROM readings) AS total, (SELECT count(*) FROM rules) AS by_rule, (SELECT count(*) FROM dist, lim WHERE d > t) AS by_model""", "readings")
+SELECT (SELECT count(*) FROM readings) AS total, (SELECT count(*) FROM rules) AS by_rule, (SELECT count(*) FROM dist, lim WHERE d > t AND event_id NOT IN (SELECT event_id FROM rules)) AS by_model""", "readings")
 def a32(spark, sf):
     return jobs.running_counters(spark.read.parquet(f"{sensor_run(spark, sf)}/readings"))
 

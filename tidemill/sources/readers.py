@@ -67,7 +67,7 @@ def read_arff(spark: SparkSession, path: str, names: Sequence[str] | None = None
     """
     lines = spark.read.text(path).select(F.trim("value").alias("value")).filter(F.col("value") != "")
     if names is None:
-        heads = lines.filter(F.lower("value").startswith("@attribute")).limit(10_000).collect()
+        heads = lines.filter(F.lower("value").startswith("@attribute")).collect()
         names = [r.value.split(None, 2)[1].strip("'\"") for r in heads]
     data = lines.filter(~F.col("value").startswith("@") & ~F.col("value").startswith("%"))
     cells = F.split("value", ",")

@@ -85,8 +85,10 @@ def ensure_table(spark: SparkSession, name: str, columns: str, partition_by: Seq
 
 
 def store_single_row(df: DataFrame, path: str) -> None:
-    """A one-row table that is replaced as a whole."""
-    df.limit(1).coalesce(1).write.mode("overwrite").parquet(path)
+    """A table of at most one row that is replaced as a whole; more rows are an error, and nothing is stored."""
+    if len(df.take(2)) > 1:
+        raise ValueError("more than one row for a table of one row")
+    df.coalesce(1).write.mode("overwrite").parquet(path)
 
 
 def write_batch_once(df: DataFrame, path: str, batch_id: int) -> None:

@@ -69,9 +69,9 @@ def run_sensor_stream(stream: DataFrame, detector: Detector, out: str) -> None:
 
 
 def running_counters(readings: DataFrame) -> DataFrame:
-    """Totals so far: readings, rule events, readings the model flagged."""
+    """Totals so far: readings, rule events, readings that the model alone flagged."""
     return readings.agg(
-        F.count("*").alias("total"), F.sum("n_rules").cast("bigint").alias("by_rule"), F.count_if(F.col("ml_anomaly")).alias("by_model")
+        F.count("*").alias("total"), F.sum("n_rules").cast("bigint").alias("by_rule"), F.count_if(F.col("ml_anomaly") & (F.col("n_rules") == 0)).alias("by_model")
     )
 
 
