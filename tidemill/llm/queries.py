@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import exact_dedup, mixing, near_vectors, pieces, pii, simhash, suffix_lm, toxicity, url_filter
+from tidemill.llm import exact_dedup, line_dedup, mixing, near_vectors, pieces, pii, simhash, suffix_lm, toxicity, url_filter
 
 #: Host and path of the rules that op3 judges pages by.
 RULES = [
@@ -136,6 +136,35 @@ SELECT doc_id, keep_id, group_size, place = 1 AS kept, text_sha256 FROM g
 """
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of each page, how many of them are boilerplate of its host, and a digest of the rest."""
+    rows = line_dedup.without_boilerplate(_table(spark, sf_dir, "pages"))
+    return rows.select("page_id", "host", "n_lines", "n_dropped", F.sha2(F.array_join("kept", "\n"), 256).alias("kept_sha256"))
+
+
+OP6_SQL = r"""
+WITH p AS (
+  SELECT row_number() OVER () AS rid, page_id,
+    translate(coalesce(regexp_extract(url, '(?s)://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    list_filter(list_transform(string_split(regexp_replace(coalesce(html, ''), '<[^>]*>', chr(10), 'g'), chr(10)),
+      lambda x: regexp_replace(x, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g')), lambda x: x <> '') AS lines
+  FROM pages
+), s AS (
+  SELECT host, count(*) AS pages FROM p WHERE host <> '' GROUP BY host HAVING count(*) >= 5
+), e AS (
+  SELECT rid, host, unnest(list_distinct(lines)) AS line FROM p
+), c AS (
+  SELECT host, line FROM e JOIN s USING (host) GROUP BY host, line, pages HAVING count(*) > 0.3 * pages
+), d AS (
+  SELECT rid, list(line) AS dropped FROM e JOIN c USING (host, line) GROUP BY rid
+), k AS (
+  SELECT page_id, host, len(lines) AS n_lines, CASE WHEN dropped IS NULL THEN lines ELSE list_filter(lines, lambda x: NOT list_contains(dropped, x)) END AS kept
+  FROM p LEFT JOIN d USING (rid)
+)
+SELECT page_id, host, n_lines, n_lines - len(kept) AS n_dropped, sha256(coalesce(array_to_string(kept, chr(10)), '')) AS kept_sha256 FROM k
+"""
+
+
 def op7_suffix_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log10 probability of each document, by single words and by the suffix tree."""
     return suffix_lm.scored(_table(spark, sf_dir, "documents"))
@@ -168,10 +197,11 @@ QUERIES = {
     "op3_url_filter": op3_url_filter,
     "op4_pii": op4_pii,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_line_dedup": op6_line_dedup,
     "op7_suffix_lm": op7_suffix_lm,
     "op8_simhash": op8_simhash,
     "op9_toxicity": op9_toxicity,
     "op10_pieces": op10_pieces,
 }
 #: Without a twin, since SQL has no such hash, tree, trie or sampler: tests compare with brute force.
-ORACLES = {"op1_mixing": OP1_SQL, "op2_near_vectors": OP2_SQL, "op3_url_filter": OP3_SQL, "op5_exact_dedup": OP5_SQL}
+ORACLES = {"op1_mixing": OP1_SQL, "op2_near_vectors": OP2_SQL, "op3_url_filter": OP3_SQL, "op5_exact_dedup": OP5_SQL, "op6_line_dedup": OP6_SQL}
