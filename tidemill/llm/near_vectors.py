@@ -30,7 +30,7 @@ SAMPLE_ROWS = 16_384
 #: There are sqrt(rows) lists, up to this many. Vectors of a list, and probing vectors, that meet in a task.
 MOST_LISTS, LIST_PIECE, PROBE_PIECE = 4096, 1024, 2048
 SUBSPACES, CODES, ROUNDS = 8, 256, 8
-_SLACK = 1e-9
+_SLACK, _TABLE_SLACK = 1e-9, 1e-4
 
 
 def unit_rows(vectors: list[list | None], dim: int) -> tuple[np.ndarray, np.ndarray]:
@@ -90,10 +90,11 @@ class Quantiser:
         gap = square - square[np.arange(len(at)), at][:, None]
         return gap <= 2 * radius * self.between[at] + _SLACK
 
-    def table(self, rows: np.ndarray, lists: int) -> np.ndarray:
-        """Squared distances from the residuals of probing vectors to all codes, by subspace."""
-        rest = rows - self.centres[lists]
-        return np.stack([((rest[:, list(c)][:, None] - b[None]) ** 2).sum(2) if len(b) else np.zeros((len(rows), 0)) for c, b in zip(self.cuts, self.books, strict=True)], axis=1)
+    def table(self, rest: np.ndarray, subspace: int) -> np.ndarray:
+        """Squared distances from all codes of a subspace to the residuals of probing vectors, a column each."""
+        cut, book = self.cuts[subspace], self.books[subspace]
+        part = rest[:, cut.start : cut.stop]
+        return ((book**2).sum(1)[:, None] - 2 * book @ part.T + (part**2).sum(1)[None]).astype(np.float32)
 
 
 def close_pairs(
@@ -101,16 +102,17 @@ def close_pairs(
 ) -> tuple[np.ndarray, np.ndarray]:
     """Places of the probing and listed vectors whose cosine is at least ``min_cosine``."""
     radius = float(np.sqrt(max(2 - 2 * min_cosine, 0))) + _SLACK
+    # tables and sums are in single precision, which the slack makes up for
+    within = ((radius + errors) ** 2 + _TABLE_SLACK).astype(np.float32)[:, None]
     out = []
-    for lo in range(0, len(probing), 128):
-        part = probing[lo : lo + 128]
-        tables = quantiser.table(part, at)
-        square = np.zeros((len(part), len(base)))
-        for i in range(tables.shape[1]):
-            square += tables[:, i, codes[:, i]]
-        x, y = np.nonzero(np.sqrt(square) - errors[None] <= radius)
-        cosine = np.einsum("ij,ij->i", part[x], base[y])
-        fits = cosine >= min_cosine
+    for lo in range(0, len(probing), 256):
+        part = probing[lo : lo + 256]
+        rest = part - quantiser.centres[at]
+        square = np.zeros((len(base), len(part)), dtype=np.float32)
+        for i in range(codes.shape[1]):
+            square += quantiser.table(rest, i)[codes[:, i]]
+        y, x = np.nonzero(square <= within)
+        fits = np.einsum("ij,ij->i", part[x], base[y]) >= min_cosine
         out.append((x[fits] + lo, y[fits]))
     return tuple(np.concatenate(z) for z in zip(*out, strict=True)) if out else (np.zeros(0, int), np.zeros(0, int))
 
