@@ -93,7 +93,7 @@ def test_retraining_takes_exact_groups_across_batches(spark, tmp_path):
     for start, n in ((0, 30), (30, 45), (75, 10)):
         write_readings(spark, src, start, n)
         stream = jobs.file_stream(spark, src, spark.read.parquet(src).schema)
-        jobs.run_retraining(stream, out, "n", 20, clustering.fit_baseline_detector, newest_only=False)
+        jobs.run_retraining(stream, out, "n", 20, clustering.fit_baseline_detector)
     versions = spark.read.parquet(f"{out}/versions").orderBy("version").collect()
     assert [v.version for v in versions] == [1, 2, 3, 4]
     first = [70.0 + i % 5 for i in range(20)]

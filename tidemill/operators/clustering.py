@@ -172,7 +172,7 @@ def _components(adjacent: np.ndarray) -> np.ndarray:
     return mark
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """(node, root): the smallest node of each component of the edges (a, b).
 
     Each round takes the least label among a node's neighbours, as an aggregate that combines
@@ -181,7 +181,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     both = cut_lineage(both)
     labels = cut_lineage(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("a"), F.min("b")).alias("root")))
-    for _ in range(max_rounds):
+    while True:
         offered = (
             both.join(labels, F.col("b") == F.col("node"))
             .groupBy(F.col("a").alias("node"))
@@ -196,7 +196,6 @@ def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
         labels = moved.select("node", F.col("next").alias("root"))
         if not changed:
             return labels
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
 def _near_blocks(bounds: DataFrame, size: int, eps: float) -> DataFrame:

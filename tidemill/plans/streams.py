@@ -109,9 +109,9 @@ def st4(spark, sf):
 
 @query("st5_retrain", """
 WITH n AS (SELECT *, row_number() OVER (ORDER BY event_id) AS k, count(*) OVER () AS total FROM readings),
-g AS (SELECT temperatura AS f0, vibracion AS f1, velocidad_rpm AS f2, consumo_kw AS f3, coalesce(presion_bar, 6.0) AS f4, total // 500 AS version FROM n WHERE (k - 1) // 500 + 1 = total // 500),
-st AS (SELECT avg(f0) m0, avg(f1) m1, avg(f2) m2, avg(f3) m3, avg(f4) m4, stddev_pop(f0) s0, stddev_pop(f1) s1, stddev_pop(f2) s2, stddev_pop(f3) s3, stddev_pop(f4) s4 FROM g),
-d AS (SELECT version, sqrt(((f0 - m0) / s0) ** 2 + ((f1 - m1) / s1) ** 2 + ((f2 - m2) / s2) ** 2 + ((f3 - m3) / s3) ** 2 + ((f4 - m4) / s4) ** 2) AS d FROM g, st)
+g AS (SELECT temperatura AS f0, vibracion AS f1, velocidad_rpm AS f2, consumo_kw AS f3, coalesce(presion_bar, 6.0) AS f4, (k - 1) // 500 + 1 AS version FROM n WHERE (k - 1) // 500 + 1 <= total // 500),
+st AS (SELECT version, avg(f0) m0, avg(f1) m1, avg(f2) m2, avg(f3) m3, avg(f4) m4, stddev_pop(f0) s0, stddev_pop(f1) s1, stddev_pop(f2) s2, stddev_pop(f3) s3, stddev_pop(f4) s4 FROM g GROUP BY version),
+d AS (SELECT version, sqrt(((f0 - m0) / s0) ** 2 + ((f1 - m1) / s1) ** 2 + ((f2 - m2) / s2) ** 2 + ((f3 - m3) / s3) ** 2 + ((f4 - m4) / s4) ** 2) AS d FROM g JOIN st USING (version))
 SELECT CAST(version AS INTEGER) AS version, CAST(count(*) AS INTEGER) AS trained_on, round(quantile_cont(d, 0.95), 6) AS threshold FROM d GROUP BY 1""", "readings")
 def st5(spark, sf):
     out = run_dir(spark, "st5")

@@ -111,13 +111,11 @@ def retrain_groups(readings: DataFrame, order: str, n: int, grain) -> DataFrame:
     return numbered.withColumn("generation", (F.floor((F.col("no") - 1) / n) + 1).cast("int"))
 
 
-def run_retraining(stream: DataFrame, out: str, order: str, n: int = 500, fit: Callable[[DataFrame], Detector] = fit_detector,
-                   newest_only: bool = True) -> None:
+def run_retraining(stream: DataFrame, out: str, order: str, n: int = 500, fit: Callable[[DataFrame], Detector] = fit_detector) -> None:
     """Keeps a buffer of readings; whenever it holds n, fits a detector on exactly the n oldest of each
     full group and stores it as a numbered version of the parameter table.
 
-    With ``newest_only`` a batch that brings several full groups fits the last one, the only one a
-    scorer would still use; the others are counted as passed. The parameter table is a few numbers.
+    Every full group gives one version, in order. The parameter table is a few numbers a version.
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
@@ -129,15 +127,13 @@ def run_retraining(stream: DataFrame, out: str, order: str, n: int = 500, fit: C
         rows = rows.persist()
         total = rows.count()
         full = total // n
-        grouped = retrain_groups(rows, order, n, F.floor(F.col(order).cast("double") / 65536))
+        grouped = retrain_groups(rows, order, n, F.floor(F.col(order).cast("double") / 65536)).persist()
         past = f"{out}/versions"
         known = 0
         if path_exists(spark, past):
             known = spark.read.parquet(past).filter(F.col("batch_id") < batch_id).agg(F.max("version")).first()[0] or 0
         made = []
-        for g in range(full if newest_only else 1, full + 1):
-            if g < 1:
-                continue
+        for g in range(1, full + 1):
             d = fit(grouped.filter(F.col("generation") == g).drop("no", "generation"))
             made.append((known + g, n, json.dumps(d.means), json.dumps(d.stds), json.dumps(d.centers), d.threshold))
         if made:
@@ -145,6 +141,7 @@ def run_retraining(stream: DataFrame, out: str, order: str, n: int = 500, fit: C
             write_batch_once(spark.createDataFrame(made, schema), past, batch_id)
         rest = grouped.filter(F.col("generation") > full).select(*batch.columns)
         rest.write.mode("overwrite").parquet(f"{out}/buffer/{batch_id}")
+        grouped.unpersist()
         rows.unpersist()
 
     run_to_end(stream, f"{out}/checkpoint", each)
