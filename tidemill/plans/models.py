@@ -237,7 +237,7 @@ def _judge(scored):
 @query("m27_linear_classifier")
 def m27(spark, sf):
     train, valid, _ = flight_rows(spark, sf)
-    return _judge(models.batch_predict(models.fit(models.linear_classifier(20), train), valid))
+    return _judge(models.batch_predict(models.fit(models.linear_classifier(), train), valid))
 
 
 @query("m28_boosted_trees")
