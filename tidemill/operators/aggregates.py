@@ -170,24 +170,32 @@ def coverage(df: DataFrame, cols: Sequence[str], day: str) -> DataFrame:
     )
 
 
+def cell_stats(df: DataFrame, array: str, by_position: bool = False) -> DataFrame:
+    """Count, sum, minimum, maximum, mean and population deviation over all cells of an array column,
+    or over the cells of each position ``pos`` (from 0). Cells are summed before the shuffle."""
+    cells = df.select(F.posexplode(F.col(array).cast("array<double>")).alias("pos", "x"))
+    return cells.groupBy(*(["pos"] if by_position else [])).agg(
+        F.count("x").alias("n"), F.sum("x").alias("total"), F.min("x").alias("low"), F.max("x").alias("high"),
+        F.avg("x").alias("mean"), F.stddev_pop("x").alias("std"),
+    )
+
+
 def profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Count, mean, sample deviation, minimum, exact quartiles and maximum per column."""
-    parts = []
-    for c in cols:
+    """Rows of the frame and, per column, its type, count, mean, sample deviation, minimum, exact quartiles
+    and maximum. All but the quartiles come from one scan; quartiles count equal values first."""
+    types = dict(df.dtypes)
+
+    def stats(c: str) -> Column:
         x = F.col(c).cast("double")
-        q1, q2, q3 = exact_percentiles(df, c, [0.25, 0.5, 0.75])
-        parts.append(
-            df.agg(
-                F.count(c).alias("n"),
-                F.avg(x).alias("mean"),
-                F.stddev_samp(x).alias("std"),
-                F.min(x).alias("min"),
-                F.max(x).alias("max"),
-            ).select(
-                F.lit(c).alias("column"), "n", "mean", "std", "min",
-                F.lit(q1).alias("q1"), F.lit(q2).alias("median"), F.lit(q3).alias("q3"), "max",
-            )
+        return F.struct(
+            F.lit(c).alias("column"), F.lit(types[c]).alias("type"), F.count("*").alias("rows"), F.count(c).alias("n"), F.avg(x).alias("mean"),
+            F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max"),
         )
-    from tidemill.operators.relational import union_all
 
-    return union_all(parts)
+    quartiles = df.sparkSession.createDataFrame(
+        [(c, *exact_percentiles(df, c, [0.25, 0.5, 0.75])) for c in cols], "column string, q1 double, median double, q3 double"
+    )
+    listed = df.agg(F.array(*[stats(c) for c in cols]).alias("s")).select(F.inline("s"))
+    return listed.join(F.broadcast(quartiles), "column").select(
+        "column", "type", "rows", "n", "mean", "std", "min", "q1", "median", "q3", "max"
+    )

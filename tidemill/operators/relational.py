@@ -209,12 +209,20 @@ def page(df: DataFrame, order: Sequence[Column], limit: int = 50, offset: int =
     return df.orderBy(*order).offset(offset).limit(limit)
 
 
-def latest_by_key(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
-    """The newest row per key, as an aggregate that combines map-side."""
+def found(df: DataFrame, what: str) -> DataFrame:
+    """The rows of a lookup; an error if there are none."""
+    if df.isEmpty():
+        raise LookupError(f"{what} not found")
+    return df
+
+
+def latest_by_key(df: DataFrame, keys: Sequence[str], ts: str, *ties: str) -> DataFrame:
+    """The newest row per key, as an aggregate that combines map-side. Of rows of the same time the one
+    with the largest ``ties`` is taken."""
     rest = [c for c in df.columns if c not in keys]
     return (
         df.groupBy(*keys)
-        .agg(F.max_by(F.struct(*rest), F.col(ts)).alias("__r"))
+        .agg(F.max_by(F.struct(*rest), F.struct(ts, *ties)).alias("__r"))
         .select(*keys, *[F.col(f"__r.{c}").alias(c) for c in rest])
     )
 

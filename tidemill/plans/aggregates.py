@@ -15,10 +15,16 @@ MONEY = "CAST(round(sum(s.revenue), 2) AS DOUBLE)"
 UNITS = "CAST(sum(s.units_sold) AS BIGINT)"
 
 
-@query("a1_top_products", f"""
-SELECT p.name, p.category, {UNITS} AS total_units, {MONEY} AS total_revenue
-FROM sales s JOIN products p ON s.product_id = p.product_id
-GROUP BY 1, 2 ORDER BY total_revenue DESC, name, category LIMIT 10""", "sales products")
+def _top_sql(n: int, where: str = "true") -> str:
+    """Sums of each product first; products of one name and category are one row."""
+    return f"""
+WITH sold AS (SELECT product_id, {UNITS} AS units, sum(s.revenue) AS money FROM sales s WHERE {where} GROUP BY product_id),
+named AS (SELECT name, category, CAST(sum(units) AS BIGINT) AS total_units, CAST(round(sum(money), 2) AS DOUBLE) AS total_revenue
+          FROM products JOIN sold USING (product_id) GROUP BY ALL)
+SELECT * FROM named ORDER BY total_revenue DESC, name, category LIMIT {n}"""
+
+
+@query("a1_top_products", _top_sql(10), "sales products")
 def a1(spark, sf):
     return agg.top_products(v.sales(spark, sf), v.products(spark, sf))
 
@@ -31,17 +37,18 @@ def a2(spark, sf):
 
 
 @query("a3_by_store", f"""
-SELECT st.store_name, st.city, {MONEY} AS total_revenue, {UNITS} AS total_units
-FROM sales s JOIN stores st ON s.store_id = st.store_id GROUP BY 1, 2""", "sales stores")
+WITH sold AS (SELECT store_id, {UNITS} AS units, sum(s.revenue) AS money FROM sales s GROUP BY store_id)
+SELECT CAST(sum(units) AS BIGINT) AS total_units, CAST(round(sum(money), 2) AS DOUBLE) AS total_revenue, city, store_name
+FROM stores JOIN sold USING (store_id) GROUP BY city, store_name""", "sales stores")
 def a3(spark, sf):
     per_store = v.sales(spark, sf).groupBy("store_id").agg(F.sum("units_sold").alias("units_sold"), F.sum("revenue").alias("revenue"))
     return agg.units_and_revenue(per_store.join(v.stores(spark, sf), "store_id"), ["store_name", "city"])
 
 
 @query("a4_seasonality", """
-SELECT p.category, CAST(month(s.sale_date) AS INTEGER) AS month,
-       round(CAST(sum(s.units_sold) AS DOUBLE) / count(*), 2) AS avg_units, CAST(sum(s.units_sold) AS BIGINT) AS total_units
-FROM sales s JOIN products p ON s.product_id = p.product_id GROUP BY 1, 2""", "sales products")
+WITH sold AS (SELECT product_id, CAST(month(sale_date) AS INTEGER) AS month, sum(units_sold) AS u, count(*) AS n FROM sales GROUP BY ALL)
+SELECT month, category, CAST(sum(u) AS BIGINT) AS total_units, round(CAST(sum(u) AS DOUBLE) / sum(n), 2) AS avg_units
+FROM products JOIN sold USING (product_id) GROUP BY month, category""", "sales products")
 def a4(spark, sf):
     per = v.sales(spark, sf).groupBy("product_id", F.month("sale_date").alias("month")).agg(
         F.sum("units_sold").alias("u"), F.count("*").alias("n"))
@@ -158,12 +165,12 @@ def a14(spark, sf):
 
 
 @query("a15_cluster_profile", """
-SELECT label, count(*) AS n, """ + ", ".join(f"round(avg(CAST(embedding[{i + 1}] AS DOUBLE)), 6) AS f{i}" for i in range(8)) + """
+SELECT label, count(*) AS n, """ + ", ".join(f"round(avg(CAST(embedding[{i + 1}] AS DOUBLE)), 6) AS f{i}" for i in range(64)) + """
 FROM embeddings GROUP BY 1""")
 def a15(spark, sf):
     e = v.table(spark, sf, "embeddings")
     return e.groupBy("label").agg(
-        F.count("*").alias("n"), *[F.round(F.avg(F.col("embedding")[i].cast("double")), 6).alias(f"f{i}") for i in range(8)])
+        F.count("*").alias("n"), *[F.round(F.avg(F.col("embedding")[i].cast("double")), 6).alias(f"f{i}") for i in range(64)])
 
 
 @query("a16_value_counts", "SELECT event_type, count(*) AS n FROM events GROUP BY 1")
@@ -302,14 +309,13 @@ def a29(spark, sf):
 
 
 @query("a30_min_max", """
-WITH c AS (SELECT label, avg(CAST(embedding[1] AS DOUBLE)) AS f0, avg(CAST(embedding[2] AS DOUBLE)) AS f1 FROM embeddings GROUP BY 1)
-SELECT label, round((f0 - min(f0) OVER ()) / (max(f0) OVER () - min(f0) OVER () + 1e-9), 6) AS f0_norm,
-       round((f1 - min(f1) OVER ()) / (max(f1) OVER () - min(f1) OVER () + 1e-9), 6) AS f1_norm FROM c""")
+WITH c AS (SELECT label, """ + ", ".join(f"avg(CAST(embedding[{i + 1}] AS DOUBLE)) AS f{i}" for i in range(64)) + """ FROM embeddings GROUP BY 1)
+SELECT label, """ + ", ".join(f"round((f{i} - min(f{i}) OVER ()) / (max(f{i}) OVER () - min(f{i}) OVER () + 1e-9), 6) AS f{i}_norm" for i in range(64)) + " FROM c")
 def a30(spark, sf):
     e = v.table(spark, sf, "embeddings").groupBy("label").agg(
-        *[F.avg(F.col("embedding")[i].cast("double")).alias(f"f{i}") for i in range(2)])
-    out = agg.min_max(e, ["f0", "f1"])
-    return out.select("label", F.round("f0_norm", 6).alias("f0_norm"), F.round("f1_norm", 6).alias("f1_norm"))
+        *[F.avg(F.col("embedding")[i].cast("double")).alias(f"f{i}") for i in range(64)])
+    out = agg.min_max(e, [f"f{i}" for i in range(64)])
+    return out.select("label", *[F.round(f"f{i}_norm", 6).alias(f"f{i}_norm") for i in range(64)])
 
 
 @query("a31_array_stats", """
@@ -325,6 +331,26 @@ def a31(spark, sf):
         F.round(F.array_max(e), 6).alias("high"), F.round(arrays.mean(e), 6).alias("mean"), F.round(arrays.std(e), 6).alias("std"))
 
 
+_CELL_STATS = """round(sum(x), 4) AS total, round(min(x), 6) AS low, round(max(x), 6) AS high, round(avg(x), 5) AS mean, round(stddev_pop(x), 5) AS std"""
+
+
+@query("a31_stats_of_all_cells", f"SELECT count(x) AS n, {_CELL_STATS} FROM (SELECT unnest(CAST(embedding AS DOUBLE[])) AS x FROM embeddings)")
+def a31_all(spark, sf):
+    return _rounded_stats(agg.cell_stats(v.table(spark, sf, "embeddings"), "embedding"))
+
+
+@query("a31_stats_by_position", f"""
+SELECT CAST(pos AS INTEGER) AS pos, count(x) AS n, {_CELL_STATS}
+FROM (SELECT unnest(CAST(embedding AS DOUBLE[])) AS x, unnest(range(len(embedding))) AS pos FROM embeddings) GROUP BY 1""")
+def a31_positions(spark, sf):
+    return _rounded_stats(agg.cell_stats(v.table(spark, sf, "embeddings"), "embedding", by_position=True))
+
+
+def _rounded_stats(stats):
+    digits = {"total": 4, "low": 6, "high": 6, "mean": 5, "std": 5}
+    return stats.select(*[F.round(c, digits[c]).alias(c) if c in digits else F.col(c) for c in stats.columns])
+
+
 @query("a33_categories", "SELECT DISTINCT p_brand AS category FROM part")
 def a33(spark, sf):
     return v.products(spark, sf).select("category").distinct().orderBy("category")
@@ -340,16 +366,17 @@ def a34(spark, sf):
 
 
 @query("a35_metric_comparison", """
-WITH m AS (SELECT label AS model, avg(abs(x)) AS mae, sqrt(avg(x * x)) AS rmse, avg(x) AS r2, avg(abs(y)) AS mape
-           FROM (SELECT label, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y FROM embeddings) GROUP BY 1)
+WITH m AS (SELECT label AS model, avg(abs(x)) AS mae, sqrt(avg(x * x)) AS rmse, avg(x) AS r2, max(abs(x)) AS mape
+           FROM (SELECT label, unnest(CAST(embedding AS DOUBLE[])) AS x FROM embeddings) GROUP BY 1)
 SELECT model, round(1 - mae / max(mae) OVER (), 6) AS mae_inv, round(1 - rmse / max(rmse) OVER (), 6) AS rmse_inv,
        round(1 - mape / max(mape) OVER (), 6) AS mape_inv, round(greatest(CAST(0 AS DOUBLE), r2), 6) AS r2 FROM m""")
 def a35(spark, sf):
     from tidemill.operators.evaluate import compare_models
 
-    x, y = F.col("embedding")[0].cast("double"), F.col("embedding")[1].cast("double")
-    m = v.table(spark, sf, "embeddings").groupBy(F.col("label").alias("model")).agg(
-        F.avg(F.abs(x)).alias("mae"), F.sqrt(F.avg(x * x)).alias("rmse"), F.avg(x).alias("r2"), F.avg(F.abs(y)).alias("mape"))
+    x = F.col("x")
+    cells = v.table(spark, sf, "embeddings").select(F.col("label").alias("model"), F.explode(F.col("embedding").cast("array<double>")).alias("x"))
+    m = cells.groupBy("model").agg(
+        F.avg(F.abs(x)).alias("mae"), F.sqrt(F.avg(x * x)).alias("rmse"), F.avg(x).alias("r2"), F.max(F.abs(x)).alias("mape"))
     out = compare_models(m)
     return out.select("model", *[F.round(c, 6).alias(c) for c in ("mae_inv", "rmse_inv", "mape_inv", "r2")])
 
@@ -378,10 +405,7 @@ def l1(spark, sf):
     return rel.top_k(per, [F.desc("units"), F.col("store_id")], 10)
 
 
-@query("l2_top_products_of_store", f"""
-SELECT p.name, p.category, {UNITS} AS total_units, {MONEY} AS total_revenue
-FROM sales s JOIN products p ON s.product_id = p.product_id WHERE s.store_id = 7
-GROUP BY 1, 2 ORDER BY total_revenue DESC, name, category LIMIT 25""", "sales products")
+@query("l2_top_products_of_store", _top_sql(25, "store_id = 7"), "sales products")
 def l2(spark, sf):
     return agg.top_products(v.sales(spark, sf), v.products(spark, sf), 25, store_id=7)
 
@@ -405,7 +429,7 @@ def l5(spark, sf):
 @query("l6_rows_of_machine", "SELECT event_id, temperatura FROM readings WHERE maquina_id = 'MAQ-007' ORDER BY ts DESC, event_id LIMIT 10", "readings")
 def l6(spark, sf):
     rows = v.readings(spark, sf).filter(F.col("maquina_id") == "MAQ-007")
-    return rel.top_k(rows, [F.desc("ts"), F.col("event_id")], 10).select("event_id", "temperatura")
+    return rel.found(rel.top_k(rows, [F.desc("ts"), F.col("event_id")], 10).select("event_id", "temperatura"), "machine MAQ-007")
 
 
 @query("l7_sorted", "SELECT s_nationkey, s_suppkey, s_acctbal FROM supplier")
@@ -459,14 +483,16 @@ def u3(spark, sf):
 
 
 @query("u4_hits", """
-WITH c AS (SELECT "user", item, rating, row_number() OVER (PARTITION BY "user" ORDER BY item) AS r FROM ratings)
-SELECT "user", count(*) FILTER (rating >= 3.5) AS hits, count(*) FILTER (rating >= 3.5) / CAST(5.0 AS DOUBLE) AS precision
-FROM c WHERE r <= 5 GROUP BY 1""", "ratings")
+WITH shown AS (SELECT item FROM ratings GROUP BY 1 ORDER BY count(*) DESC, item LIMIT 5),
+h AS (SELECT "user", count(DISTINCT CASE WHEN rating >= 3.5 AND item IN (SELECT item FROM shown) THEN item END) AS hits FROM ratings GROUP BY 1)
+SELECT "user", hits, hits / CAST(5.0 AS DOUBLE) AS precision FROM h""", "ratings")
 def u4(spark, sf):
+    """The five items rated most are recommended to everybody; hits are those that a user finds relevant."""
     r = v.ratings(spark, sf)
-    shown = rel.top_k_per_key(r, ["user"], [F.col("item")], 5)
-    hits = F.count_if(F.col("rating") >= 3.5)
-    return shown.groupBy("user").agg(hits.alias("hits"), (hits / 5.0).alias("precision"))
+    shown = rel.top_k(r.groupBy("item").agg(F.count("*").alias("n")), [F.desc("n"), F.col("item")], 5).select("item", F.lit(True).alias("shown"))
+    marked = r.join(F.broadcast(shown), "item", "left")
+    hits = F.count_distinct(F.when(F.col("shown") & (F.col("rating") >= 3.5), F.col("item")))
+    return marked.groupBy("user").agg(hits.alias("hits")).withColumn("precision", F.col("hits") / 5.0)
 
 
 @query("u5_distinct", "SELECT DISTINCT l_returnflag, l_linestatus FROM lineitem")

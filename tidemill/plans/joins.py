@@ -130,14 +130,14 @@ def j10(spark, sf):
 
 
 @query("j11_full_outer", """
-WITH a AS (SELECT origin AS place, count(*) AS n_out FROM flights WHERE distance > 48 GROUP BY 1),
-b AS (SELECT dest AS place, count(*) AS n_in FROM flights WHERE distance < 2 GROUP BY 1)
-SELECT coalesce(a.place, b.place) AS place, n_out, n_in FROM a FULL JOIN b ON a.place = b.place""", "flights")
+WITH a AS (SELECT origin AS place, day, count(*) AS n_out FROM flights GROUP BY 1, 2),
+b AS (SELECT dest AS place, day, count(*) AS n_in FROM flights GROUP BY 1, 2)
+SELECT coalesce(a.place, b.place) AS place, coalesce(a.day, b.day) AS day, n_out, n_in FROM a FULL JOIN b ON a.place = b.place AND a.day = b.day""", "flights")
 def j11(spark, sf):
     f = v.flights(spark, sf)
-    out = f.filter(F.col("distance") > 48).groupBy(F.col("origin").alias("place")).agg(F.count("*").alias("n_out"))
-    into = f.filter(F.col("distance") < 2).groupBy(F.col("dest").alias("place")).agg(F.count("*").alias("n_in"))
-    return out.join(into, "place", "full")
+    out = f.groupBy(F.col("origin").alias("place"), "day").agg(F.count("*").alias("n_out"))
+    into = f.groupBy(F.col("dest").alias("place"), "day").agg(F.count("*").alias("n_in"))
+    return out.join(into, ["place", "day"], "full")
 
 
 @query("j12_as_of_history", """

@@ -234,17 +234,17 @@ def p26(spark, sf):
 
 
 @query("p27_profile", "\nUNION ALL ".join(f"""
-SELECT '{c}' AS "column", count({c}) AS n, round(avg(CAST({c} AS DOUBLE)), 4) AS mean, round(stddev_samp({c}), 4) AS std, CAST(min({c}) AS DOUBLE) AS min,
+SELECT '{c}' AS "column", count(*) AS rows, count({c}) AS n, round(avg(CAST({c} AS DOUBLE)), 4) AS mean, round(stddev_samp({c}), 4) AS std, CAST(min({c}) AS DOUBLE) AS min,
        quantile_cont(CAST({c} AS DOUBLE), 0.25) AS q1, quantile_cont(CAST({c} AS DOUBLE), 0.5) AS median, quantile_cont(CAST({c} AS DOUBLE), 0.75) AS q3,
        CAST(max({c}) AS DOUBLE) AS max FROM lineitem""" for c in ("l_quantity", "l_linenumber", "l_tax")))
 def p27(spark, sf):
     out = agg.profile(v.table(spark, sf, "lineitem"), ["l_quantity", "l_linenumber", "l_tax"])
-    return out.select("column", "n", F.round("mean", 4).alias("mean"), F.round("std", 4).alias("std"), "min", "q1", "median", "q3", "max")
+    return out.select("column", "rows", "n", F.round("mean", 4).alias("mean"), F.round("std", 4).alias("std"), "min", "q1", "median", "q3", "max")
 
 
 @query("p28_point_lookup", "SELECT c_custkey, c_name, c_mktsegment FROM customer WHERE c_custkey = 42")
 def p28(spark, sf):
-    return v.table(spark, sf, "customer").filter(F.col("c_custkey") == 42).select("c_custkey", "c_name", "c_mktsegment").limit(1)
+    return rel.found(v.table(spark, sf, "customer").filter(F.col("c_custkey") == 42).select("c_custkey", "c_name", "c_mktsegment").limit(1), "customer 42")
 
 
 @query("p29_sample", "SELECT doc_id FROM documents ORDER BY md5('42:' || doc_id), doc_id LIMIT 50")

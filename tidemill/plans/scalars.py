@@ -93,11 +93,11 @@ def f10_norm(spark, sf):
 
 
 @query("f11_vector_ops", """
-WITH e AS (SELECT vec_id, CAST(embedding[1:8] AS DOUBLE[]) AS a, CAST(embedding[9:16] AS DOUBLE[]) AS b FROM embeddings)
-SELECT vec_id, unnest(range(8)) AS i, unnest(list_transform(list_zip(a, b), lambda x: round(x[1] + x[2], 6))) AS added, unnest(list_transform(list_zip(a, b), lambda x: round(x[1] - x[2], 6))) AS taken,
+WITH e AS (SELECT vec_id, CAST(embedding[1:32] AS DOUBLE[]) AS a, CAST(embedding[33:64] AS DOUBLE[]) AS b FROM embeddings)
+SELECT vec_id, unnest(range(32)) AS i, unnest(list_transform(list_zip(a, b), lambda x: round(x[1] + x[2], 6))) AS added, unnest(list_transform(list_zip(a, b), lambda x: round(x[1] - x[2], 6))) AS taken,
        unnest(list_transform(list_zip(a, b), lambda x: round(x[1] * x[2], 6))) AS multiplied, unnest(list_transform(list_zip(a, b), lambda x: round(x[1] / x[2], 4))) AS divided FROM e""")
 def f11(spark, sf):
-    a, b = (arrays.as_doubles(F.slice("embedding", s, 8)) for s in (1, 9))
+    a, b = (arrays.as_doubles(F.slice("embedding", s, 32)) for s in (1, 33))
     e = v.table(spark, sf, "embeddings").select(
         "vec_id", F.posexplode(F.arrays_zip(
             arrays.add(a, b).alias("added"), arrays.subtract(a, b).alias("taken"), arrays.multiply(a, b).alias("multiplied"),

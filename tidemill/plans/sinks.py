@@ -236,9 +236,9 @@ def s22(spark, sf):
 
 
 @query("s24_inline_rows", """
-SELECT n_name, code FROM nation JOIN (VALUES (0, 'AF'), (1, 'AM'), (2, 'AS')) r(k, code) ON n_regionkey = k""")
+SELECT n_name, code FROM nation JOIN (VALUES (0, 'AF'), (1, 'AM'), (2, 'AS'), (3, 'EU'), (4, 'ME')) r(k, code) ON n_regionkey = k""")
 def s24(spark, sf):
-    r = spark.createDataFrame([(0, "AF"), (1, "AM"), (2, "AS")], "k int, code string")
+    r = spark.createDataFrame([(0, "AF"), (1, "AM"), (2, "AS"), (3, "EU"), (4, "ME")], "k int, code string")
     return v.table(spark, sf, "nation").join(F.broadcast(r), F.col("n_regionkey") == F.col("k")).select("n_name", "code")
 
 

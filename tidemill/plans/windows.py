@@ -53,9 +53,9 @@ def w3(spark, sf):
 
 
 @query("w4_latest_by_key", """
-SELECT maquina_id, event_id, temperatura FROM (SELECT *, row_number() OVER (PARTITION BY maquina_id ORDER BY ts DESC) AS r FROM readings) WHERE r = 1""", "readings")
+SELECT maquina_id, event_id, temperatura FROM (SELECT *, row_number() OVER (PARTITION BY maquina_id ORDER BY ts DESC, event_id DESC) AS r FROM readings) WHERE r = 1""", "readings")
 def w4(spark, sf):
-    return rel.latest_by_key(v.readings(spark, sf).select("maquina_id", "event_id", "temperatura", "ts"), ["maquina_id"], "ts").select(
+    return rel.latest_by_key(v.readings(spark, sf).select("maquina_id", "event_id", "temperatura", "ts"), ["maquina_id"], "ts", "event_id").select(
         "maquina_id", "event_id", "temperatura")
 
 
@@ -87,9 +87,10 @@ def w7(spark, sf):
     return series.with_day_index(daily).withColumn("mean_value", F.round("mean_value", 6))
 
 
-@query("w8_last_value", "SELECT maquina_id, arg_max(temperatura, ts) AS current FROM readings GROUP BY 1", "readings")
+@query("w8_last_value", """
+SELECT maquina_id, temperatura AS current FROM (SELECT *, row_number() OVER (PARTITION BY maquina_id ORDER BY ts DESC, event_id DESC) AS r FROM readings) WHERE r = 1""", "readings")
 def w8(spark, sf):
-    return v.readings(spark, sf).groupBy("maquina_id").agg(F.max_by("temperatura", "ts").alias("current"))
+    return v.readings(spark, sf).groupBy("maquina_id").agg(F.max_by("temperatura", F.struct("ts", "event_id")).alias("current"))
 
 
 @query("w9_cumulative_sum", """
