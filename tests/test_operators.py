@@ -449,3 +449,30 @@ class TestText:
     def test_rounding(self, spark):
         row = spark.range(1).select(numbers.round_half_up(F.lit(11884.405), 2), numbers.round_half_even(F.lit(2.5), 0)).first()
         assert tuple(row) == (11884.41, 2.0)
+
+
+class TestLookupsAndProfiles:
+    def test_absent_key_is_an_error(self, spark):
+        rows = spark.createDataFrame([(1, "a")], "k int, v string")
+        assert rel.found(rows.filter("k = 1"), "key 1").count() == 1
+        with pytest.raises(LookupError, match="key 2"):
+            rel.found(rows.filter("k = 2"), "key 2")
+
+    def test_latest_row_of_equal_times(self, spark):
+        rows = spark.createDataFrame([("m", 5, 1), ("m", 5, 3), ("m", 5, 2), ("m", 4, 9)], "m string, ts int, id int")
+        assert [r.id for r in rel.latest_by_key(rows, ["m"], "ts", "id").collect()] == [3]
+
+    def test_cell_statistics(self, spark):
+        rows = spark.createDataFrame([([1.0, 2.0],), ([3.0, None],), (None,), ([],)], "x array<double>")
+        whole = aggregates.cell_stats(rows, "x").first()
+        assert (whole.n, whole.total, whole.low, whole.high, whole.mean) == (3, 6.0, 1.0, 3.0, 2.0)
+        assert whole.std == pytest.approx((2 / 3) ** 0.5)
+        by = {r.pos: (r.n, r.total) for r in aggregates.cell_stats(rows, "x", by_position=True).collect()}
+        assert by == {0: (2, 4.0), 1: (1, 2.0)}
+
+    def test_profile_has_shape_and_types(self, spark):
+        rows = spark.createDataFrame([(1, 1.0), (2, None), (3, 5.0)], "a int, b double")
+        got = {r.column: r for r in aggregates.profile(rows, ["a", "b"]).collect()}
+        assert (got["a"].type, got["a"].rows, got["a"].n, got["a"].median) == ("int", 3, 3, 2.0)
+        assert (got["b"].type, got["b"].rows, got["b"].n, got["b"].mean) == ("double", 3, 2, 3.0)
+

@@ -147,12 +147,15 @@ def label_frequencies(df: DataFrame, col: str, top: int | None = 10) -> DataFram
 
 
 def min_max(df: DataFrame, cols: Sequence[str], eps: float = 1e-9) -> DataFrame:
-    """Scales columns to 0..1 over all rows; meant for small result tables, reads them twice."""
-    out = df
-    for c in cols:
-        low, high = df.agg(F.min(c)).scalar(), df.agg(F.max(c)).scalar()
-        out = out.withColumn(f"{c}_norm", (F.col(c) - low) / (high - low + F.lit(eps)))
-    return out
+    """Scales columns to 0..1 over all rows; meant for small result tables, reads them twice. The ends of
+    all columns are one row, which is broadcast."""
+    ends = df.agg(F.array(*[F.struct(F.min(c).cast("double").alias("low"), F.max(c).cast("double").alias("high")) for c in cols]).alias("__ends"))
+    out = df.join(F.broadcast(ends), how="cross")
+    scaled = {
+        f"{c}_norm": (F.col(c) - F.col("__ends")[i]["low"]) / (F.col("__ends")[i]["high"] - F.col("__ends")[i]["low"] + F.lit(eps))
+        for i, c in enumerate(cols)
+    }
+    return out.withColumns(scaled).drop("__ends")
 
 
 def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:

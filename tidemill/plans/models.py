@@ -54,10 +54,9 @@ def m5(spark, sf):
 
 @query("m6_dbscan_after_pca")
 def m6(spark, sf):
-    # two thirds of the usual radius: six behaviour columns give shorter distances than thirty
     x, size = user_vectors(spark, sf)
     out, _ = clustering.pca(x, "x", size, 8)
-    return clustering.dbscan(out.select("user", "pca"), "user", "pca", size, eps=1.2, min_samples=5)
+    return clustering.dbscan(out.select("user", "pca"), "user", "pca", size)
 
 
 # ---- demand ---------------------------------------------------------------------------------
@@ -185,7 +184,7 @@ def m20(spark, sf):
 
 def intent_rows(spark, sf):
     """Language detection stands in for intents: a message is a whole document."""
-    tokens = text.keywords(F.col("text"), [])
+    tokens = text.stem(text.keywords(F.col("text"), text.stopwords()))
     docs = v.texts(spark, sf).select("doc_id", F.col("lang").alias("tag"), tokens.alias("tokens"))
     return docs.filter(F.size("tokens") > 0)
 
@@ -193,7 +192,7 @@ def intent_rows(spark, sf):
 @query("m22_intent_model")
 def m22(spark, sf):
     parts = rel.rank_split(intent_rows(spark, sf), "doc_id", [0.7, 0.3], ["tag"]).cache()
-    model = textmodels.train_intent(parts.filter("part = 0").select("tag", "tokens"), max_iter=50)
+    model = textmodels.train_intent(parts.filter("part = 0").select("tag", "tokens"))
     out = textmodels.predict_intent(model, parts.filter("part = 1").select("doc_id", "tag", "tokens"))
     return out.select("doc_id", "tag", "intent", F.round("confidence", 4).alias("confidence"))
 
@@ -206,7 +205,7 @@ def m23(spark, sf):
 @query("m34_responses")
 def m34(spark, sf):
     rows = intent_rows(spark, sf)
-    model = textmodels.train_intent(rows.select("tag", "tokens"), max_iter=20)
+    model = textmodels.train_intent(rows.select("tag", "tokens"))
     out = textmodels.predict_intent(model, rows.select("doc_id", "tokens"))
     answers = out.select(F.col("intent")).distinct().withColumn("responses", F.array(F.concat(F.lit("1:"), "intent"), F.concat(F.lit("2:"), "intent")))
     return out.join(F.broadcast(answers), "intent", "left").select(
