@@ -274,6 +274,15 @@ def test_pii_redacts(spark):
     assert {r.doc_id: r.text for r in pii.redacted(docs).collect()} == {1: "é [email], [phone]!", 2: None, 3: "clean"}
 
 
+def test_pii_sets_the_threshold_of_a_rare_kind_on_all_spans(spark):
+    ips = [f"host 77.88.{10 + i % 90}.{100 + i % 150} is up" for i in range(299)] + ["host 77.88.99.300 is up"]
+    cards = [f"no {4000000000000000 + 7919 * i} end" for i in range(6000)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate([*ips, *cards, *[cards[0]] * 6000])], "doc_id long, text string").coalesce(1)
+    spans = pii.stored(pii.proposed(docs), "pii")
+    got = pii.added(spans, rows=400).where(F.col("kind") == pii.KINDS.index("ip")).select("start", "end").collect()
+    assert [tuple(r) for r in got] == [(5, 17)]
+
+
 def test_suffix_lm(spark, tables, rows):
     got = collections.defaultdict(list)
     for r in queries.op7_suffix_lm(spark, tables).collect():

@@ -1,9 +1,9 @@
 """Personal data: rule-checked base spans, and further spans that boosted trees select among candidates.
 
 Generators of high recall propose overlapping candidate spans. Gradient-boosted trees score each by its
-format and by the text before and after it. They learn, on a bounded sample, which candidates the rules
-confirm; the threshold of each kind is set on the part of the sample that the trees did not see. What is
-above it and apart from all base spans is added. Base spans always stay.
+format and by the text before and after it. They learn, on a bounded sample of each kind's distinct matches,
+which candidates the rules confirm; the threshold of each kind is set on all spans that the trees did not
+learn from. What is above it and apart from all base spans is added. Base spans always stay.
 
 DataFrame and SQL functions, and the trees of Spark's own library, which are functions of a DataFrame too.
 Work on a text happens in its row. Only spans are shuffled, by document.
@@ -46,11 +46,12 @@ HINTS = {
     "card": r"card|visa|credit|karte|tarjeta|carte|pay",
     "phone": r"phone|tel|call|mobile|anruf|llam|appel",
 }
-#: Bounds of what is learnt from: candidates of smallest hash.
-SAMPLE_ROWS = 20_000
+#: Bounds of what is learnt from: distinct matches of each kind, of smallest hash. Hashes have so many places.
+SAMPLE_ROWS, PLACES = 20_000, 1 << 14
 TREES, DEPTH, SEED = 12, 3, 11
-#: Share of right ones that a kind's threshold must reach on the unseen part, among this many at least.
-PRECISION, LEAST_UNSEEN = 0.98, 10
+#: Share of right ones that a kind's threshold must reach on the unseen part, among this many at least. Scores
+#: are counted in so many steps; as a power of two it makes each step's end an exact number.
+PRECISION, LEAST_UNSEEN, STEPS = 0.98, 10, 1 << 14
 AROUND = 24
 
 _SPAN = "array<struct<kind: int, start: int, end: int, found: string, before: string, after: string, base: boolean>>"
@@ -103,8 +104,8 @@ def _spans(text: Column, kind: str, form: str, needs: str, base: bool) -> Column
 
 
 def proposed(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``rid, kind, start, end, base`` and the features of every base span and every candidate. A candidate
-    that is a base span is that span."""
+    """``rid, kind, start, end, base``, a hash of the ``match`` and the features of every base span and every
+    candidate. A candidate that is a base span is that span."""
     body = text_or_empty(F.col("text"))
     lists = [_spans(body, k, BASE[k], NEEDS[k], True) for k in KINDS] + [_spans(body, k, CANDIDATES[k], CANDIDATE_NEEDS[k], False) for k in KINDS]
     rows = numbered(docs.select("doc_id", F.col(text).alias("text")))
@@ -120,7 +121,7 @@ def proposed(docs: DataFrame, text: str = "text") -> DataFrame:
     for i, k in enumerate(KINDS):
         hint = hint | ((F.col("kind") == i) & F.lower("before").rlike(HINTS[k]))
     return spans.select(
-        "rid", "kind", "start", "end", "base",
+        "rid", "kind", "start", "end", "base", F.xxhash64("found").alias("match"),
         *((F.col("kind") == i).cast("double").alias(f"is_{k}") for i, k in enumerate(KINDS)),
         F.length("found").cast("double").alias("n_chars"),
         *(F.length(F.regexp_replace("found", other, "")).cast("double").alias(name) for name, other in count.items()),
@@ -136,34 +137,62 @@ def proposed(docs: DataFrame, text: str = "text") -> DataFrame:
 def added(spans: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
     """``rid, kind, start, end`` of the candidates that the trees select.
 
-    ``spans`` is a stored table from :func:`proposed`. A kind whose threshold can't be set adds nothing, nor
-    does a sample that lacks confirmed or other candidates.
+    ``spans`` is a stored table from :func:`proposed`. The trees learn from up to ``rows`` distinct matches of
+    each kind. Each kind's threshold covers all spans with other matches. A kind whose threshold can't be set
+    adds nothing, nor does a sample that lacks confirmed or other candidates.
     """
     empty = spans.where("false").select("rid", "kind", "start", "end")
-    names = [c for c in spans.columns if c not in ("rid", "kind", "start", "end", "base")]
+    names = [c for c in spans.columns if c not in ("rid", "kind", "start", "end", "match", "base")]
     score = VectorAssembler(inputCols=names, outputCol="features").transform
-    mark = F.xxhash64("rid", "kind", "start", "end")
-    sample = stored(spans.withColumn("mark", mark).orderBy("mark", "rid", "start").limit(rows).withColumn("label", F.col("base").cast("double")).coalesce(1), "pii-sample")
-    unseen = F.pmod("mark", F.lit(4)) == 0
-    if sample.where(~unseen).select("label").distinct().count() < 2:
-        return empty
-    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED).fit(score(sample.where(~unseen)))
     share = vector_to_array("probability")[1].alias("share")
-    at_least = _thresholds(model.transform(score(sample.where(unseen))).select("kind", "label", share))
+    place = F.pmod(F.shiftright("match", 8), F.lit(PLACES))
+    learnt = F.lit(False)
+    for kind, last in _sampled(spans, place, rows).items():
+        learnt = learnt | ((F.col("kind") == kind) & (place <= last))
+    learnt = learnt & (F.pmod("match", F.lit(4)) != 0)
+    # of equal matches the one of smallest hash: a text that many rows share is learnt once
+    mark = F.xxhash64("rid", "start", "end")
+    first = spans.where(learnt).groupBy("kind", "match").agg(F.min(mark).alias("mark"))
+    sample = spans.where(learnt).withColumn("mark", mark).join(first, ["kind", "match", "mark"])
+    sample = sample.dropDuplicates(["kind", "match", "mark"]).withColumn("label", F.col("base").cast("double"))
+    sample = stored(sample.repartition(1).sortWithinPartitions("kind", "match"), "pii-sample")
+    if sample.select("label").distinct().count() < 2:
+        return empty
+    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED).fit(score(sample))
+    scored = model.transform(score(spans.withColumn("learnt", learnt))).select("rid", "kind", "start", "end", "base", "learnt", share)
+    scored = stored(scored, "pii-scored")
     chosen = F.lit(False)
-    for kind, least in at_least.items():
+    for kind, least in _thresholds(scored.where("not learnt").select("kind", F.col("base").cast("double").alias("label"), "share")).items():
         chosen = chosen | ((F.col("kind") == kind) & (F.col("share") >= least))
-    return model.transform(score(spans.where(~F.col("base")))).select("rid", "kind", "start", "end", share).where(chosen).drop("share")
+    return scored.where(~F.col("base") & chosen).select("rid", "kind", "start", "end")
+
+
+def _sampled(spans: DataFrame, place: Column, rows: int) -> dict[int, int]:
+    """By kind, the last place of hashes up to which there are at most ``rows`` distinct matches to learn from
+    (the first place in any case)."""
+    usable = spans.where(F.pmod("match", F.lit(4)) != 0).select("kind", "match").distinct()
+    found: dict[int, int] = {}
+    held: dict[int, int] = {}
+    for row in usable.groupBy("kind", place.alias("place")).agg(F.count("*").alias("n")).orderBy("kind", "place").collect():
+        held[row["kind"]] = held.get(row["kind"], 0) + row["n"]
+        if row["kind"] not in found or held[row["kind"]] <= rows:
+            found[row["kind"]] = row["place"]
+    return found
 
 
 def _thresholds(rows: DataFrame) -> dict[int, float]:
-    """By kind, the smallest score from which on candidates are confirmed often enough. ``rows`` is the unseen
-    part of the bounded sample."""
+    """By kind, the smallest score from which on candidates are confirmed often enough. ``rows`` are all spans
+    that the trees did not learn from; only their counts by steps of the score are gathered."""
     found: dict[int, float] = {}
-    order = W.partitionBy("kind").orderBy(F.col("share").desc()).rangeBetween(W.unboundedPreceding, W.currentRow)
-    sums = rows.select("kind", "share", F.avg("label").over(order).alias("right"), F.count("*").over(order).alias("n"))
-    for row in sums.where((F.col("right") >= PRECISION) & (F.col("n") >= LEAST_UNSEEN)).groupBy("kind").agg(F.min("share").alias("least")).collect():
-        found[row["kind"]] = max(row["least"], 0.5)
+    held: dict[int, tuple[float, int]] = {}
+    step = F.floor(F.col("share") * STEPS).cast("int")
+    sums = rows.groupBy("kind", step.alias("step")).agg(F.sum("label").alias("right"), F.count("*").alias("n"))
+    for row in sums.orderBy("kind", F.col("step").desc()).collect():
+        right, n = held.get(row["kind"], (0.0, 0))
+        right, n = right + row["right"], n + row["n"]
+        held[row["kind"]] = right, n
+        if right >= PRECISION * n and n >= LEAST_UNSEEN:
+            found[row["kind"]] = max(row["step"] / STEPS, 0.5)
     return found
 
 
