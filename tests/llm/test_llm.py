@@ -227,6 +227,13 @@ def test_line_dedup(spark):
     assert got[5].kept == [] and got[6].kept == ["Home", "x", "Home", "foot"] and got[7].kept == ["Home"]
 
 
+def test_line_dedup_on_small_hosts(spark):
+    rows = [(f"{n}.org", i, f"<nav>Home</nav><p>own {i}</p>") for n in (1, 2, 3, 4) for i in range(n)]
+    pages = spark.createDataFrame([(f"{h}/{i}", f"http://{h}/{i}", t) for h, i, t in rows], "page_id string, url string, html string")
+    got = {r.page_id: r.kept for r in line_dedup.without_boilerplate(pages).collect()}
+    assert got == {f"{h}/{i}": [*(["Home"] if h == "1.org" else []), f"own {i}"] for h, i, _ in rows}
+
+
 def test_url_rules():
     trie = url_filter.Trie([url_filter.Rule("allow", "a.com", "/x"), url_filter.Rule("block", "com", "/x/yy/"), url_filter.Rule("block", "a.com", "/x"), url_filter.Rule("allow", "", "")])
     assert trie.match("b.a.com", "/xq") == ("a.com/x", "block")

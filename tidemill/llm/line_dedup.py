@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 from tidemill.llm.common import numbered, text_or_empty
 from tidemill.session import stored
 
-#: Lines in more than this share of a host's pages are dropped, if the host has this many pages at least: the
-#: few pages of a small host share lines by chance, and a single page shares all lines with itself.
-MOST_SHARE, LEAST_PAGES = 0.3, 5
+#: Lines in more than this share of a host's pages are dropped, if they stand on this many pages at least: of
+#: one page alone the share says nothing, it shares all lines with itself.
+MOST_SHARE, LEAST_PAGES = 0.3, 2
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -38,16 +38,16 @@ def without_boilerplate(
     that stay, in order.
 
     Null urls and urls without ``://`` have no host: all their lines stay. Null and empty pages have no lines.
-    A repeated row counts as a page.
+    A repeated row counts as a page. A line that is dropped stands on ``least_pages`` pages at least.
     """
     rows = numbered(pages.select(F.col(key).alias("key"), F.col(url).alias("url"), F.col(html).alias("html"))).select(
         "rid", "key", host(F.col("url")).alias("host"), lines(F.col("html")).alias("lines")
     )
     marks = F.transform("lines", lambda x: F.unhex(F.md5(x)))
     held = stored(rows.where("host <> ''").select("rid", "host", F.array_distinct(marks).alias("marks")), "lines")
-    sites = held.groupBy("host").agg(F.count("*").alias("pages")).where(F.col("pages") >= least_pages)
+    sites = held.groupBy("host").agg(F.count("*").alias("pages"))
     each = held.select("rid", "host", F.explode("marks").alias("mark"))
-    counts = each.groupBy("host", "mark").agg(F.count("*").alias("n"))
+    counts = each.groupBy("host", "mark").agg(F.count("*").alias("n")).where(F.col("n") >= least_pages)
     common = counts.join(sites, "host").where(F.col("n") > most_share * F.col("pages")).select("host", "mark")
     dropped = each.join(common, ["host", "mark"]).groupBy("rid").agg(F.collect_list("mark").alias("dropped"))
     out = rows.join(dropped, "rid", "left")
