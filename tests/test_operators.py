@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidemill.functions import dates, numbers, text
 from tidemill.operators import aggregates, clustering, dialogue, evaluate, ordered, recommend, sensors, series
 from tidemill.operators import relational as rel
+from tidemill.plans import registered, views
 
 
 @pytest.fixture(scope="module")
@@ -476,3 +477,20 @@ class TestLookupsAndProfiles:
         assert (got["a"].type, got["a"].rows, got["a"].n, got["a"].median) == ("int", 3, 3, 2.0)
         assert (got["b"].type, got["b"].rows, got["b"].n, got["b"].mean) == ("double", 3, 2, 3.0)
 
+
+
+class TestRegisteredQueries:
+    def test_co_rating_pairs_follow_from_the_ratings(self, spark):
+        sf = "/root/testdata/sf0.001"
+        m = views.ratings(spark, sf).toPandas().pivot(index="user", columns="item", values="rating").astype(float)
+        dev = m.sub(m.mean(axis=1), axis=0).fillna(0.0)
+        norm = np.sqrt((dev**2).sum(axis=1))
+        w = dev[norm > 1e-9].div(norm[norm > 1e-9], axis=0)
+        sims = np.round(w.to_numpy() @ w.to_numpy().T, recommend.SIM_DIGITS)
+        np.fill_diagonal(sims, 0.0)
+        want = {}
+        for i, u in enumerate(w.index):
+            best = sorted((-s, v) for s, v in zip(sims[i], w.index) if s >= 0.05)[:30]
+            want |= {(u, v): -s for s, v in best}
+        got = {(r.u, r.v): r.sim for r in registered()["j7_co_rating_similarity"](spark, sf).collect()}
+        assert any(abs(u - v) > 1 for u, v in want) and got == pytest.approx(want, abs=2e-6)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemill.operators import relational as rel
 from tidemill.operators import series
-from tidemill.operators.recommend import pair_similarity
+from tidemill.operators.recommend import neighbours, pair_similarity
 from tidemill.plans import views as v
 from tidemill.plans.registry import query
 from tidemill.session import cut_lineage
@@ -104,8 +104,9 @@ dots AS (SELECT p.u, p.v, sum(a.dev * b.dev) AS dot FROM pairs p JOIN c a ON a."
 SELECT p.u, p.v, round(coalesce(CASE WHEN x.norm * y.norm > 0 THEN d.dot / (x.norm * y.norm) END, 0), 6) AS sim
 FROM pairs p LEFT JOIN dots d ON p.u = d.u AND p.v = d.v LEFT JOIN n x ON p.u = x."user" LEFT JOIN n y ON p.v = y."user" """, "ratings")
 def j7(spark, sf):
-    pairs = v.table(spark, sf, "customer").select(F.col("c_custkey").alias("u"), (F.col("c_custkey") + 1).alias("v"))
-    return pair_similarity(v.ratings(spark, sf), pairs).withColumn("sim", F.round("sim", 6))
+    ratings = cut_lineage(v.ratings(spark, sf))
+    pairs = cut_lineage(neighbours(ratings).select("u", "v"))
+    return pair_similarity(ratings, pairs).withColumn("sim", F.round("sim", 6))
 
 
 @query("j8_anti_join", "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')")
