@@ -494,3 +494,15 @@ class TestRegisteredQueries:
             want |= {(u, v): -s for s, v in best}
         got = {(r.u, r.v): r.sim for r in registered()["j7_co_rating_similarity"](spark, sf).collect()}
         assert any(abs(u - v) > 1 for u, v in want) and got == pytest.approx(want, abs=2e-6)
+
+    def test_dbscan_query_clusters_on_all_dimensions(self, spark, tmp_path):
+        rng = np.random.default_rng(9)
+        xs = np.zeros((60, 64))
+        xs[:25, 63], xs[25:50, 30] = 5.0, -5.0
+        xs[50:, 4:] = rng.uniform(2, 9, (10, 60))
+        xs[:, 4:] += rng.normal(scale=0.05, size=(60, 60))
+        xs = xs[rng.permutation(60)]
+        spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(xs)], "vec_id long, embedding array<double>").write.parquet(f"{tmp_path}/embeddings.parquet")
+        got = registered()["m6_dbscan"](spark, str(tmp_path)).orderBy("vec_id").collect()
+        want = TestClustering.brute_dbscan(xs, 1.8, 5)
+        assert set(want) == {-1, 0, 1} and [r.label for r in got] == want

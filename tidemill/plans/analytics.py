@@ -63,8 +63,7 @@ lab AS (SELECT id, root FROM cl UNION ALL SELECT nb.a, min(cl.root) FROM nb JOIN
 num AS (SELECT root, row_number() OVER (ORDER BY root) - 1 AS label FROM (SELECT DISTINCT root FROM cl))
 SELECT p.id AS vec_id, CAST(coalesce(num.label, -1) AS INTEGER) AS label FROM p LEFT JOIN lab ON p.id = lab.id LEFT JOIN num ON lab.root = num.root""")
 def m6(spark, sf):
-    e = v.table(spark, sf, "embeddings").select("vec_id", F.slice("embedding", 1, 4).alias("x"))
-    return clustering.dbscan(e, "vec_id", "x", 4, DBSCAN_EPS, DBSCAN_MIN)
+    return clustering.dbscan(v.table(spark, sf, "embeddings").select("vec_id", "embedding"), "vec_id", "embedding", 64)
 
 
 @query("m8_demand_features", """
