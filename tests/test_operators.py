@@ -10,7 +10,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemill.functions import dates, numbers, text
-from tidemill.operators import aggregates, clustering, dialogue, evaluate, ordered, recommend, sensors, series
+from tidemill.operators import aggregates, clustering, dialogue, evaluate, models, ordered, recommend, sensors, series
 from tidemill.operators import relational as rel
 from tidemill.plans import registered, views
 
@@ -506,3 +506,23 @@ class TestRegisteredQueries:
         got = registered()["m6_dbscan"](spark, str(tmp_path)).orderBy("vec_id").collect()
         want = TestClustering.brute_dbscan(xs, 1.8, 5)
         assert set(want) == {-1, 0, 1} and [r.label for r in got] == want
+
+    @pytest.mark.parametrize("name", ["m9_forest", "m9_boosting", "m11_random_search", "m12_demand_forecast", "m14_importances", "l10_top_importances", "s23_saved_model", "m28_boosted_trees", "m29_tuning"])
+    def test_models_are_trained_with_the_defaults(self, spark, monkeypatch, name):
+        class Seen(Exception):
+            pass
+
+        def seen(*args, **kwargs):
+            raise Seen(args, kwargs)
+
+        for f in ("fit", "fit_and_score", "random_search", "tune_boosted"):
+            monkeypatch.setattr(models, f, seen)
+        with pytest.raises(Seen) as caught:
+            registered()[name](spark, "/root/testdata/sf0.001")
+        args, kwargs = caught.value.args
+        if name in ("m11_random_search", "m29_tuning"):
+            assert kwargs == {} and len(args) == 2
+        else:
+            default = {"m9_boosting": models.boosting_regressor, "m28_boosted_trees": models.boosted_classifier}.get(name, models.forest_regressor)()
+            assert type(args[0]) is type(default)
+            assert {p.name: v for p, v in args[0].extractParamMap().items()} == {p.name: v for p, v in default.extractParamMap().items()}

@@ -74,14 +74,14 @@ def _metrics(df, name):
 @query("m9_forest")
 def m9(spark, sf):
     train, test = demand(spark, sf)
-    _, _, metrics = models.fit_and_score(models.forest_regressor(trees=40, depth=10), train, test)
+    _, _, metrics = models.fit_and_score(models.forest_regressor(), train, test)
     return _metrics(metrics, "forest")
 
 
 @query("m9_boosting")
 def m9_boosting(spark, sf):
     train, test = demand(spark, sf)
-    _, _, metrics = models.fit_and_score(models.boosting_regressor(rounds=15), train, test)
+    _, _, metrics = models.fit_and_score(models.boosting_regressor(), train, test)
     return _metrics(metrics, "boosting")
 
 
@@ -94,8 +94,7 @@ def m10(spark, sf):
 @query("m11_random_search")
 def m11(spark, sf):
     train, _ = demand(spark, sf)
-    grid = {**models.FOREST_GRID, "numTrees": [10, 20], "maxDepth": [6, 8]}
-    _, board = models.random_search(train, "sale_date", grid, n_iter=2, folds=4)
+    _, board = models.random_search(train, "sale_date")
     return spark.createDataFrame([(str(p), e) for p, e in board], "params string, mae double")
 
 
@@ -103,7 +102,7 @@ def m11(spark, sf):
 def m12(spark, sf):
     daily, weather = cut_lineage(v.chain_daily(spark, sf)), v.weather(spark, sf)
     train, _ = demand(spark, sf)
-    model = models.fit(models.forest_regressor(trees=20, depth=8), train)
+    model = models.fit(models.forest_regressor(), train)
     pairs = daily.groupBy("store_id", "product_id").agg(F.max("sale_date").alias("last"), F.max("unit_price").alias("base_price"))
     grid = series.future_days(pairs, F.date_add("last", 1), 30).withColumn("discount_pct", F.lit(5))
     known = series.as_of_history(grid, daily, ["store_id", "product_id"], "target_date", "units_sold")
@@ -118,21 +117,21 @@ def m12(spark, sf):
 @query("m14_importances")
 def m14(spark, sf):
     train, _ = demand(spark, sf)
-    model = models.fit(models.forest_regressor(trees=10, depth=8), train)
+    model = models.fit(models.forest_regressor(), train)
     return models.importances(spark, model, fv.DEMAND_FEATURES)
 
 
 @query("l10_top_importances")
 def l10(spark, sf):
     train, _ = demand(spark, sf)
-    model = models.fit(models.forest_regressor(trees=10, depth=8), train)
+    model = models.fit(models.forest_regressor(), train)
     return models.importances(spark, model, fv.DEMAND_FEATURES, 15)
 
 
 @query("s23_saved_model")
 def s23(spark, sf):
     train, test = demand(spark, sf)
-    model, before, metrics = models.fit_and_score(models.forest_regressor(trees=5, depth=5), train, test)
+    model, before, metrics = models.fit_and_score(models.forest_regressor(), train, test)
     out = run_dir(spark, "s23")
     models.save_model(model, out, fv.DEMAND_FEATURES, metrics)
     loaded, names, stored = models.load_model(spark, out)
@@ -242,14 +241,14 @@ def m27(spark, sf):
 @query("m28_boosted_trees")
 def m28(spark, sf):
     train, _, test = flight_rows(spark, sf)
-    model = models.fit(models.boosted_classifier(rounds=10), train)
+    model = models.fit(models.boosted_classifier(), train)
     return models.batch_predict(model, test).select("key", "label", F.round("score", 4).alias("score"), "predicted")
 
 
 @query("m29_tuning")
 def m29(spark, sf):
     train, valid, _ = flight_rows(spark, sf)
-    _, board = models.tune_boosted(train, valid, {**models.BOOST_RANGES, "maxDepth": (3, 5)}, max_jobs=2, rounds=4)
+    _, board = models.tune_boosted(train, valid)
     return spark.createDataFrame(board, "job int, params string, auc double")
 
 
