@@ -219,6 +219,19 @@ def test_probes_and_codes_lose_nothing():
     assert found == set(zip(*(a.tolist() for a in np.nonzero(rows @ rows.T >= 0.95)), strict=True))
 
 
+def test_near_vectors_of_mixed_lengths(spark):
+    draw = np.random.default_rng(8)
+    vectors = draw.normal(size=(20, 16)).tolist()
+    for n in (3, 8):
+        one = draw.normal(size=n)
+        vectors += [one.tolist(), (2 * one).tolist(), one.tolist(), (-one).tolist()]
+    vectors += [[1.0], []]
+    got = {r.vec_id: r for r in near_vectors.near_vectors(spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>").coalesce(1)).collect()}
+    near = [{j for j, y in enumerate(vectors) if j != i and len(x) == len(y) > 0 and np.dot(x, y) >= 0.95 * np.linalg.norm(x) * np.linalg.norm(y)} for i, x in enumerate(vectors)]
+    assert len(got) == len(vectors) and near[20] == {21, 22} and near[25] == {24, 26}
+    assert {i: (r.n_links, r.component_id) for i, r in got.items()} == {i: (len(x), min({i} | x)) for i, x in enumerate(near)}
+
+
 def test_line_dedup(spark):
     page = lambda i, own, host="H.org": (i, f"http://{host}/{i}", f"<nav>Home</nav> <p>{own}</p>Home\n<b>foot</b>" if own else None)
     rows = [page(i, f"own {i}") for i in range(5)] + [page(5, None), page(6, "x", "one.org"), (7, None, "<p>Home</p>")]

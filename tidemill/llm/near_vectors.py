@@ -196,21 +196,23 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", column: str = "embeddi
     ``min_cosine``), ``component_id`` (smallest key that links reach, itself included), ``kept`` (whether that
     is its own).
 
-    Vectors that are null, zero, or hold null or non-finite components link with nothing, nor do vectors of
-    another length than most have. Equal vectors are one class before the search. Rows without a key count as
-    links; a component of such rows alone has none.
+    Vectors that are null, zero, or hold null or non-finite components link with nothing. The vectors of each
+    length are searched by themselves, with their own quantiser. Equal vectors are one class before the search.
+    Rows without a key count as links; a component of such rows alone has none.
     """
     rows = numbered(vectors.select(F.col(key).alias("key"), F.col(column).cast("array<double>").alias("embedding")))
-    lengths = rows.where("embedding is not null").groupBy(F.size("embedding").alias("dim")).count()
-    most = lengths.orderBy(F.desc("count"), "dim").first()
-    dim = most["dim"] if most else 0
     e = F.col("embedding")
-    usable = (F.size(e) == dim) & F.forall(e, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(e, lambda x: x != 0)
+    usable = F.forall(e, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(e, lambda x: x != 0)
     rows = rows.withColumn("embedding", F.when(F.coalesce(usable, F.lit(False)), e))
     classes = stored(
         rows.where("embedding is not null").groupBy("embedding").agg(F.min("rid").alias("rid"), F.count("*").alias("copies")), "vectors"
     )
-    found = stored(near_links(classes, dim, classes.count(), min_cosine), "near")
+    found = None
+    for dim, n in classes.groupBy(F.size("embedding").alias("dim")).count().where("count > 1").orderBy("dim").collect():
+        more = stored(near_links(classes.where(F.size("embedding") == dim), dim, n, min_cosine), "near")
+        found = more if found is None else found.unionByName(more)
+    if found is None:  # nothing to compare
+        found = classes.sparkSession.createDataFrame([], "a long, b long, n long")
     links = found.groupBy("a").agg(F.sum("n").alias("n"))
     parts = components(found.select("a", "b"))
     heads = (
