@@ -9,6 +9,7 @@ import sys
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemill.llm import exact_dedup, mixing, pieces, simhash, toxicity
 from tidemill.session import stored
@@ -38,8 +39,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with the ids of their sampled pieces in place of the text."""
-    return docs.select("doc_id", "lang", "source", pieces.encoder(docs).alias("ids"))
+    """Documents with the ids of their sampled pieces, and whether these spell the text."""
+    rows = pieces.decoded(docs.withColumn("ids", pieces.encoder(docs)))
+    return rows.withColumn("lossless", F.col("decoded") == F.coalesce("text", F.lit(""))).drop("decoded")
 
 
 STAGES: list[tuple[str, Stage]] = [

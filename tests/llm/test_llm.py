@@ -442,3 +442,13 @@ def test_pipeline(spark):
             texts, model = {r.doc_id: r.text for r in docs.collect()}, pieces.Pieces()
             assert all(pieces.decode_ids(model, r.ids) == (texts[r.doc_id] or "") for r in out.collect())
         docs, kept = out, set(ids)
+
+
+def test_pipeline_decodes_its_pieces(spark, rows, monkeypatch):
+    docs = common.stored(spark.createDataFrame(rows, DOCS))
+    out = corpus_pipeline.to_pieces(spark, docs, SF)
+    assert out.columns == [*docs.columns, "ids", "lossless"]
+    assert out.where("lossless").count() == len(rows)
+    monkeypatch.setattr(corpus_pipeline.pieces, "encoder", lambda docs: F.array().cast("array<int>"))
+    lost = corpus_pipeline.to_pieces(spark, docs, SF).where("not lossless").count()
+    assert lost == sum(bool(r[1]) for r in rows)
