@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import exact_dedup, line_dedup, mixing, near_vectors, pieces, pii, simhash, suffix_lm, toxicity, url_filter
+from tidemill.llm import (
+    exact_dedup, license_scan, line_dedup, mixing, near_vectors, pieces, pii, ranked_search, simhash, spelling, suffix_lm, toxicity, url_filter,
+)
 
 #: Host and path of the rules that op3 judges pages by.
 RULES = [
@@ -191,6 +193,87 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each word, the spelling that it is a variant of, and how many words are one edit away."""
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = r"""
+WITH RECURSIVE t AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc
+), o AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+    unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{C0}-\x{FF}]+')) AS run
+  FROM documents
+), r AS (
+  SELECT id, run, hex(encode(id || ':' || run)) AS bytes, count(*) AS n FROM o WHERE length(run) >= 7 GROUP BY id, run
+), h AS (
+  SELECT run, n, xor(list_reduce(
+      list_prepend(4294967295, list_transform(range(length(bytes) // 2), lambda i: CAST('0x' || substr(bytes, CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT))),
+      lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])), 4294967295) AS h
+  FROM r, t
+), w AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, CAST(sum(n) AS BIGINT) AS n
+  FROM h GROUP BY 1 HAVING sum(n) >= 2 AND length(word) >= 7
+), d AS (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w)
+), p AS (
+  SELECT a.word, a.n, b.word AS near, b.n AS near_n FROM d a JOIN d b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT d.word, d.n, w.word, w.n FROM d JOIN w ON d.rest = w.word
+  UNION SELECT w.word, w.n, d.word, d.n FROM d JOIN w ON d.rest = w.word
+), q AS (
+  SELECT *, row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) AS place, count(*) OVER (PARTITION BY word) AS n_near FROM p
+), f AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 10 * w.n THEN near END AS form, CASE WHEN near_n >= 10 * w.n THEN near_n END AS form_n
+  FROM w LEFT JOIN q ON q.word = w.word AND place = 1
+), c AS (
+  SELECT word, word AS root, form AS ahead FROM f UNION ALL SELECT c.word, f.word, f.form FROM c JOIN f ON c.ahead = f.word
+)
+SELECT f.word, f.form, c.root, f.n, f.n_near, f.form_n FROM f JOIN c ON c.word = f.word AND c.ahead IS NULL
+"""
+
+
+def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words, places of license phrases and license labels of each document."""
+    rows = license_scan.scanned(_table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base_labels", ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score"
+    )
+
+
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of each benchmark item."""
+    return ranked_search.ranked(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), i AS (
+  SELECT row_number() OVER () AS no, item_id,
+    list_distinct(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS terms
+  FROM benchmark
+), s AS (
+  SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS total FROM d WHERE len(terms) > 0
+), e AS (
+  SELECT no, item_id, unnest(terms) AS term FROM i
+), o AS (
+  SELECT rid, doc_id, len(terms) AS n, unnest(terms) AS term FROM d
+), f AS (
+  SELECT rid, doc_id, n, term, CAST(count(*) AS BIGINT) AS tf FROM o SEMI JOIN e USING (term) GROUP BY rid, doc_id, n, term
+), w AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM f, s GROUP BY term, n_docs
+), g AS (
+  SELECT no, item_id, rid, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * n_docs) // total)))) AS BIGINT) AS score
+  FROM e JOIN f USING (term) JOIN w USING (term), s GROUP BY no, item_id, rid, doc_id
+), k AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY no ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM g WHERE score > 0 AND doc_id IS NOT NULL
+)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 10
+"""
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_near_vectors": op2_near_vectors,
@@ -202,6 +285,10 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_toxicity": op9_toxicity,
     "op10_pieces": op10_pieces,
+    "op11_spelling": op11_spelling,
+    "op12_licenses": op12_licenses,
+    "op13_search": op13_search,
 }
 #: Without a twin, since SQL has no such hash, tree, trie or sampler: tests compare with brute force.
 ORACLES = {"op1_mixing": OP1_SQL, "op2_near_vectors": OP2_SQL, "op3_url_filter": OP3_SQL, "op5_exact_dedup": OP5_SQL, "op6_line_dedup": OP6_SQL}
+ORACLES |= {"op11_spelling": OP11_SQL, "op13_search": OP13_SQL}
