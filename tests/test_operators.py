@@ -10,7 +10,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemill.functions import dates, numbers, text
-from tidemill.operators import aggregates, clustering, dialogue, evaluate, models, ordered, recommend, sensors, series
+from tidemill.operators import aggregates, clustering, dialogue, evaluate, models, ordered, recommend, sensors, segments, series
 from tidemill.operators import relational as rel
 from tidemill.plans import registered, views
 
@@ -135,15 +135,30 @@ class TestRecommend:
         np.fill_diagonal(sim, 0)
         return np.round(sim, 9), mask, mean, c
 
-    @pytest.mark.parametrize("block_size", [7, 1000])
-    def test_neighbours_equal_brute_force(self, ratings, block_size, monkeypatch):
+    @pytest.mark.parametrize(("hot_raters", "block_size"), [(1000, 7), (0, 7), (5, 7), (12, 1000), (20, 3)])
+    def test_neighbours_equal_brute_force(self, ratings, hot_raters, block_size, monkeypatch):
         monkeypatch.setattr(recommend, "HOT_PRODUCTS", 20)
         sim, *_ = self.brute(ratings)
         want = []
         for u in range(len(sim)):
             near = sorted([(-s, v) for v, s in enumerate(sim[u]) if s >= 0.05])[:6]
             want += [(u, v) for _, v in near]
-        got = recommend.neighbours(ratings, k=6, block_size=block_size)
+        got = recommend.neighbours(ratings, k=6, hot_raters=hot_raters, block_size=block_size)
+        assert sorted((r.u, r.v) for r in got.collect()) == sorted(want)
+
+    @pytest.mark.parametrize("hot_raters", [1000, 8])
+    def test_own_cluster_comes_first(self, spark, ratings, hot_raters):
+        sim, *_ = self.brute(ratings)
+        # a large cluster, a small one, a single user, and users without one
+        cluster = [0 if u % 3 else 1 if u % 4 else None for u in range(len(sim))]
+        cluster[1] = 2
+        want = []
+        for u in range(len(sim)):
+            near = sorted((-s, v) for v, s in enumerate(sim[u]) if s >= 0.05)
+            own = [x for x in near if cluster[u] is not None and cluster[x[1]] == cluster[u]][:6]
+            want += [(u, v) for _, v in (own if len(own) >= 4 else near[:6])]
+        clusters = spark.createDataFrame(list(enumerate(cluster)), "user int, cluster int")
+        got = recommend.neighbours(ratings, clusters, k=6, fallback_below=4, hot_raters=hot_raters, block_size=5)
         assert sorted((r.u, r.v) for r in got.collect()) == sorted(want)
 
     def test_text_ids(self, spark, ratings):
@@ -220,6 +235,22 @@ class TestClustering:
         counts = clustering.cluster_counts(got).first()
         assert counts.n_noise == self.brute_dbscan(xs, 0.4, 5).count(-1)
 
+    @pytest.mark.parametrize(("dims", "eps", "block_size"), [(1, 0.05, 20), (5, 1.1, 30), (5, 2.0, 4096), (8, 1.8, 64)])
+    def test_dbscan_in_many_dimensions(self, spark, dims, eps, block_size):
+        rng = np.random.default_rng(dims)
+        xs = np.concatenate([rng.normal(c, 0.4, (60, dims)) for c in (0, 2, 5)] + [rng.uniform(-8, 8, (40, dims))])
+        df = spark.createDataFrame([(i, [float(a) for a in x], "n") for i, x in enumerate(xs)], "id long, x array<double>, own string")
+        got = clustering.dbscan(df, "id", "x", dims, eps=eps, min_samples=4, block_size=block_size)
+        assert [r.label for r in got.orderBy("id").collect()] == self.brute_dbscan(xs, eps, 4)
+
+    def test_dbscan_of_unusable_vectors(self, spark):
+        rows = [(i, [0.1 * i, 0.0]) for i in range(6)] + [(6, None), (7, [float("nan"), 0.0]), (8, [0.0]), (9, [None, 0.0]), (10, [float("inf"), 0.0])]
+        df = spark.createDataFrame(rows, "id long, x array<double>")
+        got = clustering.dbscan(df, "id", "x", 2, eps=0.15, min_samples=2)
+        assert [r.label for r in got.orderBy("id").collect()] == [0] * 6 + [-1] * 5
+        assert clustering.dbscan(df.filter("id > 5"), "id", "x", 2).count() == 5
+        assert clustering.dbscan(df.filter("id > 99"), "id", "x", 2).count() == 0
+
     def test_dbscan_with_text_ids(self, points):
         xs, df = points
         named = df.withColumn("id", F.format_string("U%04d", "id"))
@@ -479,6 +510,79 @@ class TestLookupsAndProfiles:
 
 
 
+class TestSegments:
+    @pytest.fixture(scope="class")
+    def planted(self, spark):
+        rng = np.random.default_rng(21)
+        centres = np.array([[0, 0, 0], [9, 0, 0], [0, 9, 1], [9, 9, -2]], dtype=float)
+        truth = rng.integers(0, 4, 400)
+        xs = centres[truth] + rng.normal(size=(400, 3))
+        df = spark.createDataFrame([(i, [float(a) for a in x]) for i, x in enumerate(xs)], "user long, x array<double>").repartition(5)
+        return xs, truth, df.cache()
+
+    @staticmethod
+    def squared_silhouette(xs, labels):
+        d = np.square(xs[:, None] - xs[None]).sum(axis=2)
+        out = []
+        for i in range(len(xs)):
+            own = labels == labels[i]
+            if own.sum() == 1 or own.all():
+                out.append(0.0)
+                continue
+            a = d[i, own].sum() / (own.sum() - 1)
+            b = min(d[i, labels == c].mean() for c in set(labels) if c != labels[i])
+            out.append((b - a) / max(a, b))
+        return float(np.mean(out))
+
+    def test_chooses_the_planted_number(self, spark, planted):
+        xs, truth, df = planted
+        ks = range(1, 8)
+        found = segments.fit_many(df, "user", ks, restarts=5)
+        costs = [found[k].cost for k in ks]
+        assert costs == sorted(costs, reverse=True)
+        assert costs[0] == pytest.approx(np.square(xs - xs.mean(axis=0)).sum())
+        scores = segments.silhouettes(df, [found[k] for k in ks])
+        assert max(zip(scores, ks))[1] == 4 and scores[0] == 0.0
+        labels = np.array([r.cluster for r in segments.assigned(df, found[4].centres).orderBy("user").collect()])
+        assert len({(a, b) for a, b in zip(truth, labels)}) == 4
+        for k, s in zip(ks, scores):
+            own = np.square(xs[:, None] - found[k].centres[None]).sum(axis=2).argmin(axis=1)
+            assert s == pytest.approx(self.squared_silhouette(xs, own))
+            assert found[k].cost == pytest.approx(np.square(xs - found[k].centres[own]).sum())
+            for c in range(k):  # a finished run: each centre is the mean of its points
+                assert found[k].centres[c] == pytest.approx(xs[own == c].mean(axis=0), abs=1e-3)
+        rows = df.select("x", F.when(F.col("user") == 0, -7).otherwise(F.col("user") % 3).alias("label"))
+        labels = np.array([-7 if i == 0 else i % 3 for i in range(len(xs))])
+        assert segments.labelled_silhouette(rows) == pytest.approx(self.squared_silhouette(xs, labels))
+        assert segments.labelled_silhouette(rows.filter("label = 1")) == 0.0
+
+    def test_fewer_places_than_clusters(self, spark):
+        df = spark.createDataFrame([(i, [float(i % 2), 1.0]) for i in range(20)], "user long, x array<double>")
+        found = segments.fit_many(df, "user", [1, 2, 5], restarts=2)
+        assert found[2].cost == found[5].cost == pytest.approx(0.0) and found[5].k == 2
+        assert segments.silhouettes(df, [found[2]]) == [1.0]
+
+    def test_segments_of_planted_users(self, spark):
+        """Two ways to behave, in two categories, and one user like nobody else."""
+        rng = np.random.default_rng(8)
+        rows = []
+        for u in range(60):
+            kind = u % 2
+            for i in range(8):
+                rating, length = (4.5, 10.0) if kind else (1.5, 40.0)
+                rows.append((u, 100 * kind + i, rating + float(rng.normal(0, 0.1)), float(rng.normal(50, 1)), 3, length + float(rng.normal(0, 0.5)), kind, "AB"[kind]))
+        rows += [(99, 500 + i, 3.0, 900.0, 70, 500.0, 1, "C") for i in range(40)]
+        columns = "user long, item long, rating double, progress double, sessions long, duration double, completed int, category string"
+        found = segments.segment_users(spark.createDataFrame(rows, columns), ks=range(2, 6), restarts=3)
+        users = {r.user: r for r in found.users.collect()}
+        assert len(users) == 61 and users[99].dbscan_cluster == -1
+        assert found.metrics["best_k"] == found.metrics["n_clusters_km"] == 3
+        assert len({(u % 2, users[u].kmeans_cluster) for u in range(60)}) == 2
+        assert len({(u % 2, users[u].dbscan_cluster) for u in range(60)}) == 2
+        assert (found.metrics["n_clusters_db"], found.metrics["n_noise_db"]) == (2, 1)
+        assert 0.8 < found.metrics["km_silhouette"] <= 1 and 0.8 < found.metrics["db_silhouette"] <= 1
+
+
 class TestRegisteredQueries:
     def test_co_rating_pairs_follow_from_the_ratings(self, spark):
         sf = "/root/testdata/sf0.001"

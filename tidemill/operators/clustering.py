@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import itertools
+import math
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -15,8 +17,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill import fixed_values as fv
-from tidemill.operators.blocks import PAIR, block_count, hash_block, into_block_pairs, into_near_pairs
-from tidemill.operators.ordered import GRAIN, exact_percentiles, id_grain, row_numbers, with_quantile_grain
+from tidemill.operators.blocks import PAIR, block_count, hash_block, into_block_pairs
+from tidemill.operators.ordered import exact_percentiles, id_grain, row_numbers
 from tidemill.session import cut_lineage, packed
 
 
@@ -149,27 +151,76 @@ def silhouette(df: DataFrame, key: str, col: str, label: str, block_size: int =
 
 # ---- DBSCAN ---------------------------------------------------------------------------------
 
-def _near(a: np.ndarray, b: np.ndarray, eps: float) -> np.ndarray:
-    out = np.empty((len(a), len(b)), bool)
-    for i in range(len(a)):
-        out[i] = np.sqrt(np.square(b - a[i]).sum(axis=1)) <= eps
-    return out
-
-
-def _components(adjacent: np.ndarray) -> np.ndarray:
-    """Component number per node of a small boolean graph."""
-    n = len(adjacent)
-    mark = np.full(n, -1)
-    for start in range(n):
-        if mark[start] >= 0:
-            continue
-        mark[start] = start
-        todo = [start]
-        while todo:
-            new = np.flatnonzero(adjacent[todo].any(axis=0) & (mark < 0))
-            mark[new] = start
-            todo = list(new)
-    return mark
+#: Dimensions that cells are laid over, points that a cell should hold on average, distances held at once.
+GRID_DIMENSIONS, FEW_POINTS, HELD_DISTANCES = 3, 64, 1 << 21
+
+
+class _Ranged:
+    """Points in the order of their distance to a pivot: by the triangle inequality, what lies within eps of
+    a point lies within eps of its distance."""
+
+    def __init__(self, points: np.ndarray, pivot: np.ndarray):
+        self.reach = _distances(points, pivot[None])[:, 0]
+        self.order = np.argsort(self.reach, kind="stable")
+        self.points, self.reach = points[self.order], self.reach[self.order]
+
+    def slice(self, reach: np.ndarray, eps: float) -> slice:
+        slack = 1e-9 * (1 + abs(reach).max())
+        return slice(*np.searchsorted(self.reach, [reach.min() - eps - slack, reach.max() + eps + slack]))
+
+
+def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.sqrt(np.square(a[:, None] - b[None]).sum(axis=2))
+
+
+def _batches(n: int, others: int, dims: int) -> Iterator[slice]:
+    step = max(1, HELD_DISTANCES // max(1, others * dims))
+    return (slice(at, at + step) for at in range(0, n, step))
+
+
+def _enough_near(asked: np.ndarray, others: np.ndarray, weights: np.ndarray, eps: float, least: int, pivot: np.ndarray) -> np.ndarray:
+    """Summed weights of the others within eps of each asked point; counting ends once ``least`` is reached."""
+    found = np.zeros(len(asked), dtype=np.int64)
+    if not len(asked) or not len(others):
+        return found
+    near, mine = _Ranged(others, pivot), _Ranged(asked, pivot)
+    weights = weights[near.order]
+    counts = np.zeros(len(asked), dtype=np.int64)
+    for part in _batches(len(asked), 64, asked.shape[1] * 16):
+        within = near.slice(mine.reach[part], eps)
+        todo, total = np.arange(part.start, min(part.stop, len(asked))), np.zeros(min(part.stop, len(asked)) - part.start, dtype=np.int64)
+        step, at = 64, within.start
+        while len(todo) and at < within.stop:
+            upto = min(at + step, within.stop)
+            hit = _distances(mine.points[todo], near.points[at:upto]) <= eps
+            total[todo - part.start] += hit @ weights[at:upto]
+            todo = todo[total[todo - part.start] < least]
+            at, step = upto, max(64, HELD_DISTANCES // max(1, len(todo) * asked.shape[1]))
+        counts[part] = total
+    found[mine.order] = counts
+    return found
+
+
+def _forest(points: np.ndarray, eps: float, pivot: np.ndarray) -> np.ndarray:
+    """For each point the first point of its component, where points within eps are linked. A point is
+    compared with those not reached yet, so a crowd costs a few comparisons per point."""
+    ranged = _Ranged(points, pivot)
+    root = np.full(len(points), -1)
+    left = np.arange(len(points))  # places in the order of distance to the pivot
+    while len(left):
+        members, todo, left = [left[:1]], left[:1], left[1:]
+        while len(todo) and len(left):
+            batch, todo = todo[:16], todo[16:]
+            lo, hi = np.searchsorted(left, [ranged.slice(ranged.reach[batch], eps).start, ranged.slice(ranged.reach[batch], eps).stop])
+            hit = np.zeros(len(left), dtype=bool)
+            for part in _batches(hi - lo, len(batch), points.shape[1]):
+                at = left[lo:hi][part]
+                hit[lo + part.start : lo + part.start + len(at)] = (_distances(ranged.points[at], ranged.points[batch]) <= eps).any(axis=1)
+            members.append(left[hit])
+            todo, left = np.concatenate([todo, left[hit]]), left[~hit]
+        own = ranged.order[np.concatenate(members)]
+        root[own] = own.min()
+    return root
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -198,88 +249,106 @@ def connected_components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _near_blocks(bounds: DataFrame, size: int, eps: float) -> DataFrame:
-    """Pairs of blocks whose bounding boxes lie within eps.
+def _usable(col: str, size: int) -> Column:
+    x = F.col(col)
+    return x.isNotNull() & (F.size(x) == size) & ~F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
 
-    Blocks are numbered along the first coordinate, so the partners of a block reach up to the last
-    block that starts before its end plus eps: one running maximum over two marks per block.
+
+def _cell_side(points: DataFrame, wide: Sequence[int], eps: float) -> float:
+    """A side of at least eps, doubled while cells would hold too few points to be worth a group."""
+    sides = [eps * (1 + 1e-9) * 2**i for i in range(6)]
+    cells = [F.approx_count_distinct(F.array(*[F.floor(F.element_at("x", d + 1) / side) for d in wide])) for side in sides]
+    n, *counts = points.agg(F.count("*"), *cells).first()
+    return next((side for side, c in zip(sides, counts, strict=True) if n >= FEW_POINTS * c), sides[-1])
+
+
+def _in_cells(placed: DataFrame, dims: int, block_size: int) -> DataFrame:
+    """Copies points (id, x, cell, ...) to the groups (at, i, j) in which they are compared.
+
+    Group ``at`` holds the points of one cell (``own``) and those of its neighbour cells that follow it, so
+    every two neighbours meet once. A crowded group is cut: each piece i of its own points meets each piece
+    j of all of them, in the roles ``left`` and not ``left``.
     """
-    marks = bounds.select(F.col("lo0").alias("at"), F.lit(0).alias("kind"), F.col("block").alias("b")).unionByName(
-        bounds.select((F.col("hi0") + eps).alias("at"), F.lit(1).alias("kind"), F.col("block").alias("b"))
-    )
-    w = Window.orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, 0)
-    reach = marks.withColumn("last", F.max(F.when(F.col("kind") == 0, F.col("b"))).over(w)).filter("kind = 1")
-    pairs = reach.select(
-        F.col("b").alias("pair_lo"), F.explode(F.sequence(F.col("b"), F.greatest("b", "last"))).alias("pair_hi")
-    )
-    left = bounds.select(F.col("block").alias("pair_lo"), *[F.col(f"{s}{i}").alias(f"l_{s}{i}") for i in range(size) for s in ("lo", "hi")])
-    right = bounds.select(F.col("block").alias("pair_hi"), *[F.col(f"{s}{i}").alias(f"r_{s}{i}") for i in range(size) for s in ("lo", "hi")])
-    gaps = [
-        F.greatest(F.lit(0.0), F.col(f"l_lo{i}") - F.col(f"r_hi{i}"), F.col(f"r_lo{i}") - F.col(f"l_hi{i}")) for i in range(size)
-    ]
-    near = sum((g * g for g in gaps), F.lit(0.0)) <= eps * eps * (1 + 1e-9)
-    return pairs.join(left, "pair_lo").join(right, "pair_hi").filter(near).select("pair_lo", "pair_hi")
+    steps = [list(o) for o in itertools.product((-1, 0, 1), repeat=dims)]
+    ahead = [o for o in steps if o >= [0] * dims]
+    offsets = F.array(*[F.array(*[F.lit(i).cast("long") for i in o]) for o in ahead])
+    at = F.explode(F.transform(offsets, lambda o: F.zip_with("cell", o, lambda c, i: c - i))).alias("at")
+    cells = placed.groupBy("cell").agg(F.count("*").alias("n"))
+    sizes = cells.select("cell", "n", at).groupBy("at").agg(F.sum(F.when(F.col("at") == F.col("cell"), F.col("n"))).alias("n_own"), F.sum("n").alias("n_all"))
+    sizes = sizes.filter("n_own > 0").select("at", F.ceil(F.col("n_own") / block_size).cast("int").alias("lefts"), F.ceil(F.col("n_all") / block_size).cast("int").alias("rights"))
+    visits = placed.select("*", at).join(sizes, "at").withColumn("own", F.col("at") == F.col("cell")).drop("cell")
+    own = visits.filter("own").withColumn("i", hash_block(F.col("id"), F.col("lefts"))).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("rights") - 1)))
+    every = visits.withColumn("j", hash_block(F.col("id"), F.col("rights"))).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("lefts") - 1)))
+    both = own.withColumn("left", F.lit(True)).unionByName(every.withColumn("left", F.lit(False)))
+    return both.drop("lefts", "rights")
 
 
 def dbscan(df: DataFrame, key: str, col: str, size: int, eps: float = 1.8, min_samples: int = 5, block_size: int = 2048) -> DataFrame:
     """DBSCAN labels (key, label): clusters from 0 in the order of their first core point, noise -1.
 
-    Equal points collapse to one weighted point. Points are cut along the first coordinate into blocks
-    of bounded size, and only blocks whose boxes lie within eps are compared. A block pair emits
-    neighbour counts, then a spanning forest of its core points, never the neighbour pairs.
+    Equal points collapse to one weighted point. Cells of side eps over the dimensions that spread most say
+    which points can be neighbours; neighbour cells meet by key. Cells so small that all their points lie
+    within eps of each other make their points core at once if they hold enough; for the others, counting
+    ends once a point has enough neighbours. Groups emit capped counts, then a spanning forest of their core
+    points, never the neighbour pairs; inside a group the distance to a pivot rules most points out. Cells
+    and forests are joined by connected components.
+
+    Vectors that are null, have another length or components that are null, NaN or infinite are noise.
     """
     rows = df.select(F.col(key).alias("id"), F.col(col).cast("array<double>").alias("x"))
-    points = rows.groupBy("x").agg(F.min("id").alias("id"), F.count("*").alias("weight"))
-    points = points.withColumn("x0", F.element_at("x", 1))
-    graded = with_quantile_grain(points, "x0")
-    placed = row_numbers(graded, [], [F.col("x0"), F.col("id")], F.col(GRAIN), "no")
-    placed = cut_lineage(
-        placed.select("id", "x", "weight", F.floor((F.col("no") - 1) / block_size).cast("int").alias("block"))
-    )
-    bounds = placed.groupBy("block").agg(
-        *[F.min(F.element_at("x", i + 1)).alias(f"lo{i}") for i in range(size)],
-        *[F.max(F.element_at("x", i + 1)).alias(f"hi{i}") for i in range(size)],
-    )
-    pairs = cut_lineage(_near_blocks(bounds, size, eps))
-    id_type = rows.schema["id"].dataType.simpleString()
+    points = cut_lineage(rows.filter(_usable("x", size)).groupBy("x").agg(F.min("id").alias("id"), F.count("*").alias("weight")))
+    parts = [F.element_at("x", i + 1) for i in range(size)]
+    spread_ = points.agg(*[F.var_pop(p).alias(f"s{i}") for i, p in enumerate(parts)]).first()
+    wide = sorted(range(size), key=lambda i: (-(spread_[i] or 0.0), i))[:GRID_DIMENSIONS]
+    # rounding must not put points into one small cell that are further apart than eps, nor tear neighbours apart
+    small = eps / math.sqrt(size) * (1 - 1e-9)
+    fine = F.transform("x", lambda v: F.floor(v / small))
+    crowds = points.groupBy(fine.alias("fine")).agg(F.sum("weight").alias("held")).filter(F.col("held") >= min_samples).select("fine", F.lit(True).alias("dense"))
+    side = _cell_side(points, wide, eps)
+    cell = F.array(*[F.floor(F.element_at("x", i + 1) / side) for i in wide])
+    placed = points.withColumn("fine", fine).join(crowds, "fine", "left").select("id", "x", "weight", F.coalesce("dense", F.lit(False)).alias("dense"), cell.alias("cell"))
+    placed = cut_lineage(placed)
+    kind = rows.schema["id"].dataType.simpleString()
 
     def split(pdf: pd.DataFrame):
-        lo, hi = int(pdf["pair_lo"].iloc[0]), int(pdf["pair_hi"].iloc[0])
-        return lo == hi, pdf[pdf["block"] == lo], pdf[pdf["block"] == hi]
+        sides = []
+        for side in (pdf[pdf["left"]], pdf[~pdf["left"]]):
+            x = np.stack(side["x"].to_numpy()) if len(side) else np.zeros((0, size))
+            sides.append((side, x))
+        return *sides, pdf["x"].iloc[0]
 
     def counts(pdf: pd.DataFrame) -> pd.DataFrame:
-        alone, a, b = split(pdf)
-        near = _near(np.stack(a["x"].to_numpy()), np.stack(b["x"].to_numpy()), eps)
-        out = pd.DataFrame({"id": a["id"].to_numpy(), "n": near @ b["weight"].to_numpy()})
-        if alone:
-            return out
-        return pd.concat([out, pd.DataFrame({"id": b["id"].to_numpy(), "n": near.T @ a["weight"].to_numpy()})])
-
-    near = into_near_pairs(placed, "block", pairs)
-    degree = near.groupBy(*PAIR).applyInPandas(counts, f"id {id_type}, n long").groupBy("id").agg(F.sum("n").alias("n"))
-    marked = cut_lineage(placed.join(degree, "id").withColumn("core", F.col("n") >= min_samples).drop("n"))
+        (left, x), (right, y), pivot = split(pdf)
+        asked, visiting = ~left["dense"].to_numpy(bool), ~(right["dense"].to_numpy(bool) | right["own"].to_numpy(bool))
+        one = _enough_near(x[asked], y, right["weight"].to_numpy(), eps, min_samples, pivot)
+        two = _enough_near(y[visiting], x, left["weight"].to_numpy(), eps, min_samples, pivot)
+        return pd.DataFrame({"id": np.concatenate([left["id"].to_numpy()[asked], right["id"].to_numpy()[visiting]]), "n": np.concatenate([one, two])})
+
+    dims = len(wide)
+    near = _in_cells(placed, dims, block_size).groupBy("at", "i", "j").applyInPandas(counts, f"id {kind}, n long")
+    enough = near.groupBy("id").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_samples).select("id", F.lit(True).alias("enough"))
+    marked = placed.join(enough, "id", "left").select("id", "x", "cell", (F.col("dense") | F.coalesce("enough", F.lit(False))).alias("core"))
+    marked = cut_lineage(marked)
 
     def forest(pdf: pd.DataFrame) -> pd.DataFrame:
-        alone, a, b = split(pdf)
-        both = a if alone else pd.concat([a, b])
-        both = both.sort_values("id")
-        ids, core = both["id"].to_numpy(), both["core"].to_numpy(bool)
-        x = np.stack(both["x"].to_numpy())
-        adj = _near(x, x, eps)
-        at = np.flatnonzero(core)
-        mark = _components(adj[np.ix_(at, at)])
-        # a component is named by its first core point, the smallest id
-        root = ids[at][mark] if len(at) else ids[:0]
-        out = [pd.DataFrame({"a": ids[at], "b": root, "core": np.ones(len(at), bool)})]
-        edge = np.flatnonzero(~core)
-        if len(edge) and len(at):
-            i, j = np.nonzero(adj[np.ix_(edge, at)])
-            out.append(pd.DataFrame({"a": ids[edge][i], "b": root[j], "core": np.zeros(len(i), bool)}).drop_duplicates())
+        (left, x), (right, y), pivot = split(pdf)
+        both = pd.concat([left, right])
+        at = np.flatnonzero(both["core"].to_numpy(bool) & ~both.duplicated("id").to_numpy())
+        at = at[np.argsort(both["id"].to_numpy()[at], kind="stable")]  # the first of a component is its smallest id
+        z, ids = np.concatenate([x, y])[at], both["id"].to_numpy()[at]
+        root = _forest(z, eps, pivot)
+        out = [pd.DataFrame({"a": ids, "b": ids[root], "core": np.ones(len(at), bool)})]
+        inner = np.isin(ids, left["id"].to_numpy()), np.isin(ids, right["id"].to_numpy())
+        for side, points_, own, other in ((left, x, np.ones(len(left), bool), inner[1]), (right, y, ~right["own"].to_numpy(bool), inner[0])):
+            edge = np.flatnonzero(~side["core"].to_numpy(bool) & own)
+            core_points, core_roots = z[other], root[other]
+            for part in _batches(len(edge), max(1, len(core_points)), size):
+                i, j = np.nonzero(_distances(points_[edge[part]], core_points) <= eps)
+                out.append(pd.DataFrame({"a": side["id"].to_numpy()[edge[part]][i], "b": ids[core_roots[j]], "core": np.zeros(len(i), bool)}).drop_duplicates())
         return pd.concat(out)
 
-    links = cut_lineage(
-        into_near_pairs(marked, "block", pairs).groupBy(*PAIR).applyInPandas(forest, f"a {id_type}, b {id_type}, core boolean").distinct()
-    )
+    links = _in_cells(marked, dims, block_size).groupBy("at", "i", "j").applyInPandas(forest, f"a {kind}, b {kind}, core boolean")
+    links = cut_lineage(links.distinct())
     roots = connected_components(links.filter("core"))
     border = (
         links.filter("not core")
@@ -291,8 +360,8 @@ def dbscan(df: DataFrame, key: str, col: str, size: int, eps: float = 1.8, min_s
     firsts = roots.select("root").distinct()
     numbers = row_numbers(firsts, [], [F.col("root")], id_grain(firsts, "root"), "number")
     named = assigned.join(numbers, "root").select(F.col("node").alias("id"), (F.col("number") - 1).cast("int").alias("label"))
-    per_point = placed.select("id", "x").join(named, "id", "left").select("x", F.coalesce("label", F.lit(-1)).alias("label"))
-    return rows.join(per_point, "x").select(F.col("id").alias(key), "label")
+    per_point = placed.select("id", "x").join(named, "id").select("x", "label")
+    return rows.join(per_point, "x", "left").select(F.col("id").alias(key), F.coalesce("label", F.lit(-1)).alias("label"))
 
 
 def cluster_counts(labelled: DataFrame, label: str = "label") -> DataFrame:

@@ -1,23 +1,28 @@
 """User-to-user collaborative filtering on long ratings (user, item, rating).
 
-Nothing is pivoted to a dense matrix. Similarities are computed in bounded user blocks, each of which
-keeps its best neighbours only, so the full list of user pairs never exists.
+Nothing is pivoted to a dense matrix. Users meet in the inverted lists of the items they share; items with
+so many raters that pairing them would be quadratic are handled by norm bounds and matrix products.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.operators.blocks import PAIR, block_count, hash_block, into_block_pairs
+from tidemill.operators.blocks import PAIR, hash_block, into_near_pairs
 from tidemill.operators.ordered import id_grain, row_numbers
 from tidemill.operators.relational import hash_order
 from tidemill.session import cut_lineage
 
 SIM_DIGITS = 9
 HOT_PRODUCTS = 16_384
+#: Raters of an item whose pairs are still summed one by one, and what a bound may be off by rounding.
+HOT_RATERS = 1024
+NORM_SLACK = 1e-9
 
 
 def mean_ratings(rows: DataFrame) -> DataFrame:
@@ -97,103 +102,175 @@ def _dots(left: pd.DataFrame, right: pd.DataFrame, nl: int, nr: int) -> np.ndarr
     return out
 
 
+def unit_vectors(ratings: DataFrame) -> DataFrame:
+    """Each user's deviations, scaled to length 1 (user, item, w); users without any have no rows."""
+    return centred(ratings).filter("norm > 0").select("user", "item", (F.col("dev") / F.col("norm")).alias("w"))
+
+
 def neighbours(
     ratings: DataFrame,
     clusters: DataFrame | None = None,
     k: int = 30,
     min_sim: float = 0.05,
     fallback_below: int = 10,
+    hot_raters: int = HOT_RATERS,
     block_size: int = 2048,
 ) -> DataFrame:
-    """The k most similar users per user: (u, v, sim), with at least ``min_sim``, ties to the lower id.
+    """The k most similar users per user: (u, v, sim, rank), with at least ``min_sim``, ties to the lower id.
 
-    With ``clusters`` (user, cluster) the neighbours come from the user's own cluster, and from
-    everybody where that gives fewer than ``fallback_below``. Both lists fall out of one pass.
+    With ``clusters`` (user, cluster; one row per user) the neighbours come from the user's own cluster, and
+    from everybody where that gives fewer than ``fallback_below``. Both lists fall out of one pass.
     """
-    c = centred(ratings).filter("norm > 0").select("user", "item", (F.col("dev") / F.col("norm")).alias("w"))
-    if clusters is not None:
-        c = c.join(clusters.select("user", F.col("cluster").cast("long").alias("cluster")), "user", "left")
+    vectors = unit_vectors(ratings)
+    if clusters is None:
+        members = None
+        vectors = vectors.withColumn("cluster", F.lit(None).cast("long"))
     else:
-        c = c.withColumn("cluster", F.lit(0).cast("long"))
-    n_users = ratings.agg(F.countDistinct("user")).first()[0]
-    blocks = block_count(n_users, block_size)
-    paired = into_block_pairs(c.withColumn("block", hash_block(F.col("user"), blocks)), "block", blocks)
-
-    def best(row, col, sim, users_row, users_col, scope):
-        # users are sorted, so their positions rank like their ids
-        order = np.lexsort((col, -sim, row))
-        row, col, sim = row[order], col[order], sim[order]
-        first = np.searchsorted(row, row, side="left")
-        keep = np.arange(len(row)) - first < k
-        return pd.DataFrame(
-            {"u": users_row[row[keep]], "v": users_col[col[keep]], "sim": sim[keep], "own_cluster": scope}
-        )
+        members = clusters.select("user", F.col("cluster").cast("long").alias("cluster"))
+        vectors = vectors.join(members, "user", "left")
+    pairs = similar_users(cut_lineage(vectors), k, min_sim, hot_raters, block_size)
+    if members is None:
+        return _best(pairs, ["u"], k).select("u", "v", "sim", "rank")
+    scopes = F.when(F.col("same"), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    ranked = _best(pairs.select("u", "v", "sim", F.explode(scopes).alias("own_cluster")), ["u", "own_cluster"], k)
+    n_own = F.sum(F.col("own_cluster").cast("int")).over(Window.partitionBy("u"))
+    return (
+        ranked.withColumn("n_own", n_own)
+        .filter(F.col("own_cluster") == (F.col("n_own") >= fallback_below))
+        .select("u", "v", "sim", "rank")
+    )
+
+
+def _best(pairs: DataFrame, by: Sequence[str], k: int) -> DataFrame:
+    """The k best of each list: every task keeps its own k before the rows of a list meet."""
+    place = F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("sim"), "v"))
+    return pairs.withColumn("rank", place).filter(F.col("rank") <= k)
+
+
+def similar_users(
+    vectors: DataFrame, k: int, min_sim: float, hot_raters: int = HOT_RATERS, block_size: int = 2048
+) -> DataFrame:
+    """Pairs (u, v, sim, same) with at least ``min_sim``, both ways round: for each u at least its k best, and
+    its k best of the same cluster. ``vectors`` (user, item, w, cluster) is a stored table of unit vectors.
+
+    Each item has an inverted list of its raters. Users meet in the lists of the items that they share, and
+    products are summed by pair, so the work grows with the ratings times the longest list. Lists of more
+    than ``hot_raters`` are not paired; a norm bound says what they can matter for, as the products of a pair
+    over hot items are at most the product of the norms of their hot parts:
+
+    * Where this product is below ``min_sim``, the two need a cold item in common. So they met in a list; if
+      its sum and the bound together reach ``min_sim``, the hot products are added exactly.
+    * All others are users with a hot norm of ``min_sim`` or more. They are compared with each other in
+      blocks of about equal norm, by matrix products of whole vectors, and a block pair is skipped if its
+      norms are too small. A block pair passes on the k best of each user, never the pairs.
+    """
+    sizes = vectors.groupBy("item").agg(F.count("*").alias("raters"))
+    hot = cut_lineage(sizes.filter(F.col("raters") > hot_raters).select("item", F.lit(True).alias("hot")))
+    if hot.isEmpty():
+        pairs = _list_pairs(vectors).withColumn("sim", F.round("dot", SIM_DIGITS))
+        return _both_ways(pairs.filter(F.col("sim") >= min_sim))
+
+    rows = vectors.join(hot, "item", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
+    norm = F.sqrt(F.sum(F.when(F.col("hot"), F.col("w") * F.col("w")).otherwise(0.0)))
+    rows = cut_lineage(rows.join(rows.groupBy("user").agg(norm.alias("hot_norm")), "user"))
+    bound = F.col("u_norm") * F.col("v_norm")
+    cold = _list_pairs(rows.filter("not hot"), F.col("hot_norm"))
+    cold = cold.filter((bound < min_sim) & (F.col("dot") + bound >= min_sim - NORM_SLACK)).select("u", "v", "dot", "same")
+    cold = cut_lineage(cold)
+    mine, theirs = (rows.filter("hot").select("item", F.col("user").alias(name), F.col("w").alias(f"{name}_w")) for name in "uv")
+    more = cold.join(mine, "u").join(theirs, ["v", "item"]).select("u", "v", (F.col("u_w") * F.col("v_w")).alias("dot"), "same")
+    light = cold.unionByName(more).groupBy("u", "v", "same").agg(F.round(F.sum("dot"), SIM_DIGITS).alias("sim"))
+    return _both_ways(light.filter(F.col("sim") >= min_sim)).unionByName(_heavy_pairs(rows.filter(F.col("hot_norm") >= min_sim), k, min_sim, block_size))
+
+
+def _list_pairs(rows: DataFrame, norm: Column | None = None) -> DataFrame:
+    """Sums of products (u, v, dot, same) of the users that meet in the lists, each pair once (u < v)."""
+    lists = rows.select("item", "user", "w", "cluster", (norm if norm is not None else F.lit(0.0)).alias("norm"))
+    left, right = (lists.select("item", F.col("user").alias(n), *[F.col(c).alias(f"{n}_{c}") for c in ("w", "cluster", "norm")]) for n in "uv")
+    met = left.join(right, "item").filter(F.col("u") < F.col("v")).select(
+        "u", "v", (F.col("u_w") * F.col("v_w")).alias("product"), (F.col("u_cluster") == F.col("v_cluster")).alias("same"), "u_norm", "v_norm"
+    )
+    norms = [] if norm is None else [F.first(c).alias(c) for c in ("u_norm", "v_norm")]
+    # most pairs share one item: summing before the shuffle would only fill hash tables
+    return met.drop(*[] if norms else ["u_norm", "v_norm"]).repartition("u", "v").groupBy("u", "v").agg(
+        F.sum("product").alias("dot"), F.first("same").alias("same"), *norms
+    )
+
+
+def _both_ways(pairs: DataFrame) -> DataFrame:
+    ends = F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))
+    return pairs.select(F.explode(ends).alias("e"), "sim", F.coalesce("same", F.lit(False)).alias("same")).select("e.u", "e.v", "sim", "same")
+
+
+def _heavy_pairs(rows: DataFrame, k: int, min_sim: float, block_size: int) -> DataFrame:
+    """The k best of each user in each block pair, of pairs whose hot norms multiply to ``min_sim`` or more."""
+    users = rows.select("user", "hot_norm").distinct().withColumn("step", F.floor(-4 * F.log2("hot_norm")).cast("int"))
+    steps = users.groupBy("step").agg(F.ceil(F.count("*") / block_size).cast("int").alias("cuts"), F.max("hot_norm").alias("norm"))
+    blocks = steps.select("step", "norm", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("cut"))
+    blocks = cut_lineage(blocks.withColumn("block", F.monotonically_increasing_id()))
+    users = users.join(steps.select("step", "cuts"), "step").withColumn("cut", hash_block(F.col("user"), F.col("cuts")))
+    placed = rows.join(users.join(blocks, ["step", "cut"]).select("user", "block"), "user").select("user", "item", "w", "cluster", "hot_norm", "block")
+    one, two = (blocks.select(F.col("block").alias(name), F.col("norm").alias(f"{name}_norm")) for name in PAIR)
+    reach = F.col("pair_lo_norm") * F.col("pair_hi_norm") >= min_sim
+    pairs = cut_lineage(one.join(two, (F.col("pair_lo") <= F.col("pair_hi")) & reach).select(*PAIR))
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        lo, hi = int(pdf["pair_lo"].iloc[0]), int(pdf["pair_hi"].iloc[0])
+        lo, hi = pdf["pair_lo"].iloc[0], pdf["pair_hi"].iloc[0]
         sides = []
         for b in (lo, hi):
             side = pdf[pdf["block"] == b]
-            users, at = np.unique(side["user"].to_numpy(), return_inverse=True)
-            cluster = np.full(len(users), np.nan)
-            cluster[at] = side["cluster"].to_numpy(dtype=float, na_value=np.nan)
-            sides.append((users, cluster, side.assign(at=at)))
-        (ul, cl, left), (ur, cr, right) = sides
-        parts = [pd.DataFrame({"u": ul[:0], "v": ul[:0], "sim": np.zeros(0), "own_cluster": np.zeros(0, bool)})]
+            ids, first, at = np.unique(side["user"].to_numpy(), return_index=True, return_inverse=True)
+            cluster = side["cluster"].to_numpy(dtype=float, na_value=np.nan)[first]
+            sides.append((ids, side["hot_norm"].to_numpy()[first], cluster, side.assign(at=at)))
+        (ul, nl, cl, left), (ur, nr, cr, right) = sides
+        parts = [pd.DataFrame({"u": ul[:0], "v": ul[:0], "sim": np.zeros(0), "same": np.zeros(0, bool)})]
         if len(ul) and len(ur):
             sims = np.round(_dots(left, right, len(ul), len(ur)), SIM_DIGITS)
+            sims[np.outer(nl, nr) < min_sim] = 0.0
             if lo == hi:
                 np.fill_diagonal(sims, 0.0)
-            turns = [(sims, ul, ur, cl, cr)] + ([] if lo == hi else [(sims.T, ur, ul, cr, cl)])
-            for s, a, b, ca, cb in turns:
+            for s, a, b, ca, cb in [(sims, ul, ur, cl, cr)] + ([] if lo == hi else [(sims.T, ur, ul, cr, cl)]):
                 row, col = np.nonzero(s >= min_sim)
-                val = s[row, col]
-                parts.append(best(row, col, val, a, b, False))
-                own = ca[row] == cb[col]
-                parts.append(best(row[own], col[own], val[own], a, b, True))
+                # users are sorted, so their places rank like their ids
+                order = np.lexsort((col, -s[row, col], row))
+                row, col = row[order], col[order]
+                same = ca[row] == cb[col]
+                keep = _first_of_each(row, k)
+                keep[np.flatnonzero(same)[_first_of_each(row[same], k)]] = True
+                row, col = row[keep], col[keep]
+                parts.append(pd.DataFrame({"u": a[row], "v": b[col], "sim": s[row, col], "same": same[keep]}))
         return pd.concat(parts)
 
-    user_type = ratings.schema["user"].dataType.simpleString()
-    found = paired.groupBy(*PAIR).applyInPandas(compare, f"u {user_type}, v {user_type}, sim double, own_cluster boolean")
-    ranked = found.withColumn(
-        "rank", F.row_number().over(Window.partitionBy("u", "own_cluster").orderBy(F.desc("sim"), "v"))
-    ).filter(F.col("rank") <= k)
-    if clusters is None:
-        return ranked.filter("not own_cluster").select("u", "v", "sim", "rank")
-    n_own = F.sum(F.col("own_cluster").cast("int")).over(Window.partitionBy("u"))
-    return (
-        ranked.withColumn("n_own", n_own)
-        .filter(F.col("own_cluster") == (F.col("n_own") >= fallback_below))
-        .select("u", "v", "sim", "rank")
-    )
+    kind = rows.schema["user"].dataType.simpleString()
+    return into_near_pairs(placed, "block", pairs).groupBy(*PAIR).applyInPandas(compare, f"u {kind}, v {kind}, sim double, same boolean")
+
+
+def _first_of_each(sorted_rows: np.ndarray, k: int) -> np.ndarray:
+    return np.arange(len(sorted_rows)) - np.searchsorted(sorted_rows, sorted_rows) < k
 
 
 def predictions(ratings: DataFrame, near: DataFrame, means_from: DataFrame | None = None) -> DataFrame:
     """Predicted rating (u, item, score, user_mean) of every unseen item that a neighbour has rated:
     user mean + sum(sim * (rating - neighbour mean)) / sum(|sim|).
 
-    Votes and the user's own ratings meet in one aggregate, which drops the seen items; partitioned by
-    user, it also serves the ranking that follows. A user's votes are bounded by neighbours x items.
+    Votes and the user's own ratings meet in one aggregate by user and item, which drops the seen items.
     """
     base = means_from if means_from is not None else ratings
     means = base.groupBy(F.col("user").alias("u")).agg(F.avg("rating").alias("user_mean"))
     dev = base.join(means, F.col("user") == F.col("u")).select(
         F.col("user").alias("v"), "item", (F.col("rating") - F.col("user_mean")).alias("dev")
     )
-    votes = near.select("u", "v", "sim").join(dev, "v").select("u", "item", "sim", "dev", F.lit(0).alias("seen"))
-    own = ratings.select(
-        F.col("user").alias("u"), "item", F.lit(0.0).alias("sim"), F.lit(0.0).alias("dev"), F.lit(1).alias("seen")
-    )
-    scored = (
-        votes.unionByName(own)
-        .repartition("u")
-        .groupBy("u", "item")
-        .agg((F.sum(F.col("sim") * F.col("dev"))).alias("up"), F.sum(F.abs("sim")).alias("weight"), F.max("seen").alias("seen"))
-        .filter((F.col("seen") == 0))
-    )
-    return scored.join(means, "u").select(
-        "u", "item", F.round(F.col("user_mean") + F.col("up") / F.col("weight"), SIM_DIGITS).alias("score"), "user_mean"
+    near = near.select("u", "v", "sim").join(means, "u")
+    votes = near.join(dev, "v").select("u", "item", "sim", "dev", "user_mean", F.lit(False).alias("seen"))
+    none = F.lit(0.0)
+    own = ratings.select(F.col("user").alias("u"), "item", none.alias("sim"), none.alias("dev"), none.alias("user_mean"), F.lit(True).alias("seen"))
+    up, weight = F.sum(F.col("sim") * F.col("dev")), F.sum(F.abs("sim"))
+    # few neighbours rate the same item: summing before the shuffle would only fill hash tables
+    scored = votes.unionByName(own).repartition("u", "item").groupBy("u", "item").agg(
+        up.alias("up"), weight.alias("weight"), F.max("user_mean").alias("user_mean"), F.max("seen").alias("seen")
     )
+    score = F.round(F.col("user_mean") + F.col("up") / F.col("weight"), SIM_DIGITS)
+    return scored.filter("not seen").select("u", "item", score.alias("score"), "user_mean")
 
 
 def raw_predictions(ratings: DataFrame, near: DataFrame) -> DataFrame:
@@ -293,14 +370,14 @@ def precision_at_k(recs: DataFrame, held: DataFrame, k: int = 5) -> DataFrame:
 
 
 def evaluate(ratings: DataFrame, clusters: DataFrame | None = None, k: int = 5, threshold: float = 3.5,
-             leaky: bool = False, block_size: int = 2048) -> DataFrame:
+             leaky: bool = False) -> DataFrame:
     """Precision at k over held-out items. By default similarities and means come from the remaining
     ratings only; ``leaky`` computes them from all ratings, as the published procedure does."""
     ratings = cut_lineage(ratings)
     held = cut_lineage(holdout(ratings, threshold))
     train = ratings.join(held, ["user", "item"], "left_anti")
     base = ratings if leaky else train
-    near = neighbours(base, clusters, block_size=block_size)
+    near = neighbours(base, clusters)
     recs = recommend(train, near, k, means_from=base if leaky else None)
     return precision_at_k(recs, held, k)
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions import arrays
 from tidemill.functions.numbers import round_half_up
-from tidemill.operators import clustering, dialogue, evaluate, flights, recommend, series, textmodels
+from tidemill.operators import clustering, dialogue, evaluate, flights, recommend, segments, series, textmodels
 from tidemill.operators import relational as rel
 from tidemill.operators.models import binarize
 from tidemill.plans import views as v
@@ -50,22 +50,37 @@ def m7(spark, sf):
     return out.groupBy("label").agg(F.round(F.avg("silhouette"), 6).alias("silhouette"), F.count("*").alias("n"))
 
 
-DBSCAN_EPS, DBSCAN_MIN = 0.22, 5
-
-
-@query("m6_dbscan", f"""
-WITH RECURSIVE p AS (SELECT vec_id AS id, CAST(embedding[1:4] AS DOUBLE[]) AS x FROM embeddings),
-nb AS (SELECT a.id AS a, b.id AS b FROM p a, p b WHERE list_distance(a.x, b.x) <= {DBSCAN_EPS}),
-core AS (SELECT a AS id FROM nb GROUP BY 1 HAVING count(*) >= {DBSCAN_MIN}),
+def dbscan_sql(points: str, key: str, eps: float, least: int = 5) -> str:
+    """Labels of the points (id, x): reachable core points, border points in the first cluster, noise -1."""
+    return f"""
+WITH RECURSIVE {points},
+nb AS (SELECT a.id AS a, b.id AS b FROM p a, p b WHERE list_distance(a.x, b.x) <= {eps}),
+core AS (SELECT a AS id FROM nb GROUP BY 1 HAVING count(*) >= {least}),
 reach(root, node) AS (SELECT id, id FROM core UNION SELECT r.root, nb.b FROM reach r JOIN nb ON nb.a = r.node JOIN core ON core.id = nb.b),
 cl AS (SELECT node AS id, min(root) AS root FROM reach GROUP BY 1),
 lab AS (SELECT id, root FROM cl UNION ALL SELECT nb.a, min(cl.root) FROM nb JOIN cl ON cl.id = nb.b WHERE nb.a NOT IN (SELECT id FROM core) GROUP BY 1),
 num AS (SELECT root, row_number() OVER (ORDER BY root) - 1 AS label FROM (SELECT DISTINCT root FROM cl))
-SELECT p.id AS vec_id, CAST(coalesce(num.label, -1) AS INTEGER) AS label FROM p LEFT JOIN lab ON p.id = lab.id LEFT JOIN num ON lab.root = num.root""")
+SELECT p.id AS {key}, CAST(coalesce(num.label, -1) AS INTEGER) AS label FROM p LEFT JOIN lab ON p.id = lab.id LEFT JOIN num ON lab.root = num.root"""
+
+
+@query("m6_dbscan", dbscan_sql("p AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings)", "vec_id", 1.8))
 def m6(spark, sf):
     return clustering.dbscan(v.table(spark, sf, "embeddings").select("vec_id", "embedding"), "vec_id", "embedding", 64)
 
 
+#: Where users crowd in six standardised features of behaviour.
+USER_RADIUS = 0.5
+
+
+@query("m6_dbscan_of_users", dbscan_sql("""
+f AS (SELECT "user", avg(rating) AS a, avg(progress) AS b, CAST(sum(sessions) AS DOUBLE) AS c, avg(duration) AS d, avg(completed) AS e, CAST(count(DISTINCT item) AS DOUBLE) AS g FROM rating_rows GROUP BY 1),
+p AS (SELECT "user" AS id, [""" + ", ".join(f"({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER ()" for c in "abcdeg") + "] AS x FROM f)", '"user"', USER_RADIUS), "rating_rows")
+def m6_users(spark, sf):
+    cols = ["avg_rating", "avg_progress", "total_sessions", "avg_duration", "completed_ratio", "n_items"]
+    x = segments.scaled_vectors(recommend.user_features(v.rating_rows(spark, sf)), "user", cols)
+    return clustering.dbscan(x, "user", "x", len(cols), eps=USER_RADIUS)
+
+
 @query("m8_demand_features", """
 WITH h AS (SELECT *, lag(units_sold, 7) OVER w AS lag_7, lag(units_sold, 14) OVER w AS lag_14, lag(units_sold, 30) OVER w AS lag_30,
   CASE WHEN count(*) OVER (w ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) = 7 THEN avg(units_sold) OVER (w ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) END AS roll_7,

@@ -9,6 +9,7 @@ from tidemill.operators import series
 from tidemill.operators.recommend import neighbours, pair_similarity
 from tidemill.plans import views as v
 from tidemill.plans.registry import query
+from tidemill.plans.windows import NEAR_SQL
 from tidemill.session import cut_lineage
 
 
@@ -96,12 +97,10 @@ def j6_days(spark, sf):
         "product_id", "sale_date", (1 + F.col("pct") / 100 * 1.5).alias("multiplier"), F.coalesce("units", F.lit(0)).alias("units"))
 
 
-@query("j7_co_rating_similarity", """
-WITH m AS (SELECT "user", avg(rating) AS mean FROM ratings GROUP BY 1), c AS (SELECT r."user", r.item, r.rating - m.mean AS dev FROM ratings r JOIN m ON r."user" = m."user"),
-n AS (SELECT "user", sqrt(sum(dev * dev)) AS norm FROM c GROUP BY 1),
-pairs AS (SELECT c_custkey AS u, c_custkey + 1 AS v FROM customer),
+@query("j7_co_rating_similarity", f"""
+WITH {NEAR_SQL}, pairs AS (SELECT u, v FROM near),
 dots AS (SELECT p.u, p.v, sum(a.dev * b.dev) AS dot FROM pairs p JOIN c a ON a."user" = p.u JOIN c b ON b."user" = p.v AND a.item = b.item GROUP BY 1, 2)
-SELECT p.u, p.v, round(coalesce(CASE WHEN x.norm * y.norm > 0 THEN d.dot / (x.norm * y.norm) END, 0), 6) AS sim
+SELECT p.u, p.v, round(round(coalesce(CASE WHEN x.norm * y.norm > 0 THEN d.dot / (x.norm * y.norm) END, 0), 9), 6) AS sim
 FROM pairs p LEFT JOIN dots d ON p.u = d.u AND p.v = d.v LEFT JOIN n x ON p.u = x."user" LEFT JOIN n y ON p.v = y."user" """, "ratings")
 def j7(spark, sf):
     ratings = cut_lineage(v.ratings(spark, sf))

@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 
 from tidemill import fixed_values as fv
 from tidemill.functions import text
-from tidemill.operators import clustering, evaluate, flights, models, recommend, series, textmodels
+from tidemill.functions.numbers import round_half_up
+from tidemill.operators import clustering, evaluate, flights, models, recommend, segments, series, textmodels
 from tidemill.operators import relational as rel
 from tidemill.plans import views as v
 from tidemill.plans.registry import query
 from tidemill.session import cut_lineage, run_dir
+from tidemill.sources import writers
 
 CUT = "2000-07-01"
 
@@ -24,26 +26,62 @@ def m1(spark, sf):
     return out.select("event_id", F.round("distance", 4).alias("distance"), "ml_anomaly")
 
 
-def user_vectors(spark, sf):
-    """Standardised behaviour of each user as an array."""
-    cols = ["avg_rating", "avg_progress", "total_sessions", "avg_duration", "completed_ratio", "n_items"]
-    f = clustering.standardize(recommend.user_features(v.rating_rows(spark, sf)), cols)
-    return f.select("user", F.array(*cols).alias("x")), len(cols)
+def scaled_users(spark, sf):
+    """Standardised behaviour and category shares of each user as an array, and its length."""
+    features, cols = segments.behaviour(v.interactions(spark, sf))
+    return cut_lineage(segments.scaled_vectors(features, "user", cols)), len(cols)
+
+
+def user_components(spark, sf, n):
+    x, size = scaled_users(spark, sf)
+    out, _ = clustering.pca(x, "x", size, n)
+    return cut_lineage(out.select("user", F.col("pca").alias("x")))
 
 
 @query("m4_kmeans_elbow")
 def m4(spark, sf):
-    x, size = user_vectors(spark, sf)
-    costs = clustering.kmeans_elbow(x, "x", size, range(1, 7), restarts=2)
-    return spark.createDataFrame(costs, "k int, cost double")
+    points = user_components(spark, sf, 10)
+    ks = range(1, 11)
+    found = segments.fit_many(points, "user", ks, restarts=10)
+    scores = segments.silhouettes(points, [found[k] for k in ks])
+    rows = [(k, found[k].cost, s if k > 1 else None) for k, s in zip(ks, scores)]
+    return spark.createDataFrame(rows, "k int, cost double, silhouette double")
 
 
 @query("m4_kmeans_clusters")
 def m4_clusters(spark, sf):
-    x, _ = user_vectors(spark, sf)
-    data = clustering.as_vectors(x, "x")
-    model = clustering.fit_kmeans(data, 5, restarts=10)
-    return model.transform(data).select("user", "cluster")
+    points = user_components(spark, sf, 10)
+    model = segments.fit_many(points, "user", [5])[5]
+    return segments.assigned(points, model.centres).select("user", "cluster")
+
+
+@query("m4_segments")
+def m4_segments(spark, sf):
+    return segments.segment_users(v.interactions(spark, sf)).users
+
+
+@query("s27_segmentation_metrics")
+def s27_segmentation(spark, sf):
+    out = run_dir(spark, "s27")
+    found = segments.segment_users(v.interactions(spark, sf))
+    writers.store_single_row(spark.createDataFrame([found.metrics]), out)
+    return spark.read.parquet(out)
+
+
+@query("m33_segments")
+def m33(spark, sf):
+    users = segments.segment_users(v.interactions(spark, sf)).users
+    spent = v.table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("user")).agg(F.count("*").alias("freq"), F.avg("o_totalprice").alias("ticket"))
+    out = clustering.segment_profile(users.join(spent, "user"), "kmeans_cluster", "freq", "ticket")
+    return out.select("kmeans_cluster", "n", F.round("avg_frequency", 4).alias("avg_frequency"), F.round("avg_ticket", 2).alias("avg_ticket"), "action")
+
+
+@query("m17_in_segments")
+def m17(spark, sf):
+    users = segments.segment_users(v.interactions(spark, sf)).users
+    ratings = cut_lineage(v.ratings(spark, sf))
+    near = recommend.neighbours(ratings, users.select("user", F.col("kmeans_cluster").alias("cluster")))
+    return recommend.recommend(ratings, near).select(F.col("u").alias("user"), "item", round_half_up(F.col("score"), 2).alias("predicted"), "rank")
 
 
 @query("m5_pca")
@@ -54,9 +92,8 @@ def m5(spark, sf):
 
 @query("m6_dbscan_after_pca")
 def m6(spark, sf):
-    x, size = user_vectors(spark, sf)
-    out, _ = clustering.pca(x, "x", size, 8)
-    return clustering.dbscan(out.select("user", "pca"), "user", "pca", size)
+    points = user_components(spark, sf, 8)
+    return clustering.dbscan(points, "user", "x", 8)
 
 
 # ---- demand ---------------------------------------------------------------------------------
