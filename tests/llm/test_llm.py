@@ -57,7 +57,7 @@ def tables(spark, rows, tmp_path_factory):
 @pytest.fixture(scope="module")
 def empty(spark, tables, tmp_path_factory):
     at = str(tmp_path_factory.mktemp("empty"))
-    for t in ("documents", "pages", "embeddings", "labels"):
+    for t in ("documents", "pages", "embeddings", "labels", "benchmark"):
         spark.read.parquet(f"{tables}/{t}.parquet").where("false").write.parquet(f"{at}/{t}.parquet")
     return at
 
