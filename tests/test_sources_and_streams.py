@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import random
 import zipfile
 
 import pytest
@@ -124,6 +125,88 @@ def test_dialogue_state_survives_between_batches(spark, tmp_path):
     assert got == {(1, 0): (1, 2), (2, 0): (1, 1), (1, 1): (2, 2), (1, 2): (2, 1)}
 
 
+def run_parts(spark, src, out, schema, parts, build, name="rows"):
+    """Appends each part as a file and runs the stream over it, as a stopped and restarted query would."""
+    for part in parts:
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(src)
+        jobs.run_to_end(build(jobs.file_stream(spark, src, spark.read.parquet(src).schema)), f"{out}/checkpoint", path=f"{out}/{name}")
+    return spark.read.parquet(f"{out}/{name}").collect()
+
+
+def at(seconds):
+    return dt.datetime(2024, 1, 1) + dt.timedelta(seconds=seconds)
+
+
+def test_clear_cancels_the_open_dialogue(spark, tmp_path):
+    steps = [2, 3, 1]  # each turn advances
+    parts = [[(1, 0, steps, False), (1, 1, steps, False)], [(1, 3, steps, None), (1, 2, steps, True), (2, 0, steps, True)]]
+    got = run_parts(spark, str(tmp_path / "src"), str(tmp_path / "out"), "conv_id long, turn long, step array<int>, clear boolean", parts,
+                    lambda s: jobs.dialogue_stream(s, clear="clear"))
+    assert {(r.conv_id, r.turn): (r.state_before, r.state_after) for r in got} == {(1, 0): (1, 2), (1, 1): (2, 3), (1, 2): (3, 1), (1, 3): (1, 2), (2, 0): (1, 1)}
+
+
+def test_idle_sessions_expire(spark, tmp_path):
+    """A turn after the gap starts anew, and the timer drops the state of sessions that do not come back."""
+    schema = "conv_id string, turn long, step array<int>, clear boolean, ts timestamp"
+    steps = [2, 3, 1]
+    parts = [[("a", 0, steps, False, at(0)), ("b", 0, steps, False, at(5))], [("a", 1, steps, False, at(50)), ("c", 0, steps, False, at(60))],
+             [("a", 2, steps, False, at(300)), ("a", 3, steps, False, at(310))], [("c", 1, steps, False, at(311)), ("d", 0, steps, False, at(900))], [("d", 1, steps, False, at(901))]]
+    src, out = str(tmp_path / "src"), str(tmp_path / "out")
+    left = []
+    for part in parts:
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(src)
+        stream = jobs.dialogue_stream(jobs.file_stream(spark, src, spark.read.parquet(src).schema), ts="ts", idle_seconds=100, watermark="0 seconds")
+        q = jobs.start(stream, f"{out}/checkpoint", path=f"{out}/rows")
+        q.awaitTermination()
+        left.append(q.lastProgress["stateOperators"][0]["numRowsTotal"])
+    got = {(r.conv_id, r.turn): (r.state_before, r.state_after) for r in spark.read.parquet(f"{out}/rows").collect()}
+    assert got == {("a", 0): (1, 2), ("b", 0): (1, 2), ("a", 1): (2, 3), ("c", 0): (1, 2), ("a", 2): (1, 2), ("a", 3): (2, 3), ("c", 1): (1, 2), ("d", 0): (1, 2), ("d", 1): (2, 3)}
+    assert left[1] == 3 and left[-1] == 1
+
+
+def test_long_session_in_frames(spark, tmp_path, monkeypatch):
+    n = 25_000
+    rows = [(1, i, [2, 1]) for i in range(n)]
+    random.Random(2).shuffle(rows)
+    got = run_parts(spark, str(tmp_path / "src"), str(tmp_path / "out"), "conv_id long, turn long, step array<int>", [rows], jobs.dialogue_stream)
+    assert len(got) == n and all(r.state_before == 1 + r.turn % 2 and r.state_after == 2 - r.turn % 2 for r in got)
+
+
+def test_stream_fills_empty_windows(spark, tmp_path):
+    schema = "m string, ts timestamp, value double"
+    parts = [[("a", at(1), 1.0), ("b", at(2), 5.0), ("a", at(9), 2.0)], [("a", at(47), 4.0), ("a", at(44), None), ("b", at(11), 1.0)],
+             [("a", at(95), 8.0), ("a", at(12), 99.0)], [("b", at(200), 7.0)]]
+    got = run_parts(spark, str(tmp_path / "src"), str(tmp_path / "out"), schema, parts, lambda s: jobs.filled_windows_stream(s, 10, "m"), "windows")
+    found = sorted((r.m, int((r.window_end - at(0)).total_seconds()), r.value) for r in got)
+    # the point at 12 comes when its window is long closed; the last windows stay open
+    assert [x for x in found if x[0] == "a"] == [("a", 10, 3.0), ("a", 20, None), ("a", 30, None), ("a", 40, None), ("a", 50, 4.0), ("a", 60, None), ("a", 70, None), ("a", 80, None), ("a", 90, None), ("a", 100, 8.0)]
+    assert [x for x in found if x[0] == "b"] == [("b", 10, 5.0), ("b", 20, 1.0)] + [("b", 10 * i, None) for i in range(3, 21)]
+
+
+@pytest.mark.parametrize("kind", ["baseline", "k-means"])
+def test_detector_is_swapped_while_the_stream_runs(spark, tmp_path, kind):
+    """Later batches are scored by the versions that earlier ones have learnt, as a batch replay is."""
+    src, out = str(tmp_path / "src"), str(tmp_path / "out")
+    names = list(clustering.fv.DETECTOR_DEFAULTS)
+    first = clustering.Detector(names, [70.0, 2.0, 1500.0, 45.0, 6.0], [1.0] * 5, [[0.0] * 5], 2.0)
+    cuts = [(0, 30), (30, 45), (75, 10)]
+    fit = clustering.fit_baseline_detector if kind == "baseline" else clustering.fit_detector
+    groups = clustering.fit_baseline_groups if kind == "baseline" else None
+    for start, n in cuts:
+        write_readings(spark, src, start, n)
+        jobs.run_online_detection(jobs.file_stream(spark, src, spark.read.parquet(src).schema), out, "n", first, 20, fit, groups)
+    rows = spark.read.parquet(src)
+    got = {r.n: (r.version, r.distance, r.ml_anomaly) for r in spark.read.parquet(f"{out}/readings").collect()}
+    assert {n: v for n, (v, *_) in got.items()} == {i: 0 if i < 30 else 1 if i < 75 else 3 for i in range(85)}
+    versions = {0: first} | {g: fit(rows.filter((F.col("n") >= 20 * (g - 1)) & (F.col("n") < 20 * g))) for g in (1, 3)}
+    for version, detector in versions.items():
+        for r in clustering.score(rows, detector).collect():
+            if got[r.n][0] == version:
+                assert got[r.n][1] == pytest.approx(r.distance) and got[r.n][2] == r.ml_anomaly
+    assert {r.version for r in spark.read.parquet(f"{out}/versions").collect()} == {1, 2, 3, 4}
+    assert not (tmp_path / "out" / "buffer" / "0").exists()
+
+
 def test_intent_model(spark, tmp_path):
     train = [("problema_wifi", "no tengo internet"), ("problema_wifi", "wifi internet caido"), ("problema_wifi", "internet no funciona wifi"),
              ("problema_impresora", "impresora atascada"), ("problema_impresora", "impresora no imprime papel"), ("problema_impresora", "la impresora falla"),

@@ -75,11 +75,15 @@ def turn_numbers(turns: DataFrame, session: str, order: str, grain_width: int =
     return row_numbers(turns, [session], [F.col(order)], F.floor(F.col(order) / grain_width), "turn_no")
 
 
-def dialogue(turns: DataFrame, session: str, order: str, text: str, intent: str, machine: Machine | None = None, chunk: int = 2048) -> DataFrame:
-    """Per turn the state before and after and the action taken."""
+def dialogue(turns: DataFrame, session: str, order: str, text: str, intent: str, machine: Machine | None = None, chunk: int = 2048,
+             clear: Column | None = None) -> DataFrame:
+    """Per turn the state before and after and the action taken. A turn for which ``clear`` holds ends the
+    open dialogue, whatever it says."""
     m = machine or Machine()
     size = len(m.states)
-    stepped = turns.withColumn("__step", m.next_states(F.col(text), F.col(intent))).withColumn("__chunk", F.floor(F.col(order) / chunk))
+    cleared = F.lit(False) if clear is None else F.coalesce(clear, F.lit(False))
+    idle = F.array(*[F.lit(1)] * size)
+    stepped = turns.withColumn("__step", F.when(cleared, idle).otherwise(m.next_states(F.col(text), F.col(intent)))).withColumn("__chunk", F.floor(F.col(order) / chunk))
     ordered = F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), F.col("__step").alias("s"))))
     identity = F.array(*[F.lit(i + 1) for i in range(size)])
     chunks = stepped.groupBy(session, "__chunk").agg(ordered.alias("__turns")).withColumn(
@@ -108,7 +112,7 @@ def dialogue(turns: DataFrame, session: str, order: str, text: str, intent: str,
         *turns.columns,
         F.element_at(m.names(), F.col("__before")).alias("state_before"),
         F.element_at(m.names(), F.col("__after")).alias("state_after"),
-        m.action(F.col("__before"), F.col("__after"), F.col(text), F.col(intent)).alias("action"),
+        F.when(cleared, "clear").otherwise(m.action(F.col("__before"), F.col("__after"), F.col(text), F.col(intent))).alias("action"),
     )
 
 

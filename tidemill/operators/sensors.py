@@ -100,14 +100,16 @@ def tumbling(points: DataFrame, size: str, keys: Sequence[str] = ("maquina_id",
 
 
 def tumbling_filled(points: DataFrame, size: str, name: str = "value") -> DataFrame:
-    """Tumbling sum over all rows with empty windows kept (their sum is null). The grid comes from the
-    first and last window only."""
+    """Tumbling sum over all rows with empty windows kept (their sum is null). The grid of windows follows
+    from the first and last one, and is dealt out in ranges."""
     sums = points.groupBy(F.window("ts", size).alias("w")).agg(F.sum("value").alias(name)).select(
         F.col("w.end").alias("window_end"), name
     )
-    grid = sums.agg(F.min("window_end").alias("a"), F.max("window_end").alias("b")).select(
-        F.explode(F.expr(f"sequence(a, b, interval {size})")).alias("window_end")
-    )
+    micros = F.unix_micros(F.col("window_end").cast("timestamp"))
+    step, first, last = sums.agg(F.max(F.unix_micros(F.timestamp_micros(F.lit(0)) + F.expr(f"interval {size}"))), F.min(micros), F.max(micros)).first()
+    if first is None:
+        return sums
+    grid = points.sparkSession.range(first, last + 1, step).select(F.timestamp_micros("id").cast(sums.schema["window_end"].dataType).alias("window_end"))
     return grid.join(sums, "window_end", "left")
 
 

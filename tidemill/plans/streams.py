@@ -94,6 +94,19 @@ def st3(spark, sf):
     return _window_text(sensors.tumbling_filled(flags, "30 seconds"))
 
 
+@query("st3_filled_stream", """
+WITH w AS (SELECT time_bucket(INTERVAL 30 SECOND, ts) + INTERVAL 30 SECOND AS e, sum(CASE WHEN temperatura > 95 THEN 1 ELSE 0 END) AS s FROM readings GROUP BY 1),
+g AS (SELECT unnest(generate_series(min(e), max(e), INTERVAL 30 SECOND)) AS e FROM w)
+SELECT strftime(g.e, '%Y-%m-%d %H:%M:%S') AS window_end, CAST(w.s AS DOUBLE) AS value FROM g LEFT JOIN w ON g.e = w.e WHERE g.e <= (SELECT max(ts) FROM readings)""", "readings")
+def st3_stream(spark, sf):
+    """The windows that the stream itself closes and fills: all that end before the last reading."""
+    out = run_dir(spark, "st3")
+    flags = v.readings(spark, sf).select("event_id", "ts", (F.col("temperatura") > 95).cast("double").alias("value"))
+    order = flags.withColumn("at", F.unix_micros(F.col("ts").cast("timestamp")))
+    jobs.run_to_end(jobs.filled_windows_stream(in_parts(spark, order, "at", 4, "st3-parts"), 30), f"{out}/checkpoint", path=f"{out}/windows")
+    return _window_text(spark.read.parquet(f"{out}/windows"))
+
+
 FIELDS = ["temperatura", "vibracion", "velocidad_rpm", "consumo_kw", "presion_bar"]
 
 
@@ -115,10 +128,40 @@ d AS (SELECT version, sqrt(((f0 - m0) / s0) ** 2 + ((f1 - m1) / s1) ** 2 + ((f2
 SELECT CAST(version AS INTEGER) AS version, CAST(count(*) AS INTEGER) AS trained_on, round(quantile_cont(d, 0.95), 6) AS threshold FROM d GROUP BY 1""", "readings")
 def st5(spark, sf):
     out = run_dir(spark, "st5")
-    jobs.run_retraining(readings_stream(spark, sf), out, "event_id", 500, clustering.fit_baseline_detector)
+    jobs.run_retraining(readings_stream(spark, sf), out, "event_id", 500, fit_groups=clustering.fit_baseline_groups)
     return spark.read.parquet(f"{out}/versions").select("version", "trained_on", F.round("threshold", 6).alias("threshold"))
 
 
+def in_parts(spark, df, order, parts, label):
+    """The rows as a stream of several files, equally many by their order, one file a micro-batch."""
+    out = run_dir(spark, label)
+    total = df.count()
+    dealt = jobs.retrain_groups(df, order, max(1, -(-total // parts)), F.floor(F.col(order).cast("double") / 65536)).drop("no")
+    for part in range(1, parts + 1):
+        dealt.filter(F.col("generation") == part).drop("generation").coalesce(1).write.mode("append").parquet(out)
+    return jobs.file_stream(spark, out, df.schema, files_per_batch=1)
+
+
+@query("st5_online_detection", """
+WITH n AS (SELECT *, row_number() OVER (ORDER BY event_id) AS k, count(*) OVER () AS total FROM readings),
+x AS (SELECT event_id, coalesce(temperatura, 75.0) AS f0, coalesce(vibracion, 2.5) AS f1, coalesce(velocidad_rpm, 1500.0) AS f2, coalesce(consumo_kw, 45.0) AS f3, coalesce(presion_bar, 6.0) AS f4,
+             (k - 1) // 500 + 1 AS g, (k - 1) // ((total + 3) // 4) * ((total + 3) // 4) // 500 AS version, total FROM n),
+st AS (SELECT g, avg(f0) m0, avg(f1) m1, avg(f2) m2, avg(f3) m3, avg(f4) m4, stddev_pop(f0) s0, stddev_pop(f1) s1, stddev_pop(f2) s2, stddev_pop(f3) s3, stddev_pop(f4) s4 FROM x GROUP BY g),
+own AS (SELECT g, quantile_cont(sqrt(((f0 - m0) / s0) ** 2 + ((f1 - m1) / s1) ** 2 + ((f2 - m2) / s2) ** 2 + ((f3 - m3) / s3) ** 2 + ((f4 - m4) / s4) ** 2), 0.95) AS t FROM x JOIN st USING (g) GROUP BY g),
+p AS (SELECT st.*, t FROM st JOIN own USING (g)),
+d AS (SELECT event_id, version, sqrt(((f0 - coalesce(m0, 75)) / coalesce(s0, 1)) ** 2 + ((f1 - coalesce(m1, 2.5)) / coalesce(s1, 1)) ** 2 + ((f2 - coalesce(m2, 1500)) / coalesce(s2, 1)) ** 2
+        + ((f3 - coalesce(m3, 45)) / coalesce(s3, 1)) ** 2 + ((f4 - coalesce(m4, 6)) / coalesce(s4, 1)) ** 2) AS d, coalesce(t, 1000) AS t FROM x LEFT JOIN p ON p.g = x.version)
+SELECT event_id, CAST(version AS INTEGER) AS version, round(d, 6) AS distance, d > t AS ml_anomaly FROM d""", "readings")
+def st5_online(spark, sf):
+    """Four micro-batches; each is scored by the newest version that those before it have learnt."""
+    out = run_dir(spark, "st5-online")
+    names = list(clustering.fv.DETECTOR_DEFAULTS)
+    first = clustering.Detector(names, list(clustering.fv.DETECTOR_DEFAULTS.values()), [1.0] * len(names), [[0.0] * len(names)], 1000.0)
+    stream = in_parts(spark, v.readings(spark, sf), "event_id", 4, "st5-parts")
+    jobs.run_online_detection(stream, out, "event_id", first, 500, fit_groups=clustering.fit_baseline_groups)
+    return spark.read.parquet(f"{out}/readings").select("event_id", "version", F.round("distance", 6).alias("distance"), "ml_anomaly")
+
+
 @query("st6_dialogue_stream", dialogue_sql, "turns")
 def st6_stream(spark, sf):
     m, out = Machine(), run_dir(spark, "st6")
@@ -140,6 +183,19 @@ def st7_stream(spark, sf):
     return spark.read.parquet(f"{out}/turns")
 
 
+@query("st7_clear_cancels", lambda: dialogue_sql().replace(
+    "CASE WHEN is_help THEN state", "CASE WHEN length(message) % 5 = 0 THEN 'idle' WHEN is_help THEN state"), "turns")
+def st7_clear(spark, sf):
+    """A cleared session also leaves its open dialogue."""
+    m, out = Machine(), run_dir(spark, "st7")
+    turns = v.turns_of(stream_of(spark, sf, "conversations"))
+    stepped = turns.select("conv_id", "turn", m.next_states(F.col("message"), F.col("intent")).alias("step"), (F.length("message") % 5 == 0).alias("clear"))
+    jobs.run_to_end(jobs.dialogue_stream(stepped, clear="clear"), f"{out}/checkpoint", path=f"{out}/states")
+    names = m.names()
+    return spark.read.parquet(f"{out}/states").select(
+        "conv_id", "turn", F.element_at(names, F.col("state_before")).alias("state_before"), F.element_at(names, F.col("state_after")).alias("state_after"))
+
+
 @query("st8_checkpointed_sink", "SELECT count(*) AS n, count(DISTINCT event_id) AS n_distinct FROM events")
 def st8(spark, sf):
     out = run_dir(spark, "st8")

@@ -5,11 +5,16 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+
 
 def build_session(app: str = "tidemill", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings every operator relies on: UTC, AQE, skew join, no web page.
@@ -93,3 +98,12 @@ def packed(df: DataFrame, rows_per_task: int = 50_000) -> Iterator[DataFrame]:
 def task_count(spark: SparkSession) -> int:
     """The number of reduce tasks the operator of the cluster asked for."""
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def side_by_side(jobs: Sequence[Callable[[], T]], at_once: int = 4) -> list[T]:
+    """Results of independent jobs, submitted a few at a time, in their order. Small fits that can't fill the
+    cluster share it that way; the first error ends the rest."""
+    if len(jobs) < 2:
+        return [job() for job in jobs]
+    with ThreadPoolExecutor(at_once) as pool:
+        return list(pool.map(lambda job: inheritable_thread_target(job)(), jobs))

@@ -77,6 +77,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Deletes a folder and all in it; a folder that is not there is no error."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def ensure_table(spark: SparkSession, name: str, columns: str, partition_by: Sequence[str] = (), path: str | None = None) -> None:
     """CREATE TABLE IF NOT EXISTS, parquet, partitioned."""
     parts = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
