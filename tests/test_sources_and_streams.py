@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemill.operators import clustering, models, textmodels
 from tidemill.session import cut_lineage, shared_dir
 from tidemill.sources import pages, readers, writers
+from tidemill.sources.upserts import UpsertStore
 from tidemill.streaming import jobs
 
 
@@ -125,6 +126,65 @@ def test_dialogue_state_survives_between_batches(spark, tmp_path):
     assert got == {(1, 0): (1, 2), (2, 0): (1, 1), (1, 1): (2, 2), (1, 2): (2, 1)}
 
 
+class TestUpsertStore:
+    SCHEMA = "maquina_id string, ts timestamp, version int, value double"
+
+    def batch(self, spark, rows):
+        return spark.createDataFrame([(m, at(s), v, x) for m, s, v, x in rows], self.SCHEMA)
+
+    def held(self, spark, store):
+        return {(r.maquina_id, int((r.ts - at(0)).total_seconds())): (r.version, r.value) for r in store.read(spark).collect()}
+
+    def test_last_write_wins_in_any_order(self, spark, tmp_path):
+        store = UpsertStore(str(tmp_path), buckets=4, runs_per_level=2)
+        draw, want = random.Random(1), {}
+        for i in range(9):
+            rows = [(f"m{draw.randrange(4)}", draw.randrange(6), draw.randrange(30), float(draw.randrange(100))) for _ in range(12)]
+            for m, s, v, x in rows:
+                want[m, s] = max(want.get((m, s), (-1, 0.0)), (v, x))
+            store.write(self.batch(spark, rows), i)
+            if i in (3, 8):
+                store.write(self.batch(spark, rows), i)  # a repeated batch
+            assert self.held(spark, store) == want
+        runs = store.runs(spark)
+        assert len(runs) <= 4 and sorted(b for r in runs for b in r["batches"]) == list(range(9))
+        files = list(tmp_path.glob("runs/*/*/*.parquet"))
+        named = {r["run"] for n in store.manifests(spark) for r in store.runs(spark, n)}
+        assert {f.parent.parent.name.removeprefix("run=") for f in files} <= named and len(store.manifests(spark)) <= 3
+        got = [(r.ts, r.value) for r in store.newest(spark, "m1", 3).collect()]
+        assert got == [(at(s), want["m1", s][1]) for s in sorted((s for m, s in want if m == "m1"), reverse=True)[:3]]
+
+    def test_a_killed_writer_leaves_nothing_behind(self, spark, tmp_path, monkeypatch):
+        store = UpsertStore(str(tmp_path), runs_per_level=2)
+        store.write(self.batch(spark, [("a", 1, 1, 1.0)]), 0)
+
+        def killed(self, spark, runs):
+            raise KeyboardInterrupt
+
+        with monkeypatch.context() as m:
+            m.setattr(UpsertStore, "_commit", killed)
+            with pytest.raises(KeyboardInterrupt):
+                store.write(self.batch(spark, [("a", 1, 2, 2.0)]), 1)
+        assert self.held(spark, store) == {("a", 1): (1, 1.0)} and len(list(tmp_path.glob("runs/*"))) == 2
+        store.write(self.batch(spark, [("a", 1, 2, 2.0)]), 1)
+        assert self.held(spark, store) == {("a", 1): (2, 2.0)}
+        # a merge that is killed before its manifest: the runs it read still count
+        store.write(self.batch(spark, [("a", 2, 1, 3.0)]), 2)
+        with monkeypatch.context() as m:
+            m.setattr(UpsertStore, "merge", lambda self, spark: None)
+            store.write(self.batch(spark, [("a", 3, 1, 4.0)]), 3)
+        before = self.held(spark, store)
+        with monkeypatch.context() as m:
+            m.setattr(UpsertStore, "_commit", killed)
+            with pytest.raises(KeyboardInterrupt):
+                store.merge(spark)
+        assert self.held(spark, store) == before == {("a", 1): (2, 2.0), ("a", 2): (1, 3.0), ("a", 3): (1, 4.0)}
+        store.merge(spark)
+        assert self.held(spark, store) == before
+        named = {r["run"] for n in store.manifests(spark) for r in store.runs(spark, n)}
+        assert {p.name.removeprefix("run=") for p in tmp_path.glob("runs/*")} == named
+
+
 def run_parts(spark, src, out, schema, parts, build, name="rows"):
     """Appends each part as a file and runs the stream over it, as a stopped and restarted query would."""
     for part in parts:

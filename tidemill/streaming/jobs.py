@@ -17,6 +17,7 @@ from tidemill.operators import sensors
 from tidemill.operators.clustering import Detector, fit_detector, score
 from tidemill.operators.ordered import row_numbers
 from tidemill.session import side_by_side
+from tidemill.sources.upserts import UpsertStore
 from tidemill.sources.writers import path_exists, remove_path, write_batch_once
 
 
@@ -170,13 +171,13 @@ def filled_windows_stream(points: DataFrame, size_seconds: int, key: str | None
 # ---- upsert by key and time -----------------------------------------------------------------
 
 def upsert_readings(stream: DataFrame, out: str, version: str) -> None:
-    """Wide-row store: per (machine, time) the newest write wins. Batches are appended; readers take
-    ``sensors.last_writes`` over them."""
-    run_to_end(stream.withColumn("write_no", F.col(version)), f"{out}/checkpoint", lambda b, i: write_batch_once(b, f"{out}/writes", i))
+    """Wide-row store: per (machine, time) the newest write wins (see :class:`UpsertStore`)."""
+    store = UpsertStore(out, version="write_no")
+    run_to_end(stream.withColumn("write_no", F.col(version)), f"{out}/checkpoint", store.write)
 
 
 def stored_readings(spark: SparkSession, out: str) -> DataFrame:
-    return sensors.last_writes(spark.read.parquet(f"{out}/writes").drop("batch_id"), "write_no").drop("write_no")
+    return UpsertStore(out, version="write_no").read(spark).drop("write_no")
 
 
 # ---- retraining -----------------------------------------------------------------------------
