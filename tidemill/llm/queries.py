@@ -152,11 +152,11 @@ WITH p AS (
       lambda x: regexp_replace(x, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g')), lambda x: x <> '') AS lines
   FROM pages
 ), s AS (
-  SELECT host, count(*) AS pages FROM p WHERE host <> '' GROUP BY host HAVING count(*) >= 5
+  SELECT host, count(*) AS pages FROM p WHERE host <> '' GROUP BY host
 ), e AS (
   SELECT rid, host, unnest(list_distinct(lines)) AS line FROM p
 ), c AS (
-  SELECT host, line FROM e JOIN s USING (host) GROUP BY host, line, pages HAVING count(*) > 0.3 * pages
+  SELECT host, line FROM e JOIN s USING (host) GROUP BY host, line, pages HAVING count(*) > 0.3 * pages AND count(*) >= 2
 ), d AS (
   SELECT rid, list(line) AS dropped FROM e JOIN c USING (host, line) GROUP BY rid
 ), k AS (
