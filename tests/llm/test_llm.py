@@ -118,10 +118,35 @@ def test_exact_dedup(spark, tables, rows):
     assert sum(r.kept for r in got) == len(groups)
 
 
-def test_exact_dedup_keeps_columns(spark, tables):
+OWN = ["_rid", "rid", "RID", "_copies", "copies", "_copy", "copy", "_spans", "spans", "ids", "decoded", "lossless", "fp", "a.b"]
+
+
+def test_stages_keep_clashing_columns(spark, rows):
+    """Each stage returns the values of all columns, and the rows that it returns without such columns."""
+    plain = common.stored(spark.createDataFrame(rows, DOCS).select("doc_id", "text", "lang", "source", "n_chars"))
+    own = [c for i, c in enumerate(OWN) if c.lower() not in [x.lower() for x in OWN[:i]]]
+    docs = plain
+    for c in own:
+        docs = docs.withColumn(c, F.concat(F.lit(f"{c}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))))
+    docs = common.stored(docs)
+    stages = [exact_dedup.without_duplicates, simhash.without_near_duplicates, mixing.mix, pii.redacted, lambda d: corpus_pipeline.to_pieces(spark, d, SF)]
+    for stage in stages:
+        out, want = stage(docs), stage(plain)
+        assert out.columns[: len(docs.columns)] == docs.columns and len(out.columns) == len(want.columns) + len(own)
+        got = out.collect()
+        for r in got:
+            for c in own:
+                assert r[c] == f"{c}:{'-' if r.doc_id is None else r.doc_id}"
+        assert collections.Counter((r.doc_id, r.text) for r in got) == collections.Counter((r.doc_id, r.text) for r in want.collect())
+
+
+def test_stages_on_the_result_of_a_shuffle(spark, tables):
     docs = spark.read.parquet(f"{tables}/documents.parquet")
-    out = exact_dedup.without_duplicates(docs)
-    assert out.columns == [c for c in docs.columns if c != "_rid"] or out.columns == docs.columns
+    for stage in (exact_dedup.without_duplicates, simhash.without_near_duplicates, mixing.mix, pii.redacted):
+        shuffled = docs.repartition(7).groupBy(*docs.columns).count().withColumn("n", F.explode(F.sequence(F.lit(1), F.col("count").cast("int")))).drop("count", "n")
+        assert len(set(shuffled.columns)) == len(docs.columns)
+        rows = stage(shuffled).select("doc_id", "text").collect()
+        assert collections.Counter(rows) == collections.Counter(stage(docs).select("doc_id", "text").collect())
 
 
 def brute_components(prints, distance):

@@ -21,6 +21,29 @@ def numbered(docs: DataFrame, name: str = "rid") -> DataFrame:
     return docs.withColumn(name, F.monotonically_increasing_id())
 
 
+def free_names(docs: DataFrame, *wanted: str) -> list[str]:
+    """The wanted names, each with as many underscores in front as it takes to be no column of ``docs``."""
+    taken = {c.lower() for c in docs.columns}
+    out = []
+    for name in wanted:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def quoted(name: str) -> Column:
+    """A column by its exact name, dots included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def settled(docs: DataFrame) -> DataFrame:
+    """``docs`` with rows that have the same place each time: stored, if they come out of a shuffle."""
+    plan = docs._jdf.queryExecution().executedPlan().toString()
+    return stored(docs, "settled") if "Exchange" in plan else docs
+
+
 def text_or_empty(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 

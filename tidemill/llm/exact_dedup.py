@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import SPACE, numbered, text_or_empty
+from tidemill.llm.common import SPACE, free_names, numbered, quoted, settled, text_or_empty
 from tidemill.session import stored
 
 BLOCK_CHARS = 1024
@@ -100,5 +100,7 @@ def duplicate_groups(docs: DataFrame, text: str = "text", block_chars: int = BLO
 
 def without_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows that stay, with the columns of ``docs``, whatever their names."""
-    stay = duplicate_groups(docs, text).where("kept").select(F.col("rid").alias("_rid"))
-    return numbered(docs, "_rid").join(stay, "_rid", "left_semi").drop("_rid")
+    docs = settled(docs)
+    (rid,) = free_names(docs, "rid")
+    stay = duplicate_groups(docs, text).where("kept").select(F.col("rid").alias(rid))
+    return numbered(docs, rid).join(stay, rid, "left_semi").select(*map(quoted, docs.columns))

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import WORD, numbered, text_or_empty
+from tidemill.llm.common import WORD, free_names, numbered, quoted, settled, text_or_empty
 from tidemill.session import stored
 
 #: A source's words are taken at most so many times.
@@ -111,9 +111,8 @@ def mixed(
 
 def mix(docs: DataFrame, **options: object) -> DataFrame:
     """The mix itself: the rows of ``docs`` with all their columns, repeated as often as they are taken."""
-    copies = mixed(docs, **options).where("copies > 0").select(F.col("rid").alias("_rid"), "copies")
-    return (
-        numbered(docs, "_rid").join(copies.withColumnRenamed("copies", "_copies"), "_rid")
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
-        .drop("_rid", "_copies", "_copy")
-    )
+    docs = settled(docs)
+    rid, copies, copy = free_names(docs, "rid", "copies", "copy")
+    taken = mixed(docs, **options).where("copies > 0").select(F.col("rid").alias(rid), F.col("copies").cast("int").alias(copies))
+    repeated = numbered(docs, rid).join(taken, rid).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies))))
+    return repeated.select(*map(quoted, docs.columns))

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import numbered, text_or_empty
+from tidemill.llm.common import free_names, numbered, quoted, settled, text_or_empty
 from tidemill.session import stored
 
 #: The kinds in their order, and the form of the base spans. Possessive repeats and the look
@@ -221,7 +221,9 @@ def redacted(docs: DataFrame, text: str = "text", mark: str = "[%s]") -> DataFra
 
     Of spans that overlap each other, the text from the first begin to the last end goes, under the first's kind.
     """
-    spans = personal_data(docs, text).where(F.size("spans") > 0).select(F.col("rid").alias("_rid"), F.col("spans").alias("_spans"))
+    docs = settled(docs)
+    rid, own = free_names(docs, "rid", "spans")
+    spans = personal_data(docs, text).where(F.size("spans") > 0).select(F.col("rid").alias(rid), F.col("spans").alias(own))
     body = F.col(text)
     names = F.array(*(F.lit(mark % k) for k in KINDS))
 
@@ -233,5 +235,6 @@ def redacted(docs: DataFrame, text: str = "text", mark: str = "[%s]") -> DataFra
             F.when(apart, F.concat(state["out"], gap, F.element_at(names, span["kind"] + 1))).otherwise(state["out"]).alias("out"),
         )
 
-    clean = F.aggregate("_spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), walk, lambda s: F.concat(s["out"], F.substring(body, s["at"] + 1, F.length(body))))
-    return numbered(docs, "_rid").join(spans, "_rid", "left").withColumn(text, F.when(F.col("_spans").isNull(), body).otherwise(clean)).drop("_rid", "_spans")
+    clean = F.aggregate(own, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), walk, lambda s: F.concat(s["out"], F.substring(body, s["at"] + 1, F.length(body))))
+    rows = numbered(docs, rid).join(spans, rid, "left").withColumn(text, F.when(F.col(own).isNull(), body).otherwise(clean))
+    return rows.select(*map(quoted, docs.columns))

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import components, numbered
+from tidemill.llm.common import components, free_names, numbered, quoted, settled
 from tidemill.session import stored
 
 SHINGLE_WORDS = 4
@@ -143,5 +143,7 @@ def near_groups(
 
 def without_near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
     """One row of each group, with the columns of ``docs``, whatever their names."""
-    stay = near_groups(docs, text).where("kept").select(F.col("rid").alias("_rid"))
-    return numbered(docs, "_rid").join(stay, "_rid", "left_semi").drop("_rid")
+    docs = settled(docs)
+    (rid,) = free_names(docs, "rid")
+    stay = near_groups(docs, text).where("kept").select(F.col("rid").alias(rid))
+    return numbered(docs, rid).join(stay, rid, "left_semi").select(*map(quoted, docs.columns))
