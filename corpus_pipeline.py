@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.llm import exact_dedup, mixing, pieces, simhash, toxicity
+from tidemill.llm.common import free_names
 from tidemill.session import stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -39,9 +40,12 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with the ids of their sampled pieces, and whether these spell the text."""
-    rows = pieces.decoded(docs.withColumn("ids", pieces.encoder(docs)))
-    return rows.withColumn("lossless", F.col("decoded") == F.coalesce("text", F.lit(""))).drop("decoded")
+    """Documents with the ids of their sampled pieces, and whether these spell the text: all columns, then
+    ``ids`` and ``lossless``, with underscores in front where ``docs`` has such columns."""
+    ids, back, lossless = free_names(docs, "ids", "decoded", "lossless")
+    rows = docs.withColumn(ids, pieces.encoder(docs))
+    rows = rows.withColumn(back, pieces.decoder(rows, ids))
+    return rows.withColumn(lossless, F.col(back) == F.coalesce("text", F.lit(""))).drop(back)
 
 
 STAGES: list[tuple[str, Stage]] = [
