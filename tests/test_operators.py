@@ -474,6 +474,26 @@ class TestText:
         got = self.apply(spark, lambda s: text.ngrams(F.split(s, " "), 2), "a b c", "a")
         assert got == [["a b", "b c"], []]
 
+    def test_stems_of_known_words(self, spark):
+        """Words of the stemmer's published sample vocabulary."""
+        known = """che che checa chec checar chec checo chec checoslovaquia checoslovaqui chedraoui chedraoui chefs chefs cheliabinsk cheliabinsk chelo chel
+        chemical chemical chemise chemis chepo chep cheque chequ cheques chequ cheraw cheraw chesca chesc chester chest chetumal chetumal chetumaleños chetumaleñ
+        chevrolet chevrolet cheyene cheyen cheyenne cheyenn chi chi chía chi chiapaneca chiapanec chiapas chiap chiba chib chic chic chica chic chicago chicag
+        chicana chican chicano chican chicas chic chicharrones chicharron chichen chich chichimecas chichimec chicles chicl chico chic
+        torá tor tórax torax torcer torc toreado tor toreados tor toreándolo tor torear tor toreara tor torearlo tor toreó tore torero torer toreros torer
+        torio tori tormenta torment tormentas torment tornado torn tornados torn tornar torn tornen torn torneo torne torneos torne tornillo tornill
+        tornillos tornill torniquete torniquet torno torn toro tor toronto toront toros tor torpedearon torped torpeza torpez torrado torr torralba torralb
+        torre torr torrencial torrencial torrenciales torrencial torrente torrent torreon torreon torreón torreon torres torr torrescano torrescan""".split()
+        # and one for each rule of the first and second step
+        known += """rápidamente rapid amablemente amabl activamente activ relativamente relat naciones nacion solución solucion instituciones institu biología biolog
+        existencia existent comunidades comun posibilidad posibil negativa negat haciéndola hac diciendo dic contribuyendo contribu contribuyéndolo contribuyendol
+        huyen huy constituyen constitu paguemos pag vivíamos viv logística logist""".split()
+        words, stems = known[::2], known[1::2]
+        rows = spark.createDataFrame(list(enumerate(words)), "i int, w string").select("i", text.stem_word(F.col("w")).alias("s"))
+        got = {words[r.i]: r.s for r in rows.collect()}
+        assert got == dict(zip(words, stems))
+        assert self.apply(spark, lambda s: text.stem(F.split(s, " ")), "torres", "") == [["torr"], [""]]
+
     def test_stems_leave_three_letters(self, spark):
         got = self.apply(spark, lambda s: text.stem(F.split(s, " ")), "impresoras conectado sol uno")
         assert got == [["impresor", "conect", "sol", "uno"]]

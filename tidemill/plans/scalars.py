@@ -175,16 +175,67 @@ def f17(spark, sf):
         "doc_id", F.size("k").cast("bigint").alias("n_keywords"), F.md5(F.array_join("k", " ")).alias("digest"))
 
 
+def stem_sql(words: str) -> str:
+    """The Snowball rules as one step after the other over (w), a table of words; gives (w, stem)."""
+    listed = sql_list
+
+    def found(word: str, options) -> str:
+        return f"regexp_extract({word}, '{text.ending(options)}')"
+
+    def without(word: str, options, start: str) -> str:
+        e = found(word, options)
+        return f"CASE WHEN {e} <> '' AND length({word}) - length({e}) >= {start} THEN left({word}, length({word}) - length({e})) ELSE {word} END"
+
+    def after(word: str, pattern: str) -> str:
+        return f"coalesce(nullif(length(regexp_extract({word}, '{pattern}')), 0), length({word}))"
+
+    std = text.STANDARD
+    return f"""
+words AS ({words}),
+reg1 AS (SELECT w, {after("w", text.RV)} AS rv, {after("w", text.R1)} AS r1 FROM words),
+reg2 AS (SELECT *, r1 + {after("substr(w, r1 + 1)", text.R1)} AS r2, {found("w", text.PRONOUNS)} AS pro FROM reg1),
+p1 AS (SELECT *, left(w, length(w) - length(pro)) AS rest FROM reg2),
+p2 AS (SELECT *, {found("rest", text.PRONOUN_HOSTS)} AS host FROM p1),
+p3 AS (SELECT w, rv, r1, r2, CASE WHEN pro = '' OR host = '' OR length(rest) - length(host) < rv OR (host = 'yendo' AND NOT ends_with(rest, 'uyendo')) THEN w
+   WHEN host IN ('iéndo', 'ándo', 'ár', 'ér', 'ír') THEN left(rest, length(rest) - length(host)) || translate(host, '{text.ACCENTS[0]}', '{text.ACCENTS[1]}') ELSE rest END AS x FROM p2),
+s1 AS (SELECT *, {found("x", [e for g in std.values() for e in g])} AS e FROM p3),
+s2 AS (SELECT *, left(x, length(x) - length(e)) AS y, e <> '' AND length(x) - length(e) >= CASE WHEN e = 'amente' THEN r1 ELSE r2 END AS fits FROM s1),
+s3 AS (SELECT *, {without("y", ["iv"], "r2")} AS yiv FROM s2),
+s4 AS (SELECT w, x, rv, CASE WHEN NOT fits THEN NULL WHEN e IN ({listed(std["plain"])}) THEN y WHEN e IN ({listed(std["ic"])}) THEN {without("y", ["ic"], "r2")}
+   WHEN e IN ({listed(std["log"])}) THEN y || 'log' WHEN e IN ({listed(std["u"])}) THEN y || 'u' WHEN e IN ({listed(std["ente"])}) THEN y || 'ente'
+   WHEN e = 'amente' AND yiv <> y THEN {without("yiv", ["at"], "r2")} WHEN e = 'amente' THEN {without("y", ["os", "ic", "ad"], "r2")}
+   WHEN e = 'mente' THEN {without("y", ["ante", "able", "ible"], "r2")} WHEN e IN ({listed(std["idad"])}) THEN {without("y", ["abil", "ic", "iv"], "r2")}
+   ELSE {without("y", ["at"], "r2")} END AS done FROM s3),
+v1 AS (SELECT *, {found("substr(x, rv + 1)", text.Y_VERBS)} AS ey, {found("substr(x, rv + 1)", text.GU_VERBS + text.VERBS)} AS ev FROM s4),
+v2 AS (SELECT w, rv, CASE WHEN done IS NOT NULL THEN done WHEN ey <> '' AND ends_with(left(x, length(x) - length(ey)), 'u') THEN left(x, length(x) - length(ey))
+   WHEN ev IN ({listed(text.GU_VERBS)}) AND ends_with(left(x, length(x) - length(ev)), 'gu') THEN left(x, length(x) - length(ev) - 1) ELSE left(x, length(x) - length(ev)) END AS x FROM v1),
+q1 AS (SELECT *, {found("x", text.RESIDUAL + text.RESIDUAL_E)} AS e FROM v2),
+stems AS (SELECT w, translate(CASE WHEN e = '' OR length(x) - length(e) < rv THEN x
+   WHEN e IN ({listed(text.RESIDUAL_E)}) AND ends_with(left(x, length(x) - length(e)), 'gu') AND length(x) - length(e) - 1 >= rv THEN left(x, length(x) - length(e) - 1)
+   ELSE left(x, length(x) - length(e)) END, '{text.ACCENTS[0]}', '{text.ACCENTS[1]}') AS stem FROM q1)"""
+
+
 @query("f18_stem", lambda: f"""
 WITH k AS (SELECT unnest(list_filter(string_split({NORMAL}, ' '), lambda t: length(t) > 2 AND regexp_full_match(t, '\\p{{L}}+') AND NOT list_contains([{sql_list(QUERY_STOPWORDS)}], t))) AS w
-           FROM documents WHERE lang = 'es')
-SELECT regexp_replace(w, '^(.{{3,}}?)({"|".join(text.ENDINGS)})$', '\\1') AS stem, count(*) AS n FROM k GROUP BY 1""")
+           FROM documents WHERE lang = 'es'),
+{stem_sql("SELECT DISTINCT w FROM k")}
+SELECT stem, count(*) AS n FROM k JOIN stems USING (w) GROUP BY 1""")
 def f18(spark, sf):
     stems = text.stem(text.keywords(F.col("text"), QUERY_STOPWORDS))
     docs = v.texts(spark, sf).filter(F.col("lang") == "es")
     return docs.select("doc_id", F.explode(stems).alias("stem")).groupBy("stem").agg(F.count("*").alias("n"))
 
 
+@query("f18_stem_of_accented_words", lambda: f"""
+WITH k AS (SELECT unnest(regexp_extract_all(lower(text), '[a-zñáéíóúü]+')) AS w FROM documents WHERE lang = 'es'),
+{stem_sql("SELECT DISTINCT w FROM k")}
+SELECT w AS word, stem FROM stems""")
+def f18_accented(spark, sf):
+    docs = v.texts(spark, sf).filter(F.col("lang") == "es")
+    words = docs.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-zñáéíóúü]+"), F.lit(0))).alias("word")).distinct()
+    return words.select("word", text.stem_word(F.col("word")).alias("stem"))
+
+
 @query("f19_json", """SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, '{"id":' || event_id || ',"type":"' || event_type || '"}' AS message FROM events""")
 def f19(spark, sf):
     return v.table(spark, sf, "events").select(
