@@ -5,6 +5,7 @@ import math
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -57,14 +58,21 @@ class TestOrdered:
         got = ordered.running_totals(graded, [], [F.col("x"), F.col("id")], {"t": F.col("at")}, F.col(ordered.GRAIN))
         assert collected(got, "id", "t") == collected(want, "id", "t")
 
-    @pytest.mark.parametrize("merged", [0, 10**6])
-    def test_percentiles_by_both_ways(self, spark, monkeypatch, merged):
-        monkeypatch.setattr(ordered, "MERGED_VALUES", merged)
+    @pytest.mark.parametrize("values", [1, 20, 20_000])
+    def test_percentiles_of_many_columns(self, spark, values):
         rng = np.random.default_rng(3)
-        xs = np.concatenate([rng.normal(size=500), np.full(300, 0.25)])
-        df = spark.createDataFrame([(float(x),) for x in xs] + [(None,), (float("nan"),)], "x double")
+        n = 30_000
+        columns = {
+            "x": np.concatenate([rng.normal(size=n // 2), np.full(n // 2, 0.25)]), "equal": np.full(n, 7.0), "two": np.arange(n) % 2 * 1.0,
+            "far": np.concatenate([rng.normal(size=n - 2), [1e300, -1e300]]), "a.b": rng.integers(0, 50, n) * 1.0, "rare": np.where(np.arange(n) < 9, rng.normal(size=n), np.nan),
+        }
+        df = spark.createDataFrame(pd.DataFrame(columns)).unionByName(spark.createDataFrame([(None,) * 6], ", ".join(f"`{c}` double" for c in columns)))
         ps = [0.0, 0.05, 0.5, 0.77, 0.95, 1.0]
-        assert ordered.exact_percentiles(df, "x", ps) == pytest.approx(list(np.percentile(xs, [p * 100 for p in ps])))
+        got = ordered.exact_percentiles_of(df.withColumn("none", F.lit(None).cast("double")), [*columns, "none"], ps, values)
+        for c, xs in columns.items():
+            assert got[c] == pytest.approx(list(np.percentile(xs[~np.isnan(xs)], [p * 100 for p in ps])))
+        assert got["none"] == [None] * 6
+        assert ordered.exact_percentiles(df, "x", [0.3]) == pytest.approx([np.percentile(columns["x"], 30)])
 
     def test_percentile_of_nothing(self, spark):
         assert ordered.exact_percentiles(spark.createDataFrame([(None,)], "x double"), "x", [0.5]) == [None]

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.functions.dates import week_end, year_month
-from tidemill.operators.ordered import exact_percentiles
+from tidemill.operators.ordered import exact_percentiles_of
 from tidemill.operators.relational import levels
 
 
@@ -185,7 +185,7 @@ def cell_stats(df: DataFrame, array: str, by_position: bool = False) -> DataFram
 
 def profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Rows of the frame and, per column, its type, count, mean, sample deviation, minimum, exact quartiles
-    and maximum. All but the quartiles come from one scan; quartiles count equal values first."""
+    and maximum. Quartiles of all columns take three scans, the rest one."""
     types = dict(df.dtypes)
 
     def stats(c: str) -> Column:
@@ -196,7 +196,7 @@ def profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         )
 
     quartiles = df.sparkSession.createDataFrame(
-        [(c, *exact_percentiles(df, c, [0.25, 0.5, 0.75])) for c in cols], "column string, q1 double, median double, q3 double"
+        [(c, *found) for c, found in exact_percentiles_of(df, cols, [0.25, 0.5, 0.75]).items()], "column string, q1 double, median double, q3 double"
     )
     listed = df.agg(F.array(*[stats(c) for c in cols]).alias("s")).select(F.inline("s"))
     return listed.join(F.broadcast(quartiles), "column").select(

@@ -7,6 +7,7 @@ of row numbers) meet in a task.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -17,7 +18,8 @@ from pyspark.sql import functions as F
 from tidemill.session import task_count
 
 GRAIN = "__grain"
-MERGED_VALUES = 500_000
+#: Accuracy of approximate quantiles, and distinct values that a bracket around a rank may hold at the end.
+ACCURACY, BRACKET_VALUES = 10_000, 20_000
 
 
 def with_quantile_grain(df: DataFrame, col: str, grains: int | None = None) -> DataFrame:
@@ -109,35 +111,95 @@ def framed(
 
 
 def exact_percentiles(df: DataFrame, col: str, probs: Sequence[float]) -> list[float]:
-    """Percentiles with linear interpolation, exact, without one task seeing all values.
+    """As :func:`exact_percentiles_of`, for one column."""
+    return exact_percentiles_of(df, [col], probs)[col]
 
-    Equal values are counted first, so copies of one value cost one row. Up to ``MERGED_VALUES``
-    distinct values are merged by Spark's own ``percentile``; beyond that the ranks are found through
-    running totals. Only two numbers per percentile reach the driver.
+
+def exact_percentiles_of(df: DataFrame, cols: Sequence[str], probs: Sequence[float], values: int = BRACKET_VALUES) -> dict[str, list[float]]:
+    """Percentiles with linear interpolation, exact, of all columns together; null and NaN are no values, and
+    a column without any has null percentiles.
+
+    Each rank is pinned in a bracket of two values. One scan gives approximate quantiles a little below and
+    above every rank, the next counts what lies below and inside the brackets, and as soon as no bracket holds
+    more than about ``values`` distinct values, a last scan counts these. Wider brackets are narrowed in the
+    same way, by approximate quantiles of what they hold; each turn leaves a few ten thousandths of the rows.
+    So the scans do not depend on the number of columns, and bounded counts are all that leaves the rows.
     """
-    # nulls and NaN form a group that counts 0; a filter would evaluate a computed column twice
-    x = F.nanvl(F.col(col).cast("double"), F.lit(None).cast("double"))
-    counts = df.select(x.alias("v")).groupBy("v").agg(F.count("v").alias("n"))
-    total, distinct = counts.agg(F.sum("n"), F.count("v")).first()
-    if not total:
-        return [None for _ in probs]
-    if distinct <= MERGED_VALUES:
-        return list(counts.agg(F.percentile("v", list(probs), F.col("n"))).first()[0])
-    ladder = with_quantile_grain(counts.filter("n > 0"), "v")
-    ladder = running_totals(ladder, [], [F.col("v")], {"upto": F.col("n")}, F.col(GRAIN))
-    wanted = []
-    for p in probs:
-        h = (total - 1) * p
-        wanted += [int(h) + 1, min(int(h) + 2, total)]
-    picks = ladder.agg(
-        *[
-            F.max(F.when((F.col("upto") - F.col("n") < k) & (F.lit(k) <= F.col("upto")), F.col("v"))).alias(f"p{i}")
-            for i, k in enumerate(wanted)
-        ]
-    ).first()
-    out = []
-    for i, p in enumerate(probs):
-        h = (total - 1) * p
-        low, high = picks[2 * i], picks[2 * i + 1]
-        out.append(low + (h - int(h)) * (high - low))
+    # null beside NaN: what is neither below nor inside any bracket
+    data = df.select(*[F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double")).alias(f"c{i}") for i, c in enumerate(cols)])
+    near = 3.0 / ACCURACY
+    first = data.agg(*[
+        F.struct(F.count(f"c{i}").alias("n"), F.percentile_approx(f"c{i}", _around(probs, near), F.lit(ACCURACY)).alias("q")).alias(f"c{i}")
+        for i in range(len(cols))
+    ]).first()
+    totals = [first[i]["n"] for i in range(len(cols))]
+    ranks, brackets = {}, {}
+    for i, total in enumerate(totals):
+        for j, p in enumerate(probs):
+            if total:
+                h = (total - 1) * p
+                ranks[i, j] = (int(h) + 1, min(int(h) + 2, total), h - int(h))
+                brackets[i, j] = (first[i]["q"][2 * j], first[i]["q"][2 * j + 1])
+    found = _pinned(data, totals, ranks, brackets, near, values) if ranks else {}
+    return {c: [found.get((i, j)) for j in range(len(probs))] for i, c in enumerate(cols)}
+
+
+def _around(probs: Sequence[float], near: float) -> list[float]:
+    return [min(max(p + side, 0.0), 1.0) for p in probs for side in (-near, near)]
+
+
+def _pinned(data: DataFrame, totals: list[int], ranks: dict, brackets: dict, near: float, values: int) -> dict:
+    """The interpolated values of the ranks, from brackets that are first checked and narrowed."""
+    below, last, targets = {}, {}, list(ranks)
+    open_ = list(targets)
+    while open_:
+        counts = data.agg(*[
+            F.struct(
+                F.count_if(F.col(f"c{i}") < brackets[i, j][0]).alias("below"), F.count_if(_inside(i, brackets[i, j])).alias("inside"),
+                F.approx_count_distinct(F.when(_inside(i, brackets[i, j]), F.col(f"c{i}"))).alias("distinct"),
+            ).alias(f"t{k}")
+            for k, (i, j) in enumerate(open_)
+        ]).first()
+        wide = []
+        for k, t in enumerate(open_):
+            below[t] = counts[k]["below"]
+            low, high, _ = ranks[t]
+            missed = not below[t] < low <= high <= below[t] + counts[k]["inside"]
+            if missed:  # approximate quantiles err within their accuracy; should they not, take the whole range
+                brackets[t] = (float("-inf"), float("inf"))
+            if missed:
+                wide.append((t, 0, totals[t[0]]))
+            elif counts[k]["distinct"] > values and counts[k]["inside"] < last.get(t, math.inf) / 2:
+                last[t] = counts[k]["inside"]
+                wide.append((t, below[t], counts[k]["inside"]))
+        todo = [(t, under, inside) for t, under, inside in wide if inside > values]
+        if todo:
+            narrowed = data.agg(*[
+                F.percentile_approx(
+                    F.when(_inside(t[0], brackets[t]), F.col(f"c{t[0]}")), _around([(ranks[t][0] - under) / inside], near + 2 / inside), F.lit(ACCURACY)
+                ).alias(f"q{k}")
+                for k, (t, under, inside) in enumerate(todo)
+            ]).first()
+            for k, (t, *_) in enumerate(todo):
+                brackets[t] = tuple(narrowed[k])
+        open_ = [t for t, *_ in wide]
+    picked = F.array(*[
+        F.when(_inside(i, brackets[i, j]), F.struct(F.lit(k).alias("t"), F.col(f"c{i}").alias("v"))) for k, (i, j) in enumerate(targets)
+    ])
+    held = data.select(F.explode(F.filter(picked, lambda x: x.isNotNull())).alias("x")).groupBy("x.t", "x.v").agg(F.count("*").alias("n"))
+    rows = sorted(held.collect())
+    out = {}
+    for k, t in enumerate(targets):
+        upto, ends = below[t], {}
+        for _, v, n in (r for r in rows if r[0] == k):
+            for end in (0, 1):
+                if upto < ranks[t][end] <= upto + n:
+                    ends[end] = v
+            upto += n
+        low, high, share = ends[0], ends[1], ranks[t][2]
+        out[t] = low if low == high else low + share * (high - low)
     return out
+
+
+def _inside(i: int, bracket: tuple[float, float]) -> Column:
+    return F.col(f"c{i}").between(*bracket)
