@@ -288,10 +288,11 @@ def dbscan(df: DataFrame, key: str, col: str, size: int, eps: float = 1.8, min_s
 
     Equal points collapse to one weighted point. Cells of side eps over the dimensions that spread most say
     which points can be neighbours; neighbour cells meet by key. Cells so small that all their points lie
-    within eps of each other make their points core at once if they hold enough; for the others, counting
-    ends once a point has enough neighbours. Groups emit capped counts, then a spanning forest of their core
-    points, never the neighbour pairs; inside a group the distance to a pivot rules most points out. Cells
-    and forests are joined by connected components.
+    within eps of each other make their points core at once if they hold enough. The others are counted among
+    a bounded piece of their own cell, and where that is not enough among all neighbours; counting ends once
+    a point has enough. Core points are linked by spanning forests, first of the pieces, then of neighbours,
+    where a group only tells which parts belong together. Neighbour pairs are never emitted; inside a group the
+    distance to a pivot rules most points out. Connected components join the parts.
 
     Vectors that are null, have another length or components that are null, NaN or infinite are noise.
     """
@@ -307,7 +308,8 @@ def dbscan(df: DataFrame, key: str, col: str, size: int, eps: float = 1.8, min_s
     side = _cell_side(points, wide, eps)
     cell = F.array(*[F.floor(F.element_at("x", i + 1) / side) for i in wide])
     placed = points.withColumn("fine", fine).join(crowds, "fine", "left").select("id", "x", "weight", F.coalesce("dense", F.lit(False)).alias("dense"), cell.alias("cell"))
-    placed = cut_lineage(placed)
+    cuts = placed.groupBy("cell").agg(F.ceil(F.count("*") / block_size).cast("int").alias("cuts"))
+    placed = cut_lineage(placed.join(cuts, "cell").withColumn("piece", hash_block(F.col("id"), F.col("cuts"))).drop("cuts"))
     kind = rows.schema["id"].dataType.simpleString()
 
     def split(pdf: pd.DataFrame):
@@ -317,6 +319,16 @@ def dbscan(df: DataFrame, key: str, col: str, size: int, eps: float = 1.8, min_s
             sides.append((side, x))
         return *sides, pdf["x"].iloc[0]
 
+    def crowded(pdf: pd.DataFrame) -> pd.DataFrame:
+        x, asked = np.stack(pdf["x"].to_numpy()), ~pdf["dense"].to_numpy(bool)
+        found = _enough_near(x[asked], x, pdf["weight"].to_numpy(), eps, min_samples, x[0])
+        return pd.DataFrame({"id": pdf["id"].to_numpy()[asked][found >= min_samples]})
+
+    # most core points show within their own piece of a cell; only the others go to all neighbours
+    alone = placed.groupBy("cell", "piece").applyInPandas(crowded, f"id {kind}").withColumn("crowded", F.lit(True))
+    placed = placed.join(alone, "id", "left").withColumn("dense", F.col("dense") | F.coalesce("crowded", F.lit(False))).drop("crowded")
+    placed = cut_lineage(placed)
+
     def counts(pdf: pd.DataFrame) -> pd.DataFrame:
         (left, x), (right, y), pivot = split(pdf)
         asked, visiting = ~left["dense"].to_numpy(bool), ~(right["dense"].to_numpy(bool) | right["own"].to_numpy(bool))
@@ -325,31 +337,40 @@ def dbscan(df: DataFrame, key: str, col: str, size: int, eps: float = 1.8, min_s
         return pd.DataFrame({"id": np.concatenate([left["id"].to_numpy()[asked], right["id"].to_numpy()[visiting]]), "n": np.concatenate([one, two])})
 
     dims = len(wide)
-    near = _in_cells(placed, dims, block_size).groupBy("at", "i", "j").applyInPandas(counts, f"id {kind}, n long")
+    near = _in_cells(placed.drop("piece"), dims, block_size).groupBy("at", "i", "j").applyInPandas(counts, f"id {kind}, n long")
     enough = near.groupBy("id").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_samples).select("id", F.lit(True).alias("enough"))
-    marked = placed.join(enough, "id", "left").select("id", "x", "cell", (F.col("dense") | F.coalesce("enough", F.lit(False))).alias("core"))
+    marked = placed.join(enough, "id", "left").select("id", "x", "cell", "piece", (F.col("dense") | F.coalesce("enough", F.lit(False))).alias("core"))
     marked = cut_lineage(marked)
 
+    def local(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("id")  # the first of a component is its smallest id
+        x, ids = np.stack(pdf["x"].to_numpy()), pdf["id"].to_numpy()
+        return pd.DataFrame({"id": ids, "root": ids[_forest(x, eps, x[0])]})
+
+    linked = cut_lineage(marked.filter("core").groupBy("cell", "piece").applyInPandas(local, f"id {kind}, root {kind}"))
+    marked = marked.drop("piece").join(linked, "id", "left")
+
     def forest(pdf: pd.DataFrame) -> pd.DataFrame:
         (left, x), (right, y), pivot = split(pdf)
         both = pd.concat([left, right])
         at = np.flatnonzero(both["core"].to_numpy(bool) & ~both.duplicated("id").to_numpy())
-        at = at[np.argsort(both["id"].to_numpy()[at], kind="stable")]  # the first of a component is its smallest id
-        z, ids = np.concatenate([x, y])[at], both["id"].to_numpy()[at]
+        z, ids, known = np.concatenate([x, y])[at], both["id"].to_numpy()[at], both["root"].to_numpy()[at]
         root = _forest(z, eps, pivot)
-        out = [pd.DataFrame({"a": ids, "b": ids[root], "core": np.ones(len(at), bool)})]
+        # what is linked inside a piece is known; a group tells which of these parts belong together
+        out = [pd.DataFrame({"a": known, "b": known[root], "core": np.ones(len(at), bool)}).drop_duplicates().query("a != b")]
         inner = np.isin(ids, left["id"].to_numpy()), np.isin(ids, right["id"].to_numpy())
         for side, points_, own, other in ((left, x, np.ones(len(left), bool), inner[1]), (right, y, ~right["own"].to_numpy(bool), inner[0])):
             edge = np.flatnonzero(~side["core"].to_numpy(bool) & own)
             core_points, core_roots = z[other], root[other]
             for part in _batches(len(edge), max(1, len(core_points)), size):
                 i, j = np.nonzero(_distances(points_[edge[part]], core_points) <= eps)
-                out.append(pd.DataFrame({"a": side["id"].to_numpy()[edge[part]][i], "b": ids[core_roots[j]], "core": np.zeros(len(i), bool)}).drop_duplicates())
+                out.append(pd.DataFrame({"a": side["id"].to_numpy()[edge[part]][i], "b": known[core_roots[j]], "core": np.zeros(len(i), bool)}).drop_duplicates())
         return pd.concat(out)
 
     links = _in_cells(marked, dims, block_size).groupBy("at", "i", "j").applyInPandas(forest, f"a {kind}, b {kind}, core boolean")
     links = cut_lineage(links.distinct())
-    roots = connected_components(links.filter("core"))
+    pairs = linked.select(F.col("id").alias("a"), F.col("root").alias("b"))
+    roots = connected_components(pairs.unionByName(links.filter("core").select("a", "b")))
     border = (
         links.filter("not core")
         .join(roots.withColumnRenamed("node", "b"), "b")
@@ -453,6 +474,21 @@ def fit_baseline_detector(df: DataFrame, contamination: float = 0.05, defaults:
     return _with_threshold(data, d, contamination)
 
 
+def fit_baseline_groups(df: DataFrame, group: str, contamination: float = 0.05, defaults: Mapping[str, float] = fv.DETECTOR_DEFAULTS) -> dict[int, Detector]:
+    """``fit_baseline_detector`` for every group of rows at once, as two aggregates. For bounded groups (the
+    limit is a percentile of a group's distances), and few enough for their numbers to be listed."""
+    names = list(defaults)
+    rows = df.select(group, *features_or_defaults(defaults))
+    stats = rows.groupBy(group).agg(*[F.avg(c).alias(f"m_{c}") for c in names], *[F.stddev_pop(c).alias(f"s_{c}") for c in names])
+    gaps = [(F.col(c) - F.col(f"m_{c}")) / F.when(F.col(f"s_{c}") == 0, F.lit(1.0)).otherwise(F.col(f"s_{c}")) for c in names]
+    far = rows.join(stats, group).withColumn("distance", F.sqrt(sum((g * g for g in gaps[1:]), gaps[0] * gaps[0])))
+    limits = far.groupBy(group).agg(F.percentile("distance", 1 - contamination).alias("limit"))
+    found = {}
+    for r in stats.join(limits, group).collect():
+        found[r[group]] = Detector(names, [r[f"m_{c}"] for c in names], [r[f"s_{c}"] or 1.0 for c in names], [[0.0] * len(names)], r["limit"])
+    return found
+
+
 def segment_profile(df: DataFrame, cluster: str, frequency: str, ticket: str) -> DataFrame:
     """Size and means per segment with a marketing action. Cluster numbers are arbitrary, so the action
     follows the rank of the segment by ticket size."""
