@@ -31,6 +31,35 @@ def test_zip_archives(spark, tmp_path):
     assert [r.archive.rsplit("/", 1)[1] for r in bad.collect()] == ["bad.zip"]
 
 
+def test_zip_records_are_read_whole(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        z.writestr("one.csv", 'k,v\r\n1,"a, b"\r\n2,"two\nlines and ""quotes"""\r\nk,v\r\n\r\n3\r\nx,\r\n')
+        z.writestr("sub/two.CSV", "other,names\n7,ü\n")
+        z.writestr("note.txt", "no,table")
+        z.writestr("empty.csv", "")
+    with zipfile.ZipFile(tmp_path / "late.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("good.csv", "k,v\n8,lost\n")
+        z.writestr("broken.csv", "k,v\n" + "".join(f"{i},{i * 7919 % 104729}\n" for i in range(20_000)))
+    data = bytearray((tmp_path / "late.zip").read_bytes())
+    data[len(data) // 2 : len(data) // 2 + 40] = bytes(40)
+    (tmp_path / "late.zip").write_bytes(bytes(data))
+    with zipfile.ZipFile(tmp_path / "latin.zip", "w") as z:
+        z.writestr("l.csv", "k,v\n9,é\n".encode("latin-1"))
+    good, bad = readers.zipped_csv(readers.binary_files(spark, str(tmp_path)), "k int, v string")
+    assert sorted(map(tuple, good.collect()), key=repr) == sorted([
+        ("one.csv", 1, "a, b"), ("one.csv", 2, 'two\nlines and "quotes"'), ("one.csv", None, "v"), ("one.csv", 3, None), ("one.csv", None, None), ("sub/two.CSV", 7, "ü")], key=repr)
+    assert sorted(r.archive.rsplit("/", 1)[1] for r in bad.collect()) == ["late.zip", "latin.zip"]
+
+
+def test_arff_files_with_other_headers(spark, tmp_path):
+    (tmp_path / "a.arff").write_text("@relation a\n@attribute x numeric\n@attribute 'full name' string\n@data\n1,'Doe, J.'\n2,\"O'Neil\"\n3,it\\'s\n4,''\n5\n")
+    (tmp_path / "b.arff").write_text("% other order\n@RELATION b\n@ATTRIBUTE \"full name\" string\n@ATTRIBUTE y {'p, q',r}\n@attribute x numeric\n@DATA\n?,'p, q',6\nMy,r,\n")
+    rows = readers.read_arff(spark, str(tmp_path))
+    assert rows.columns == ["x", "full name", "y"]
+    want = [("1", "Doe, J.", None), ("2", "O'Neil", None), ("3", "it's", None), ("4", "", None), ("5", None, None), ("6", None, "p, q"), ("", "My", "r")]
+    assert sorted(map(tuple, rows.collect()), key=repr) == sorted(want, key=repr)
+
+
 def test_arff(spark, tmp_path):
     (tmp_path / "t.arff").write_text("% note\n@RELATION r\n@ATTRIBUTE x NUMERIC\n@attribute 'class' {Abnormal,Normal}\n@DATA\n1.5,'Abnormal'\n?,Normal\n")
     rows = readers.read_arff(spark, str(tmp_path / "t.arff")).collect()

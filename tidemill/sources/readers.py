@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import csv
 import io
+import re
 import zipfile
+import zlib
 from collections.abc import Iterator, Mapping, Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -59,67 +62,110 @@ def read_jdbc(spark: SparkSession, url: str, table: str, partition_column: str,
     )
 
 
-def read_arff(spark: SparkSession, path: str, names: Sequence[str] | None = None) -> DataFrame:
-    """ARFF: attribute names from the header lines, one row per data line; ``?`` is null, quotes are cut.
+#: One cell of an ARFF row: quoted in either way, with backslashes before quotes, or plain up to the comma.
+ARFF_CELL = r"""\s*('(?:\\.|[^'\\])*'|"(?:\\.|[^"\\])*"|[^,]*?)\s*(?:,|$)"""
 
-    The header is the short list of ``@attribute`` lines. Data lines need no place in the file: they
-    are the lines that start with neither ``@`` nor ``%``.
-    """
-    lines = spark.read.text(path).select(F.trim("value").alias("value")).filter(F.col("value") != "")
-    if names is None:
-        heads = lines.filter(F.lower("value").startswith("@attribute")).collect()
-        names = [r.value.split(None, 2)[1].strip("'\"") for r in heads]
-    data = lines.filter(~F.col("value").startswith("@") & ~F.col("value").startswith("%"))
-    cells = F.split("value", ",")
-    cut = [F.regexp_replace(F.trim(F.get(cells, i)), "^['\"]|['\"]$", "") for i in range(len(names))]
-    return data.select(*[F.when(c != "?", c).alias(n) for c, n in zip(cut, names)])
+
+def arff_cells(line: Column) -> Column:
+    """The cells of a data line: without their quotes, ``?`` is null."""
+    found = F.regexp_extract_all(line, F.lit(ARFF_CELL), F.lit(1))
+    # after a last cell that is not empty, the end of the line matches once more
+    cells = F.when(F.endswith(line, F.lit(",")), found).otherwise(F.slice(found, 1, F.size(found) - 1))
+    bare = F.transform(cells, lambda c: F.regexp_replace(F.regexp_replace(c, r"""(?s)^(['"])(.*)\1$""", "$2"), r"\\(.)", "$1"))
+    return F.zip_with(cells, bare, lambda c, plain: F.when(c != "?", plain))
 
 
-ZIP_SCHEMA = "archive string, member string, line string, error string"
+def read_arff(spark: SparkSession, path: str | list[str], names: Sequence[str] | None = None) -> DataFrame:
+    """ARFF: attribute names from the header lines of each file, one row per data line, all columns text.
+
+    Files with other attributes, or the same in another order, are matched by name; an attribute that a file
+    lacks is null in its rows. Only header lines, a few per file, reach the driver. A file without any header
+    (a part of a larger one) takes that of the others if they have but one. ``?`` is null, quotes are cut, and
+    a quoted comma parts no cells.
+    """
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.trim("value").alias("value")).filter(F.col("value") != "")
+    data = lines.filter(~F.col("value").startswith("@") & ~F.col("value").startswith("%")).select("file", arff_cells(F.col("value")).alias("cells"))
+    if names is not None:
+        return data.select(*[F.get("cells", i).alias(n) for i, n in enumerate(names)])
+    marked = lines.filter(F.lower("value").startswith("@attribute")).withColumn("place", F.monotonically_increasing_id())
+    heads: dict[str, list[str]] = {}
+    for r in sorted(marked.collect(), key=lambda r: (r.file, r.place)):
+        name = re.match(r"""@attribute\s+(?:'([^']*)'|"([^"]*)"|(\S+))""", r.value, re.IGNORECASE)
+        heads.setdefault(r.file, []).append(next(g for g in name.groups() if g is not None))
+    kinds = list(dict.fromkeys(map(tuple, heads.values())))
+    if not kinds:
+        raise ValueError(f"no @attribute line in {path}")
+    if len(kinds) == 1:
+        return data.select(*[F.get("cells", i).alias(n) for i, n in enumerate(kinds[0])])
+    owners = spark.createDataFrame([(f, kinds.index(tuple(h))) for f, h in heads.items()], "file string, kind int")
+    rows = data.join(owners, "file")
+    every = list(dict.fromkeys(n for k in kinds for n in k))
+    place = [F.coalesce(*[F.when(F.col("kind") == k, F.get("cells", kind.index(n))) for k, kind in enumerate(kinds) if n in kind]) for n in every]
+    return rows.select(*[c.alias(n) for c, n in zip(place, every)])
+
+
+ZIP_SCHEMA = "archive string, member string, cells array<string>, error string"
 
 
 def binary_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", "content")
 
 
-def zipped_lines(files: DataFrame) -> DataFrame:
-    """Lines of the CSV members of zip archives (path, content); a bad archive gives one row with its
-    error.
+def _records(archive: zipfile.ZipFile, encoding: str) -> Iterator[tuple[str, list[str]]]:
+    """Records of the CSV members after the first one of each, the header."""
+    for member in archive.namelist():
+        if member.lower().endswith(".csv"):
+            with io.TextIOWrapper(archive.open(member), encoding, newline="") as text:
+                for i, cells in enumerate(csv.reader(text, strict=True)):
+                    if i and cells:
+                        yield member, cells
 
-    Archives are unpacked in parallel, one at a time per task, and members are streamed line by line.
+
+def zipped_records(files: DataFrame, encoding: str = "utf-8", rows_at_once: int = 10_000) -> DataFrame:
+    """Records of the CSV members of zip archives (path, content): quoted commas and line breaks stay in their
+    cell, and the first record of a member is its header, wherever equal lines may follow. A bad archive gives
+    one row with its error and none of its records.
+
+    Archives are unpacked in parallel, one at a time per task. A member is read twice as a stream, first to
+    the end to see that it is sound, then to pass its records on, so no member is held as a whole; the packed
+    archive itself is one value (at most 2 GB).
     """
 
-    def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["archive", "member", "cells", "error"]
+        kinds = [pa.string(), pa.string(), pa.list_(pa.string()), pa.string()]
+
+        def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+
         for batch in batches:
-            for name, content in zip(batch["path"], batch["content"]):
+            for path, content in zip(batch.column("path"), batch.column("content")):
                 try:
-                    with zipfile.ZipFile(io.BytesIO(content)) as z:
-                        for member in z.namelist():
-                            if not member.lower().endswith(".csv"):
-                                continue
-                            with io.TextIOWrapper(z.open(member), "utf-8") as text:
-                                rows = []
-                                for line in text:
-                                    rows.append((name, member, line.rstrip("\r\n"), None))
-                                    if len(rows) == 10_000:
-                                        yield pd.DataFrame(rows, columns=["archive", "member", "line", "error"])
-                                        rows = []
-                                if rows:
-                                    yield pd.DataFrame(rows, columns=["archive", "member", "line", "error"])
-                except (zipfile.BadZipFile, OSError, UnicodeDecodeError) as e:
-                    yield pd.DataFrame([(name, None, None, str(e))], columns=["archive", "member", "line", "error"])
-
-    return files.select("path", "content").mapInPandas(unpack, ZIP_SCHEMA)
+                    archive = zipfile.ZipFile(io.BytesIO(content.as_buffer()))
+                    for _ in _records(archive, encoding):
+                        pass
+                except (zipfile.BadZipFile, zlib.error, EOFError, OSError, RuntimeError, UnicodeDecodeError, csv.Error, NotImplementedError) as e:
+                    yield batch_of([(path.as_py(), None, None, f"{type(e).__name__}: {e}")])
+                    continue
+                rows = []
+                for member, cells in _records(archive, encoding):
+                    rows.append((path.as_py(), member, cells, None))
+                    if len(rows) == rows_at_once:
+                        yield batch_of(rows)
+                        rows = []
+                if rows:
+                    yield batch_of(rows)
+
+    return files.select("path", "content").mapInArrow(unpack, ZIP_SCHEMA)
 
 
 def zipped_csv(files: DataFrame, schema: str) -> tuple[DataFrame, DataFrame]:
-    """Typed rows of all good members, and the table of bad archives."""
-    lines = zipped_lines(files)
-    names = [f.name for f in T.StructType.fromDDL(schema).fields]
-    head = ",".join(names)
-    good = lines.filter(F.col("error").isNull() & (F.col("line") != head))
-    parsed = good.select("member", F.from_csv("line", schema).alias("r")).select("member", "r.*")
-    return parsed, lines.filter(F.col("error").isNotNull()).select("archive", "error")
+    """Typed rows of all good members, and the table of bad archives. Cells go to columns by place; empty,
+    missing and unreadable ones are null."""
+    records = zipped_records(files)
+    fields = T.StructType.fromDDL(schema).fields
+    cells = [F.nullif(F.get("cells", i), F.lit("")).try_cast(f.dataType).alias(f.name) for i, f in enumerate(fields)]
+    return records.filter("error IS NULL").select("member", *cells), records.filter("error IS NOT NULL").select("archive", "error")
 
 
 def parse_messages(raw: DataFrame, schema: str, value: str = "value") -> DataFrame:
