@@ -11,7 +11,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemill.functions import dates, numbers, text
-from tidemill.operators import aggregates, clustering, dialogue, evaluate, models, ordered, recommend, sensors, segments, series
+from tidemill.operators import aggregates, clustering, dialogue, evaluate, models, ordered, recommend, sensors, segments, series, textmodels
 from tidemill.operators import relational as rel
 from tidemill.plans import registered, views
 
@@ -538,6 +538,29 @@ class TestLookupsAndProfiles:
 
 
 
+class TestSentiment:
+    def test_equals_brute_force(self, spark):
+        draw = random.Random(6)
+        words = "good bad fine poor mill tide Ñu x y2".split()
+        rows = [(i, " ".join(draw.choices(words, k=draw.randint(0, 9))), draw.choice(["pos", "neg", "odd"])) for i in range(60)]
+        train, test = rows[:40], [*rows[40:], (98, "unknown words only", "pos"), (99, None, "neg")]
+        frame = "doc_id int, text string, label string"
+        model = textmodels.train_sentiment(spark.createDataFrame([*train, (97, "good good", None)], frame))
+        got = {r.doc_id: r.predicted for r in textmodels.predict_sentiment(model, spark.createDataFrame(test, frame), "doc_id").collect()}
+
+        def cut(t):
+            return [w for w in (t or "").lower().split() if len(w) > 1]
+
+        seen = {c: [w for _, t, k in train if k == c for w in cut(t)] for c in ("neg", "odd", "pos")}
+        known = {w for ws in seen.values() for w in ws}
+        for i, t, _ in test:
+            score = {
+                c: math.log(sum(k == c for *_, k in train) + 1) + sum(math.log((ws.count(w) + 1) / (len(ws) + len(known))) for w in cut(t) if w in known)
+                for c, ws in seen.items()
+            }
+            assert score[got[i]] == pytest.approx(max(score.values()))
+
+
 class TestSegments:
     @pytest.fixture(scope="class")
     def planted(self, spark):

@@ -159,6 +159,16 @@ def s16(spark, sf):
     return per_file.agg(F.sum("n").alias("n_rows"), (F.max("n") <= 100).alias("all_within_100"))
 
 
+@query("s16_anomaly_flush", """
+SELECT count(*) AS n_rows, true AS all_within_10, CAST(sum(error_code) AS BIGINT) AS codes FROM readings WHERE error_code > 0 OR temperatura > 95""", "readings")
+def s16_anomalies(spark, sf):
+    out = run_dir(spark, "s16")
+    r = v.readings(spark, sf).filter((F.col("error_code") > 0) | (F.col("temperatura") > 95)).select("event_id", "error_code")
+    writers.write_batches(r, out, 10)
+    per_file = spark.read.parquet(out).groupBy(F.input_file_name().alias("f")).agg(F.count("*").alias("n"), F.sum("error_code").alias("codes"))
+    return per_file.agg(F.sum("n").alias("n_rows"), (F.max("n") <= 10).alias("all_within_10"), F.sum("codes").alias("codes"))
+
+
 @query("s17_append_new_keys", "SELECT c_custkey, c_name FROM customer")
 def s17(spark, sf):
     out, c = run_dir(spark, "s17"), v.table(spark, sf, "customer").select("c_custkey", "c_name")

@@ -216,15 +216,17 @@ def s5(spark, sf):
 
 @query("st9_keyed_order", "SELECT maquina_id, count(*) AS n, true AS in_order FROM readings GROUP BY 1", "readings")
 def st9(spark, sf):
+    """Of each machine, what was produced earlier (in an earlier batch, file or row) has the smaller number."""
     out = run_dir(spark, "st9")
-    keyed = readings_stream(spark, sf).select(F.col("maquina_id").alias("key"), "event_id", "ts")
-    jobs.run_to_end(keyed, f"{out}/checkpoint", path=f"{out}/rows")
-    rows = spark.read.parquet(f"{out}/rows")
-    # in order if numbers and times rise together; the test of each row needs its neighbour only
+    source = in_parts(spark, v.readings(spark, sf), "event_id", 4, "st9-parts")
+    jobs.run_to_end(source.select(F.col("maquina_id").alias("key"), "event_id", "ts"), f"{out}/checkpoint", partial(_store, out))
+    rows = spark.read.parquet(f"{out}/windows").select("key", "event_id", "batch_id", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("place"))
+    # the test of each row needs its neighbour only; a machine's rows are cut by batch and place
     from tidemill.operators.ordered import framed
 
-    steps = framed(rows, ["key"], [F.col("event_id")], F.floor(F.col("event_id") / 65536),
-                   lambda w: {"ok": F.coalesce(F.col("ts") >= F.lag("ts").over(w), F.lit(True))}, before=1)
+    order = [F.col("batch_id"), F.col("file"), F.col("place")]
+    steps = framed(rows, ["key"], order, F.struct("batch_id", "file", F.floor(F.col("place") / 65536)),
+                   lambda w: {"ok": F.coalesce(F.col("event_id") > F.lag("event_id").over(w), F.lit(True))}, before=1)
     return steps.groupBy(F.col("key").alias("maquina_id")).agg(F.count("*").alias("n"), F.bool_and("ok").alias("in_order"))
 
 
