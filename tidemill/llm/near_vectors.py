@@ -30,6 +30,8 @@ SAMPLE_ROWS = 16_384
 #: There are sqrt(rows) lists, up to this many. Vectors of a list, and probing vectors, that meet in a task.
 MOST_LISTS, LIST_PIECE, PROBE_PIECE = 4096, 1024, 2048
 SUBSPACES, CODES, ROUNDS = 8, 256, 8
+#: Numbers that are held at once beside the vectors and centres.
+HELD = 1 << 21
 _SLACK, _TABLE_SLACK = 1e-9, 1e-4
 
 
@@ -65,6 +67,15 @@ def k_means(rows: np.ndarray, k: int, rounds: int = ROUNDS, seed: int = 5) -> np
     return centres
 
 
+def _between(centres: np.ndarray) -> np.ndarray:
+    """Distances of all centres to each other, a few rows at a time: the differences are never held at once."""
+    out = np.empty((len(centres), len(centres)))
+    step = max(1, HELD // centres.size)
+    for lo in range(0, len(centres), step):
+        out[lo : lo + step] = np.linalg.norm(centres[lo : lo + step, None] - centres[None], axis=2)
+    return out
+
+
 class Quantiser:
     """Centres of the lists and codebooks of the residuals' subspaces."""
 
@@ -74,7 +85,7 @@ class Quantiser:
         self.centres = k_means(sample, lists)
         rest = sample - self.centres[_nearest(sample, self.centres)[0]]
         self.books = [k_means(rest[:, list(c)], CODES) for c in self.cuts]
-        self.between = np.linalg.norm(self.centres[:, None] - self.centres[None], axis=2)
+        self.between = _between(self.centres)
 
     def encode(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """List, codes and error of each vector, and its squared distances to all centres less its square."""
@@ -145,7 +156,8 @@ def near_links(vectors: DataFrame, dim: int, rows: int, min_cosine: float = MIN_
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         q = shared.value
-        for batch in batches:
+        step = max(256, HELD // len(q.centres))
+        for batch in (whole.slice(lo, step) for whole in batches for lo in range(0, whole.num_rows, step)):
             good, units = unit_rows(batch.column("embedding").to_pylist(), dim)
             ids, copies = (batch.column(c).to_numpy(zero_copy_only=False)[good] for c in ("rid", "copies"))
             at, codes, errors, square = q.encode(units) if len(units) else (np.zeros(0, int), np.zeros((0, 1), np.uint8), np.zeros(0), np.zeros((0, len(q.centres))))
