@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemill.operators import clustering, models, textmodels
-from tidemill.session import cut_lineage, shared_dir
+from tidemill.session import cut_lineage, shared_dir, side_by_side
 from tidemill.sources import pages, readers, writers
 from tidemill.sources.upserts import UpsertStore
 from tidemill.streaming import jobs
@@ -316,6 +316,28 @@ def test_search_draws_are_repeatable():
     assert a == b and len(a) == 20
 
 
+def test_search_compares_all_draws_and_refits_the_best(spark):
+    rng = random.Random(4)
+    rows = [(dt.date(2024, 1, 1) + dt.timedelta(days=d), float(d % 7), float(i), float(3 * (d % 7) + rng.random())) for d in range(60) for i in range(4)]
+    data = models.assembled(spark.createDataFrame(rows, "day date, a double, b double, y double"), ["a", "b"], "y", keep=["day"])
+    train, test = models.time_split(data, "day", "2024-02-15")
+    grid = {"numTrees": [2, 4], "maxDepth": [1, 4], "minInstancesPerNode": [2], "featureSubsetStrategy": ["all"]}
+    best, board = models.random_search(train, "day", grid, n_iter=10, folds=3)
+    again = models.random_search(train, "day", grid, n_iter=10, folds=3, at_once=1)
+    assert len(board) == 4 and (best, board) == again
+    assert best["maxDepth"] == 4 and dict((p["maxDepth"], e) for p, e in board)[1] > min(e for _, e in board)
+    _, scored, metrics = models.refit(best, train, test)
+    assert scored.count() == test.count() and metrics.first().r2 > 0.9
+    # a table of one day has no folds to learn from
+    assert models.random_search(train.filter("day = DATE '2024-01-05'"), "day", grid, n_iter=1)[1][0][1] == float("inf")
+
+
+def test_jobs_side_by_side(spark):
+    assert side_by_side([lambda i=i: spark.range(i).count() for i in range(9)], 3) == list(range(9))
+    with pytest.raises(ZeroDivisionError):
+        side_by_side([lambda i=i: 1 // i for i in range(9)], 3)
+
+
 def test_saved_model_gives_the_same_answers(spark, tmp_path):
     rows = spark.range(200).select((F.col("id") % 7).alias("a"), (F.col("id") % 3).alias("b"), (F.col("id") % 7 + F.col("id") % 3).alias("y"))
     data = models.assembled(rows, ["a", "b"], "y")

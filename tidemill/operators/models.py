@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import random
 from collections.abc import Mapping, Sequence
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.ml import PipelineModel, Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tidemill.operators.evaluate import regression_metrics
 from tidemill.operators.ordered import row_numbers
-from tidemill.session import packed
+from tidemill.session import packed, side_by_side
 
 # Search grids of the demand forest and ranges of the boosted classifier.
 FOREST_GRID = {
@@ -91,21 +91,39 @@ def time_folds(df: DataFrame, day: str, folds: int = 4) -> DataFrame:
 
 
 def random_search(train: DataFrame, day: str, grid: Mapping[str, Sequence] = FOREST_GRID, n_iter: int = 20, folds: int = 4,
-                  seed: int = 42) -> tuple[dict, list[tuple[dict, float]]]:
-    """Mean absolute error over expanding time folds per draw; returns the best draw and all of them."""
-    board = []
+                  seed: int = 42, at_once: int = 8) -> tuple[dict, list[tuple[dict, float]]]:
+    """Mean absolute error over expanding time folds per draw; returns the best draw (of equal ones the first)
+    and all of them.
+
+    The folds are dealt once. The fits of all draws and folds are independent and are submitted ``at_once`` at
+    a time, the largest first, so that one fit's small jobs do not leave the cluster idle. A fold without rows
+    before it or in it has no error; a draw without any error is the worst.
+    """
+    draws = draw(grid, n_iter, seed)
     with packed(time_folds(train, day, folds).select("fold", "label", "features")) as dealt:
-        for params in draw(grid, n_iter, seed):
-            errors = []
-            for f in range(1, folds + 1):
-                model = RandomForestRegressor(seed=seed, **params).fit(dealt.filter(F.col("fold") < f))
-                scored = model.transform(dealt.filter(F.col("fold") == f))
-                errors.append(scored.agg(F.avg(F.abs(F.col("label") - F.col("prediction")))).first()[0])
-            errors = [e for e in errors if e is not None]
-            board.append((params, sum(errors) / len(errors)))
+        present = {r["fold"] for r in dealt.select("fold").distinct().collect()}
+        usable = [f for f in range(1, folds + 1) if f in present and any(g < f for g in present)]
+
+        def error(params: dict, f: int) -> float:
+            model = RandomForestRegressor(seed=seed, maxMemoryInMB=1024, **params).fit(dealt.filter(F.col("fold") < f))
+            scored = model.transform(dealt.filter(F.col("fold") == f))
+            return scored.agg(F.avg(F.abs(F.col("label") - F.col("prediction")))).first()[0]
+
+        tasks = [(i, f) for i in range(len(draws)) for f in usable]
+        tasks.sort(key=lambda t: -t[1] * draws[t[0]].get("numTrees", 1) * draws[t[0]].get("maxDepth", 1))
+        errors = dict(zip(tasks, side_by_side([partial(error, draws[i], f) for i, f in tasks], at_once)))
+    board = []
+    for i, params in enumerate(draws):
+        own = [errors[i, f] for f in usable if errors[i, f] is not None]
+        board.append((params, sum(own) / len(own) if own else float("inf")))
     return min(board, key=lambda r: r[1])[0], board
 
 
+def refit(params: Mapping, train: DataFrame, test: DataFrame, seed: int = 42):
+    """The best draw of a search, fitted on all training rows: (model, predictions, metrics) on the test rows."""
+    return fit_and_score(RandomForestRegressor(seed=seed, maxMemoryInMB=1024, **params), train, test)
+
+
 # ---- classifiers ----------------------------------------------------------------------------
 
 def linear_classifier(max_iter: int = 100) -> LogisticRegression:
@@ -144,16 +162,19 @@ def tune_boosted(train: DataFrame, validation: DataFrame, ranges: Mapping[str, t
     """Seeded random search by validation AUC; returns (best model, leaderboard rows best first)."""
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
 
-    rng, board = random.Random(seed), []
+    rng = random.Random(seed)
     judge = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC")
     with packed(train) as data, packed(validation) as held:
-        for job in range(max_jobs):
-            params = {
-                k: rng.randint(a, b) if isinstance(a, int) and isinstance(b, int) else round(rng.uniform(a, b), 4)
-                for k, (a, b) in ranges.items()
-            }
+        draws = [
+            {k: rng.randint(a, b) if isinstance(a, int) and isinstance(b, int) else round(rng.uniform(a, b), 4) for k, (a, b) in ranges.items()}
+            for _ in range(max_jobs)
+        ]
+
+        def run(job: int, params: dict):
             model = GBTClassifier(maxIter=rounds, seed=seed, **params).fit(data)
-            board.append((job, params, float(judge.evaluate(model.transform(held))), model))
+            return job, params, float(judge.evaluate(model.transform(held))), model
+
+        board = side_by_side([partial(run, job, params) for job, params in enumerate(draws)])
     board.sort(key=lambda r: (-r[2], r[0]))
     return board[0][3], [(job, str(params), auc) for job, params, auc, _ in board]
 

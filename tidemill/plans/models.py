@@ -130,9 +130,12 @@ def m10(spark, sf):
 
 @query("m11_random_search")
 def m11(spark, sf):
-    train, _ = demand(spark, sf)
-    _, board = models.random_search(train, "sale_date")
-    return spark.createDataFrame([(str(p), e) for p, e in board], "params string, mae double")
+    train, test = demand(spark, sf)
+    best, board = models.random_search(train, "sale_date")
+    _, _, metrics = models.refit(best, train, test)
+    empty = [F.lit(None).cast("double").alias(c) for c in ("rmse", "r2", "mape")]
+    draws = spark.createDataFrame([("draw", str(p), e) for p, e in board], "step string, params string, mae double").select("*", *empty)
+    return draws.unionByName(metrics.select(F.lit("refit").alias("step"), F.lit(str(best)).alias("params"), "mae", "rmse", "r2", "mape"))
 
 
 @query("m12_demand_forecast")
@@ -213,9 +216,9 @@ tok AS (SELECT doc_id, label, part, unnest(regexp_extract_all(lower(text), '[\\p
 SELECT 'base' AS training, round(avg(CAST(want = got AS INTEGER)), 6) AS accuracy FROM a_best
 UNION ALL SELECT 'extended', round(avg(CAST(want = got AS INTEGER)), 6) FROM b_best""")
 def m20(spark, sf):
-    parts = rel.rank_split(labelled_documents(spark, sf), "doc_id", [0.6, 0.1, 0.3]).select("text", "label", "part").cache()
-    train, extra, test = (parts.filter(F.col("part") == i).select("text", "label") for i in range(3))
-    return textmodels.sentiment_before_and_after(train, extra, test).withColumn("accuracy", F.round("accuracy", 6))
+    parts = rel.rank_split(labelled_documents(spark, sf), "doc_id", [0.6, 0.1, 0.3]).select("doc_id", "text", "label", "part")
+    train, extra, test = (parts.filter(F.col("part") == i).select("doc_id", "text", "label") for i in range(3))
+    return textmodels.sentiment_before_and_after(train, extra, test, "doc_id").withColumn("accuracy", F.round("accuracy", 6))
 
 
 def intent_rows(spark, sf):

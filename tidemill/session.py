@@ -102,8 +102,11 @@ def task_count(spark: SparkSession) -> int:
 
 def side_by_side(jobs: Sequence[Callable[[], T]], at_once: int = 4) -> list[T]:
     """Results of independent jobs, submitted a few at a time, in their order. Small fits that can't fill the
-    cluster share it that way; the first error ends the rest."""
+    cluster share it that way; the first error is raised once the jobs under way have ended."""
     if len(jobs) < 2:
         return [job() for job in jobs]
-    with ThreadPoolExecutor(at_once) as pool:
-        return list(pool.map(lambda job: inheritable_thread_target(job)(), jobs))
+    pool = ThreadPoolExecutor(at_once)
+    try:
+        return list(pool.map(lambda job: job(), [inheritable_thread_target(job) for job in jobs]))
+    finally:
+        pool.shutdown(cancel_futures=True)
