@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Code points that are worked on at once, and the longest run without a space that keeps one lattice; longer
 #: ones are cut there. Both bound a task's memory, whatever the texts' lengths.
-BATCH_CHARS = 500_000
+BATCH_CHARS = 200_000
 RUN_CHARS = 4096
 SEED = 7
 
@@ -292,7 +292,7 @@ def encode_texts(pieces: Pieces, texts: list[str | None], keys: list[object], se
         if size >= BATCH_CHARS:
             flush()
     flush()
-    return [np.concatenate(p) if len(p) > 1 else p[0] if p else np.zeros(0, dtype=np.int64) for p in parts]
+    return [np.concatenate(p) if len(p) > 1 else p[0] if p else np.zeros(0, dtype=np.int32) for p in parts]
 
 
 def decode_ids(pieces: Pieces, ids: list[int] | np.ndarray | None) -> str:
@@ -311,7 +311,7 @@ def encoder(spark_docs: DataFrame, text: str = "text", key: str = "doc_id", mode
         for texts, keys in batches:
             found = encode_texts(shared.value, texts.to_pylist(), keys.to_pylist(), seed, sharpness)
             ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
-            values = np.concatenate([np.zeros(0, dtype=np.int64), *found]).astype(np.int32)
+            values = np.concatenate([np.zeros(0, dtype=np.int32), *found], dtype=np.int32)
             yield pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
 
     return ids(F.col(text), F.col(key).cast("string"))
