@@ -193,6 +193,33 @@ class TestRecommend:
         got = recommend.recommend(ratings, near)
         assert sorted((r.u, r.item) for r in got.collect()) == sorted(want)
 
+    @pytest.mark.parametrize(("piece", "held"), [(256, 500_000), (2, 7)])
+    def test_votes_and_pairs_travel_as_lists(self, spark, ratings, piece, held, monkeypatch):
+        monkeypatch.setattr(recommend, "PIECE", piece)
+        monkeypatch.setattr(recommend, "HELD_ENTRIES", held)
+        sim, mask, mean, c = self.brute(ratings)
+        near = recommend.neighbours(ratings, k=4)
+        want, raw = {}, {}
+        for u in range(len(sim)):
+            best = [v for _, v in sorted([(-s, v) for v, s in enumerate(sim[u]) if s >= 0.05])[:4]]
+            for i in range(mask.shape[1]):
+                voters = [v for v in best if mask[v, i]]
+                if voters and not mask[u, i]:
+                    weight = sum(sim[u, v] for v in voters)
+                    want[u, i] = mean[u] + sum(sim[u, v] * c[v, i] for v in voters) / weight
+                    raw[u, i] = sum(sim[u, v] * (c[v, i] + mean[v]) for v in voters) / weight
+        voted = recommend.predictions(ratings, near)
+        assert {(r.u, r.item): r.score for r in voted.collect()} == pytest.approx(want, abs=1e-8)
+        assert {(r.u, r.item): r.score for r in recommend.raw_predictions(ratings, near).collect()} == pytest.approx(raw, abs=1e-8)
+        pairs = spark.createDataFrame([(u, v) for u in range(61) for v in range(0, 61, 7)] + [(3, 99), (99, 3)], "u int, v int")
+        given = recommend.pair_similarity(ratings, pairs)
+        own = [[float(c[u] @ c[v] / n) if (n := np.linalg.norm(c[u]) * np.linalg.norm(c[v])) else 0.0 for v in range(61)] for u in range(61)]
+        assert {(r.u, r.v): r.sim for r in given.collect()} == pytest.approx({(u, v): own[u][v] if max(u, v) < 61 else 0.0 for u, v in pairs.collect()}, abs=1e-8)
+        # no row of a single vote or product is dealt by user and item
+        for rows in (voted, given):
+            plan = rows._jdf.queryExecution().optimizedPlan().toString()
+            assert "RepartitionByExpression [u#" not in plan and "RepartitionByExpression [row#" in plan
+
     def test_holdout_sizes(self, ratings):
         held = {r.user: r["count"] for r in recommend.holdout(ratings).groupBy("user").count().collect()}
         relevant = {r.user: r["count"] for r in ratings.filter("rating >= 3.5").groupBy("user").count().collect()}
