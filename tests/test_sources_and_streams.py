@@ -368,3 +368,22 @@ def test_tables_of_one_file_or_a_folder_are_streamed_whole(spark, tmp_path, file
         want += [(c, t, n[c])] if n[c] else []
     assert sorted((r.conv_id, r.turn, r.turn_no) for r in found) == sorted(want)
     assert streams.st6_stream(spark, str(sf)).count() == streams.st7_clear(spark, str(sf)).count() == len(rows)
+
+
+def test_results_are_not_written_by_one_task(spark, tmp_path):
+    writers.write_results({"r": spark.range(0, 30, 1, 3).withColumn("b", F.col("id") % 2), "none": spark.range(0)}, str(tmp_path))
+    assert len(list((tmp_path / "r").glob("part-*.csv"))) == 3
+    back = readers.read_csv(spark, f"{tmp_path}/r", "id bigint, b bigint")
+    assert sorted(map(tuple, back.collect())) == [(i, i % 2) for i in range(30)]
+    assert readers.read_csv(spark, f"{tmp_path}/none", "id bigint").count() == 0
+
+
+def test_parts_of_a_stream_number_the_rows_once(spark):
+    def reads(parts):
+        seen = spark.sparkContext.accumulator(0)
+        rows = spark.sparkContext.parallelize(range(40), 2).map(lambda i: (seen.add(1), (i, i * 2))[1]).toDF("event_id long, x long")
+        source = streams.in_parts(spark, rows, "event_id", parts, "parts")
+        return source, seen.value
+
+    assert reads(8)[1] == reads(2)[1]
+    assert reads(4)[0].isStreaming

@@ -23,9 +23,10 @@ def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", **opti
 
 
 def write_results(results: Mapping[str, DataFrame], folder: str) -> None:
-    """One headed CSV folder per small result table; written by Spark, not through the driver."""
+    """One headed CSV folder per result table, in as many files as the table has partitions, each with its header;
+    written by Spark, not through the driver or one task."""
     for name, df in results.items():
-        df.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{folder}/{name}")
+        df.write.mode("overwrite").option("header", True).csv(f"{folder}/{name}")
 
 
 def write_ml_csv(df: DataFrame, path: str, label: str) -> None:
