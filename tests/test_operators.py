@@ -3,6 +3,7 @@
 import datetime as dt
 import math
 import random
+import re
 
 import numpy as np
 import pandas as pd
@@ -708,3 +709,27 @@ class TestRegisteredQueries:
             default = {"m9_boosting": models.boosting_regressor, "m28_boosted_trees": models.boosted_classifier}.get(name, models.forest_regressor)()
             assert type(args[0]) is type(default)
             assert {p.name: v for p, v in args[0].extractParamMap().items()} == {p.name: v for p, v in default.extractParamMap().items()}
+
+
+class TestTfidf:
+    def test_terms_are_counted_where_their_text_is(self, spark):
+        rng = random.Random(3)
+        docs = [(d % 30, " ".join(rng.choice(["uno", "dos", "tres", "cuatro", "x"]) for _ in range(rng.randrange(9)))) for d in range(40)] + [(None, "uno dos"), (77, None)]
+        counts = {}
+        for d, t in docs:
+            words = [w for w in (t or "").split() if len(w) > 1]
+            for g in words + [f"{a} {b}" for a, b in zip(words, words[1:])]:
+                counts[d, g] = counts.get((d, g), 0) + 1
+        df, total = {}, {}
+        for (_, g), n in counts.items():
+            df[g], total[g] = df.get(g, 0) + 1, total.get(g, 0) + n
+        vocab = sorted(df, key=lambda g: (-total[g], g))[:7]
+        raw = {(d, g): (1 + math.log(n)) * (math.log((1 + len(docs)) / (1 + df[g])) + 1) for (d, g), n in counts.items() if g in vocab}
+        norm = {}
+        for (d, _), w in raw.items():
+            norm[d] = norm.get(d, 0) + w * w
+        rows = spark.createDataFrame(docs, "doc_id int, text string")
+        got = textmodels.tfidf(rows, "doc_id", textmodels.word_tokens(F.col("text")), max_features=7)
+        assert {(r.doc_id, r.term): r.weight for r in got.collect()} == pytest.approx({k: w / math.sqrt(norm[k[0]]) for k, w in raw.items()})
+        assert "hashpartitioning(doc_id#" in (plan := got._jdf.queryExecution().executedPlan().toString())
+        assert not re.search(r"hashpartitioning\(doc_id#\w+, term#", plan)
