@@ -635,6 +635,16 @@ class TestSegments:
         assert segments.labelled_silhouette(rows) == pytest.approx(self.squared_silhouette(xs, labels))
         assert segments.labelled_silhouette(rows.filter("label = 1")) == 0.0
 
+    def test_features_are_read_once(self, spark):
+        seen = spark.sparkContext.accumulator(0)
+        rows = spark.sparkContext.parallelize([(u, float(u % 3), None if u == 2 else 1.0) for u in range(12)], 2)
+        features = rows.map(lambda r: (seen.add(1), r)[1]).toDF("user long, a double, b double")
+        found = {r.user: r.x for r in segments.scaled_vectors(features, "user", ["a", "b"]).collect()}
+        assert seen.value == 12
+        a, b = np.array([u % 3 for u in range(12)]), np.array([u != 2 for u in range(12)], float)
+        want = np.column_stack([(a - a.mean()) / a.std(), (b - b.mean()) / b.std()])
+        assert np.allclose([found[u] for u in range(12)], want)
+
     def test_fewer_places_than_clusters(self, spark):
         df = spark.createDataFrame([(i, [float(i % 2), 1.0]) for i in range(20)], "user long, x array<double>")
         found = segments.fit_many(df, "user", [1, 2, 5], restarts=2)
