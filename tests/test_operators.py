@@ -1,6 +1,7 @@
 """Operators against brute force, on small tables with a hot key, borders and missing values."""
 
 import datetime as dt
+import hashlib
 import math
 import random
 import re
@@ -15,6 +16,7 @@ from tidemill.functions import dates, numbers, text
 from tidemill.operators import aggregates, clustering, dialogue, evaluate, models, ordered, recommend, sensors, segments, series, textmodels
 from tidemill.operators import relational as rel
 from tidemill.plans import registered, views
+from tidemill.session import cut_lineage
 
 
 @pytest.fixture(scope="module")
@@ -93,6 +95,29 @@ class TestRelational:
         assert collected(a, "id", "part") == collected(b, "id", "part")
         assert a.count() == skewed.count()
 
+    def test_split_ranks_rows_of_equal_and_missing_keys(self, spark):
+        keys = [None] * 7 + ["a"] * 90 + [f"k{i}" for i in range(200)]
+        rows = spark.createDataFrame([(k, i % 3 if i % 5 else None) for i, k in enumerate(keys)], "k string, s int")
+        for strata in ([], ["s"]):
+            parts = rel.rank_split(rows, "k", [0.01, 0.3, 0.3, 0.39], strata)
+            got = {}
+            for r in parts.collect():
+                place = ("" if r.k is None else hashlib.md5(f"42:{r.k}".encode()).hexdigest(), r.k or "")
+                got.setdefault(r.s if strata else 0, []).append((place, r.part))
+            assert sum(map(len, got.values())) == len(keys)
+            for members in got.values():
+                n, members = len(members), sorted(members)
+                want = [sum(i >= math.floor(n * upto) for upto in (0.01, 0.31, 0.61)) for i in range(n)]
+                assert [p for _, p in members] == want
+
+    def test_split_shuffles_only_the_rows_of_cut_grains(self, spark):
+        rows = cut_lineage(spark.range(50_000).withColumn("wide", F.repeat(F.lit("x"), 100)))
+        parts = rel.rank_split(rows, "id", [0.7, 0.3])
+        plan = parts._jdf.queryExecution().executedPlan().toString()
+        sure, ranked = plan.split("Union", 1)[1].split("Window", 1)
+        assert "hashpartitioning" not in sure and "hashpartitioning" in ranked
+        assert parts.groupBy("part").count().orderBy("part").collect() == [(0, 35_000), (1, 15_000)]
+
     def test_cut_is_right_closed(self, spark):
         df = spark.createDataFrame([(1.0,), (1.5,), (2.0,), (5.0,), (5.1,), (None,)], "x double")
         got = [r[0] for r in df.select(rel.cut(F.col("x"), [1, 2, 5], ["1-2", "2-5"])).collect()]
