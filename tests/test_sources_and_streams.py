@@ -8,6 +8,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
+from tidemill.functions import text
 from tidemill.operators import clustering, models, textmodels
 from tidemill.plans import streams
 from tidemill.session import cut_lineage, shared_dir, side_by_side
@@ -297,6 +298,17 @@ def test_detector_is_swapped_while_the_stream_runs(spark, tmp_path, kind):
     assert not (tmp_path / "out" / "buffer" / "0").exists()
 
 
+def test_stems_are_worked_out_once_a_distinct_word(spark):
+    rows = [(1, "conectado conectado redes"), (1, "redes"), (None, ""), (2, None), (3, "impresoras " * 40 + "sol")]
+    df = spark.createDataFrame(rows, "k int, t string").select("k", F.split("t", " ").alias("tokens"), F.length("t").alias("n"))
+    got = textmodels.stemmed(df)
+    want = df.withColumn("tokens", text.stem(F.col("tokens")))
+    assert got.columns == want.columns
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    # what is left to later passes is a scan
+    assert "FileScan" in got._jdf.queryExecution().executedPlan().toString() and "regexp" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_intent_model(spark, tmp_path):
     train = [("problema_wifi", "no tengo internet"), ("problema_wifi", "wifi internet caido"), ("problema_wifi", "internet no funciona wifi"),
              ("problema_impresora", "impresora atascada"), ("problema_impresora", "impresora no imprime papel"), ("problema_impresora", "la impresora falla"),
