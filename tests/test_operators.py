@@ -323,6 +323,16 @@ class TestClustering:
         roots = {r.node: r.root for r in clustering.connected_components(edges).collect()}
         assert roots == {i: 0 if i <= 20 else 21 for i in range(41)}
 
+    def test_distances_by_products_keep_the_digits_of_close_points(self):
+        rng = np.random.default_rng(5)
+        a = rng.normal(size=(40, 6)) + 1000
+        b = np.concatenate([a[:10], a[10:20] + 1e-7, a[20:] + rng.normal(size=(20, 6)), [[np.inf] * 6]])
+        want = np.sqrt(np.square(a[:, None] - b[None]).sum(axis=2))
+        np.testing.assert_allclose(clustering._product_distances(a, b), want, rtol=1e-9, atol=0)
+
+    def test_silhouette_blocks_grow_up_to_a_bound(self):
+        assert [clustering.silhouette_block(n, 2048) for n in (10, 98_304, 480_000, 10**8)] == [2048, 2048, 10_000, 1 << 15]
+
     @pytest.mark.parametrize("block_size", [50, 4096])
     def test_silhouette_equals_brute_force(self, points, block_size):
         xs, df = points
