@@ -16,7 +16,7 @@ from tidemill.functions import dates, numbers, text
 from tidemill.operators import aggregates, clustering, dialogue, evaluate, models, ordered, recommend, sensors, segments, series, textmodels
 from tidemill.operators import relational as rel
 from tidemill.plans import registered, views
-from tidemill.session import cut_lineage
+from tidemill.session import cut_lineage, packed
 
 
 @pytest.fixture(scope="module")
@@ -81,6 +81,17 @@ class TestOrdered:
         assert ordered.exact_percentiles(spark.createDataFrame([(None,)], "x double"), "x", [0.5]) == [None]
 
 
+class TestSession:
+    def test_crowded_partitions_are_dealt_out(self, spark):
+        crowded = spark.range(0, 10_000, 1, 8)
+        with packed(crowded, rows_per_task=50, most_rows=100) as data:
+            sizes = [r["count"] for r in data.groupBy(F.spark_partition_id()).count().collect()]
+            assert len(sizes) == 100 and max(sizes) < 200
+            assert sorted(r.id for r in data.collect()) == list(range(10_000))
+        with packed(crowded, rows_per_task=50, most_rows=10_000) as data:
+            assert data.rdd.getNumPartitions() == 8
+
+
 class TestRelational:
     def test_split_sizes_are_exact_per_stratum(self, skewed):
         parts = rel.rank_split(skewed, "id", [0.8, 0.1, 0.1], ["key"])
