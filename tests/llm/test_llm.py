@@ -363,6 +363,71 @@ def test_suffix_lm_beats_single_words_on_held_out_texts(spark):
     assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
 
 
+def brute_suffix_scores(texts):
+    """Log10 probabilities of texts by a suffix tree of them, from its definition."""
+    lists = [[*text_words(t), ""] for t in texts]
+    grams = [collections.Counter(tuple(ws[i : i + k]) for ws in lists for i in range(len(ws) - k + 1)) for k in (1, 2, 3)]
+    n, v = sum(grams[0].values()), len(grams[0])
+    after = collections.defaultdict(dict)
+    for g in grams[1:]:
+        for k, c in g.items():
+            if c >= 2:
+                after[k[:-1]][k[-1]] = c
+    states = {}
+
+    def p(context, word):
+        if not context:
+            return (grams[0][word,] + 1) / (n + v + 1)
+        if context not in states:
+            return p(context[1:], word)
+        total, back, seen = states[context]
+        return (seen.get(word, 0) + back * p(context[1:], word)) / total
+
+    for depth in (1, 2):
+        for context, held in grams[depth - 1].items():
+            seen = after[context]
+            if held < 8 or context[-1] == "" or not seen:
+                continue
+            likely = {w: p(context[1:], w) for w in seen}
+            rest, kinds = held - sum(seen.values()), len(seen)
+            ratio = sum(2 * c * math.log(c / (held * likely[w])) for w, c in seen.items())
+            if rest:
+                ratio += 2 * rest * math.log(rest / (held * max(1 - sum(likely.values()), 1e-12)))
+            if ratio > kinds + 4 * math.sqrt(2 * kinds):
+                states[context] = (held + kinds, kinds + rest, seen)
+    return [sum(math.log10(p(tuple(ws[max(0, i - 2) : i]), w)) for i, w in enumerate(ws)) for ws in lists], len(states)
+
+
+@pytest.mark.parametrize("word,follows", [(1e-6, 2.5e-7), (2e-3, 2e-3), (0.5, 0.5)])
+def test_suffix_lm_equals_brute_force(spark, monkeypatch, word, follows):
+    """Whether words, pairs and triples are held by tasks or met in joins."""
+    rng = np.random.default_rng(5)
+    passage = "Un passage répété of several words"
+    texts = [" ".join(f"w{x}" for x in rng.zipf(1.4, 60) if x < 300) + (f" {passage} " if i % 9 == 0 else " ") + "the end" for i in range(100)]
+    monkeypatch.setattr(suffix_lm, "HELD_WORD", word)
+    monkeypatch.setattr(suffix_lm, "HELD_NEXT", follows)
+    docs = common.stored(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    got = {r.doc_id: r.score for r in suffix_lm.scores(docs, suffix_lm.fitted(docs)).collect()}
+    want, states = brute_suffix_scores(texts)
+    assert states > 20
+    assert all(math.isclose(got[i], x, rel_tol=1e-9) for i, x in enumerate(want))
+
+
+def test_suffix_lm_learns_what_is_rare_in_a_large_corpus(spark):
+    """A passage that occurs ten times keeps its states, however many other words there are."""
+    passage = " ".join(f"passage{i}" for i in range(12))
+    texts = [" ".join(f"x{(i * 7919 + j * j) % 997}" for j in range(2000)) for i in range(400)] + [passage] * 10
+    docs = common.stored(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4))
+    rows = {r.doc_id: r for r in suffix_lm.scores(docs, suffix_lm.fitted(docs)).where("doc_id >= 400").collect()}
+    assert len(rows) == 10 and all(r.score > r.base_score / 3 for r in rows.values())
+
+
+def test_suffix_names_are_those_of_spark(spark):
+    a, b = (np.array(x, dtype=np.int64) for x in ([0, 1, -1, 2**62, -(2**63)], [5, -7, 0, 2**40, 2**63 - 1]))
+    got = spark.createDataFrame([(int(x), int(y)) for x, y in zip(a, b)], "a long, b long").select("a", F.xxhash64("a", "b").alias("h"))
+    assert dict(zip(a.tolist(), suffix_lm.names(a, b).tolist())) == {r.a: r.h for r in got.collect()}
+
+
 def edits(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
