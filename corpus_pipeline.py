@@ -41,9 +41,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with the ids of their sampled pieces, and whether these spell the text: all columns, then
-    ``ids`` and ``lossless``, with underscores in front where ``docs`` has such columns."""
+    ``ids`` and ``lossless``, with underscores in front where ``docs`` has such columns.
+
+    The encoded rows are stored, so that a task has one Python worker at a time, not one for each direction."""
     ids, back, lossless = free_names(docs, "ids", "decoded", "lossless")
-    rows = docs.withColumn(ids, pieces.encoder(docs))
+    rows = stored(docs.withColumn(ids, pieces.encoder(docs)), "pieces")
     rows = rows.withColumn(back, pieces.decoder(rows, ids))
     return rows.withColumn(lossless, F.col(back) == F.coalesce("text", F.lit(""))).drop(back)
 

@@ -534,6 +534,13 @@ def test_pipeline(spark):
         docs, kept = out, set(ids)
 
 
+def test_pipeline_runs_one_python_worker_a_task(spark, rows):
+    """Pieces are decoded from stored rows, not by a second worker beside the encoder's."""
+    docs = common.stored(spark.createDataFrame(rows, DOCS))
+    plan = corpus_pipeline.to_pieces(spark, docs, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
 def test_pipeline_decodes_its_pieces(spark, rows, monkeypatch):
     docs = common.stored(spark.createDataFrame(rows, DOCS))
     out = corpus_pipeline.to_pieces(spark, docs, SF)

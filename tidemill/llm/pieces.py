@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Code points that are worked on at once, and the longest run without a space that keeps one lattice; longer
 #: ones are cut there. Both bound a task's memory, whatever the texts' lengths.
-BATCH_CHARS = 200_000
+BATCH_CHARS = 100_000
 RUN_CHARS = 4096
 SEED = 7
 
