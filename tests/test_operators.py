@@ -329,6 +329,23 @@ class TestClustering:
         got = clustering.dbscan(named, "id", "x", 2, eps=0.4, min_samples=5, block_size=64)
         assert [r.label for r in got.orderBy("id").collect()] == self.brute_dbscan(xs, 0.4, 5)
 
+    def test_dbscan_moves_points_to_askers_only(self, spark):
+        """A crowd in 25 pieces: the pieces that one asker meets are copied once, far cells not at all, none without askers."""
+        rng = np.random.default_rng(3)
+        xs = np.concatenate([rng.uniform(0, 1, (500, 2)), rng.uniform(5, 6, (100, 2))])
+        df = spark.createDataFrame([(i, [float(a) for a in x]) for i, x in enumerate(xs)], "id long, x array<double>")
+        others = df.withColumn("cell", F.transform("x", lambda v: F.floor(v / 0.5))).withColumn("piece", (F.col("id") % 25).cast("int"))
+
+        def met(asked, others):
+            return pd.DataFrame({"asked": [len(asked)], "others": [len(others)]})
+
+        for ids in ([], [7], list(range(40))):
+            askers = others.filter(F.col("id").isin(ids)).drop("piece")
+            rows = clustering._meetings(askers, others, [0, 1], 0.5, 0.5, 20, met, "asked long, others long").collect()
+            assert all(r.asked <= 40 for r in rows) and sum(r.others for r in rows) <= (0, 500, 2000)[min(len(ids), 2)]
+            near = sum(r.asked * r.others for r in rows)
+            assert near >= sum((np.sqrt(((xs - xs[i]) ** 2).sum(1)) <= 0.5).sum() for i in ids)
+
     def test_components_of_a_long_path(self, spark):
         edges = spark.createDataFrame([(i, i + 1) for i in range(40) if i != 20], "a long, b long")
         roots = {r.node: r.root for r in clustering.connected_components(edges).collect()}
