@@ -4,6 +4,7 @@ long texts, repeated rows, ties, empty tables, columns with clashing names."""
 import collections
 import hashlib
 import math
+import pickle
 import random
 import re
 import zlib
@@ -489,6 +490,26 @@ def test_pieces_round_trip_and_batching(monkeypatch):
         assert a.tolist() == b.tolist()
 
 
+def test_pieces_go_to_workers_without_what_they_do_not_use():
+    model = pieces.Pieces()
+    sent = pickle.loads(pickle.dumps(model))
+    texts = ["A few wörds", None, "", "日本 " * 300]
+    for a, b in zip(pieces.encode_texts(model, texts, list(range(4))), pieces.encode_texts(sent, texts, list(range(4))), strict=True):
+        assert a.tolist() == b.tolist()
+    assert not hasattr(sent, "texts") and not hasattr(sent, "plain")
+
+
+def test_batches_of_pieces_are_cut_into_slices(spark):
+    """An Arrow batch of many rows is worked on in slices, each row with its own pieces."""
+    assert [list(pieces._slices(n)) for n in (0, 3, 600)] == [[], [(0, 3)], [(0, 256), (256, 256), (512, 88)]]
+    rows = [(i, None if i % 7 == 0 else f"row {i} ünd " * (i % 5)) for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    model = pieces.Pieces()
+    want = pieces.encode_texts(model, [t for _, t in rows], [str(i) for i, _ in rows])
+    got = {r.doc_id: r for r in pieces.decoded(pieces.encoded(docs)).collect()}
+    assert all(got[i].decoded == (t or "") and got[i].ids == want[i].tolist() for i, t in rows)
+
+
 def test_pieces_are_drawn_by_their_share():
     model = pieces.Pieces()
     weights = {t: (i, w) for i, t, w in model.plain}

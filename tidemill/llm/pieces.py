@@ -26,17 +26,25 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: ones are cut there. Both bound a task's memory, whatever the texts' lengths.
 BATCH_CHARS = 100_000
 RUN_CHARS = 4096
+#: Rows of an Arrow batch that are taken to Python objects at once.
+SLICE_ROWS = 256
 SEED = 7
 
 _RUNS = re.compile(rf"\n| {{0,{RUN_CHARS}}}[^ \n]{{1,{RUN_CHARS}}}| {{1,{RUN_CHARS}}}")
 
+
+
 class Pieces:
     """A vocabulary: piece texts (a space for the mark of a word's begin), their weights, the byte pieces.
 
     ``scores`` of byte-pair vocabularies only order the pieces; the weight of a piece of rank r is then
     1 / (r + 2), as frequencies by rank commonly fall. A code point without a piece is spelled by its bytes.
+    Workers get what encoding needs: no piece texts, no list from which the trie was built.
     """
 
+    def __getstate__(self) -> dict[str, object]:
+        return {k: v for k, v in self.__dict__.items() if k not in ("texts", "plain")}
+
     def __init__(self, path: str = MODEL) -> None:
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         n = model.get_piece_size()
@@ -297,9 +305,18 @@ def encode_texts(pieces: Pieces, texts: list[str | None], keys: list[object], se
 
 def decode_ids(pieces: Pieces, ids: list[int] | np.ndarray | None) -> str:
     """The text of which these are the pieces. Null is empty."""
+    return _spelled(pieces.texts, ids)
+
+
+def _spelled(texts: list[bytes], ids: list[int] | np.ndarray | None) -> str:
     if ids is None or not len(ids):
         return ""
-    return b"".join(map(pieces.texts.__getitem__, ids)).decode("utf-8", "surrogatepass")[1:]
+    return b"".join(map(texts.__getitem__, ids)).decode("utf-8", "surrogatepass")[1:]
+
+
+def _slices(rows: int) -> Iterator[tuple[int, int]]:
+    """Begin and length of the slices of a batch."""
+    return ((at, min(SLICE_ROWS, rows - at)) for at in range(0, rows, SLICE_ROWS))
 
 
 def encoder(spark_docs: DataFrame, text: str = "text", key: str = "doc_id", model: str = MODEL, seed: int = SEED, sharpness: float = 1.0) -> Column:
@@ -309,24 +326,27 @@ def encoder(spark_docs: DataFrame, text: str = "text", key: str = "doc_id", mode
     @F.arrow_udf("array<int>")
     def ids(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for texts, keys in batches:
-            found = encode_texts(shared.value, texts.to_pylist(), keys.to_pylist(), seed, sharpness)
-            ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
-            values = np.concatenate([np.zeros(0, dtype=np.int32), *found], dtype=np.int32)
-            yield pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
+            for part in _slices(len(texts)):
+                found = encode_texts(shared.value, texts.slice(*part).to_pylist(), keys.slice(*part).to_pylist(), seed, sharpness)
+                ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
+                values = np.concatenate([np.zeros(0, dtype=np.int32), *found], dtype=np.int32)
+                yield pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
 
     return ids(F.col(text), F.col(key).cast("string"))
 
 
 def decoder(spark_docs: DataFrame, column: str, model: str = MODEL) -> Column:
     """A column of texts from a column of piece ids."""
-    shared = spark_docs.sparkSession.sparkContext.broadcast(Pieces(model))
+    shared = spark_docs.sparkSession.sparkContext.broadcast(Pieces(model).texts)
 
     @F.arrow_udf("string")
     def texts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             offsets = batch.offsets.to_numpy()
             values = batch.values.to_numpy()
-            yield pa.array([decode_ids(shared.value, values[a:b].tolist()) for a, b in zip(offsets[:-1], offsets[1:], strict=True)], pa.string())
+            for at, n in _slices(len(batch)):
+                ends = offsets[at : at + n + 1]
+                yield pa.array([_spelled(shared.value, values[a:b].tolist()) for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.string())
 
     return texts(F.col(column))
 
