@@ -3,8 +3,10 @@
 import datetime as dt
 import hashlib
 import math
+import os
 import random
 import re
+import time
 
 import numpy as np
 import pandas as pd
@@ -12,6 +14,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tidemill import session
 from tidemill.functions import dates, numbers, text
 from tidemill.operators import aggregates, clustering, dialogue, evaluate, models, ordered, recommend, sensors, segments, series, textmodels
 from tidemill.operators import relational as rel
@@ -257,6 +260,45 @@ class TestRecommend:
             plan = rows._jdf.queryExecution().optimizedPlan().toString()
             assert "RepartitionByExpression [u#" not in plan and "RepartitionByExpression [row#" in plan
 
+    @pytest.mark.parametrize("hot_raters", [1000, 8])
+    def test_rounds_give_the_same_rows(self, spark, ratings, hot_raters, monkeypatch):
+        def every():
+            near = recommend.neighbours(ratings, k=4, hot_raters=hot_raters)
+            totals = recommend.raw_predictions(ratings, near, lambda raw: raw.groupBy("u").agg(F.count("*"), F.round(F.sum("score"), 6)))
+            pairs = spark.createDataFrame([(u, v) for u in range(61) for v in range(0, 61, 7)] + [(3, 3), (3, 3)], "u int, v int")
+            found = near, recommend.recommend(ratings, near), totals, recommend.pair_similarity(ratings, pairs)
+            return [sorted(tuple(r) for r in df.collect()) for df in found]
+
+        whole = every()
+        seen, kept = [], recommend.stored_in_rounds
+        monkeypatch.setattr(recommend, "ROUND_SHARE", 0)
+        monkeypatch.setattr(recommend, "ROUND_ENTRIES", 700)
+        monkeypatch.setattr(recommend, "stored_in_rounds", lambda parts, *a: seen.append(len(parts)) or kept(parts, *a))
+        parts = every()
+        assert len(seen) >= 3 and min(seen) > 1
+        assert [len(rows) for rows in parts] == [len(rows) for rows in whole]
+        for one, two in zip(parts, whole, strict=True):
+            assert [x for r in one for x in r] == pytest.approx([x for r in two for x in r], abs=1e-8)
+
+    def test_stored_tables_leave_no_shuffle_files(self, spark):
+        def left():
+            files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+            return {str(files.apply(i).getPath()) for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+        setting = spark.conf.get(session.FREED, None)
+        before = left()
+        table = session.stored_in_rounds([spark.range(1000).repartition(3, "id").filter(F.col("id") % 2 == r) for r in range(2)])
+        deadline = time.time() + 20
+        while left() - before and time.time() < deadline:
+            time.sleep(0.1)
+        assert not left() - before
+        assert table.agg(F.sum("id")).first()[0] == 499500
+        assert spark.conf.get(session.FREED, None) == setting
+        folders = {f.rsplit("/", 1)[0] for f in table.inputFiles()}
+        assert len(folders) == 2
+        session.discard(table)
+        assert not any(os.path.exists(f.removeprefix("file://")) for f in folders)
+
     def test_holdout_sizes(self, ratings):
         held = {r.user: r["count"] for r in recommend.holdout(ratings).groupBy("user").count().collect()}
         relevant = {r.user: r["count"] for r in ratings.filter("rating >= 3.5").groupBy("user").count().collect()}
