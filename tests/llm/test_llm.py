@@ -214,6 +214,20 @@ def test_components_of_a_long_path(spark):
     assert got == {**{i: 0 for i in range(n)}, 1000: 1000, 1001: 1000}
 
 
+def test_near_vectors_in_rounds(spark, monkeypatch):
+    draw = np.random.default_rng(3)
+    base = draw.normal(size=(60, 8))
+    rows = [*base, *(base[::5] + 0.01), *base[::9]]
+    table = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(rows)], "vec_id long, embedding array<double>").coalesce(1)
+    whole = sorted(near_vectors.near_vectors(table).collect())
+    seen, kept = [], near_vectors.stored_in_rounds
+    monkeypatch.setattr(near_vectors, "ROUND_SHARE", 0)
+    monkeypatch.setattr(near_vectors, "ROUND_BYTES", 5000)
+    monkeypatch.setattr(near_vectors, "stored_in_rounds", lambda parts, *a: seen.append(len(parts)) or kept(parts, *a))
+    assert sorted(near_vectors.near_vectors(table).collect()) == whole
+    assert len(seen) == 1 and seen[0] > 1 and sum(r.n_links > 0 for r in whole) >= 24
+
+
 def test_near_vectors(spark, tables):
     got = {r.vec_id: r for r in queries.op2_near_vectors(spark, tables).collect()}
     table = {r.vec_id: r.embedding for r in spark.read.parquet(f"{tables}/embeddings.parquet").collect()}

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.llm.common import components, numbered
-from tidemill.session import stored
+from tidemill.session import stored, stored_in_rounds
 
 MIN_COSINE = 0.95
 #: Vectors, those of smallest hash, that the quantisers are fitted on.
@@ -30,6 +30,8 @@ SAMPLE_ROWS = 16_384
 #: There are sqrt(rows) lists, up to this many. Vectors of a list, and probing vectors, that meet in a task.
 MOST_LISTS, LIST_PIECE, PROBE_PIECE = 4096, 1024, 2048
 SUBSPACES, CODES, ROUNDS = 8, 256, 8
+#: Bytes of vectors that are dealt to pieces at a time: so many times the bytes of all, or so many if that is more.
+ROUND_SHARE, ROUND_BYTES = 2, 1 << 28
 #: Numbers that are held at once beside the vectors and centres.
 HELD = 1 << 21
 _SLACK, _TABLE_SLACK = 1e-9, 1e-4
@@ -171,9 +173,13 @@ def near_links(vectors: DataFrame, dim: int, rows: int, min_cosine: float = MIN_
     indexed = stored(vectors.mapInArrow(index, "rid long, copies long, list int, codes binary, error double, unit binary, probes array<int>"), "index")
     probing = indexed.select("rid", "copies", F.col("list").alias("own"), "unit", F.explode("probes").alias("list"))
     # pieces: how many each list and its probing vectors need; a row per list
-    held = indexed.groupBy("list").agg(F.ceil(F.count("*") / LIST_PIECE).cast("int").alias("pieces"))
-    asked = probing.groupBy("list").agg(F.ceil(F.count("*") / PROBE_PIECE).cast("int").alias("waves"))
+    held = indexed.groupBy("list").agg(F.count("*").alias("n_held"), F.ceil(F.count("*") / LIST_PIECE).cast("int").alias("pieces"))
+    asked = probing.groupBy("list").agg(F.count("*").alias("n_asked"), F.ceil(F.count("*") / PROBE_PIECE).cast("int").alias("waves"))
     cut = stored(held.join(asked, "list"), "pieces")
+    # lists take turns, so that the vectors dealt in a round are no more than a few times all vectors
+    dealt, n_vectors = cut.agg(F.sum(F.col("n_held") * F.col("waves") + F.col("n_asked") * F.col("pieces")), F.sum("n_held")).first()
+    rounds = max(1, -(-(dealt or 0) * 8 * dim // max(ROUND_BYTES, ROUND_SHARE * (n_vectors or 0) * 8 * dim)))
+    cut = cut.select("list", "pieces", "waves")
     spot = F.xxhash64("rid")
     base = (
         indexed.select(*(F.col(c).alias(c) for c in ("rid", "copies", "list", "codes", "error", "unit"))).join(F.broadcast(cut), "list")
@@ -200,7 +206,12 @@ def near_links(vectors: DataFrame, dim: int, rows: int, min_cosine: float = MIN_
         return pd.DataFrame({"a": ids, "b": ids[root], "n": count.astype(np.int64)})
 
     keys = ("list", "piece", "wave")
-    return probing.groupBy(*keys).cogroup(base.groupBy(*keys)).applyInPandas(meet, "a long, b long, n long")
+
+    def links(turn: int) -> DataFrame:
+        ask, have = (x.where(F.pmod(F.xxhash64("list"), F.lit(rounds)) == turn) if rounds > 1 else x for x in (probing, base))
+        return ask.groupBy(*keys).cogroup(have.groupBy(*keys)).applyInPandas(meet, "a long, b long, n long")
+
+    return links(0) if rounds == 1 else stored_in_rounds([links(r) for r in range(rounds)], "near")
 
 
 def near_vectors(vectors: DataFrame, key: str = "vec_id", column: str = "embedding", min_cosine: float = MIN_COSINE) -> DataFrame:
